@@ -72,7 +72,9 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     # one row per order: its lines in line-number order (an order has a handful
     # of lines, so the collected array is small by construction)
-    lines = (li.groupBy("l_orderkey")
+    # hash-partition the lines by order first: the collect then runs in every
+    # shuffle partition (a collect_list has nothing to pre-aggregate map-side)
+    lines = (li.repartition("l_orderkey").groupBy("l_orderkey")
              .agg(F.array_sort(F.collect_list(F.struct(
                       F.col("l_linenumber").alias("ln"),
                       F.col("l_partkey").alias("product_id"),
