@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import MONEY
+from cartwheel.session import materialize
 
 
 def _segment_by_purchases(c="total_purchases"):
@@ -78,50 +79,56 @@ def exact_median(df: DataFrame, col: str, accuracy: int = 10000):
     """Exact median (mean of the two middle values for an even count) without
     gathering the column into one task.
 
-    A distributed approximate-quantile pass brackets the two middle ranks; only
-    the values inside the bracket, grouped by value (ties collapse to one row),
-    are ranked exactly. The bracket holds about 2n/accuracy values; if the
-    sketch ever misses, the bracket is widened. Returns a Python float (None
-    for no values) after a few small actions.
+    Job 1: count and a distributed approximate-quantile sketch bracketing the
+    middle (rank error <= n/accuracy). Job 2: how many values fall below and
+    inside the bracket. Job 3: only the bracket, grouped by value (ties
+    collapse to one row), is ranked exactly, and the one or two middle values
+    come back. If the sketch ever misses, the bracket is widened. Returns a
+    Python float (None for no values).
     """
     base = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    n = base.count()
-    if n == 0:
-        return None
-    k1, k2 = (n - 1) // 2, n // 2
-    slack = n / accuracy + 1
+    delta = 2.0 / accuracy
     while True:
-        p_lo, p_hi = max(0.0, (k1 - slack) / n), min(1.0, (k2 + slack) / n)
-        lo, hi = base.agg(F.percentile_approx(
-            "v", F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("q")).first()["q"]
-        if p_lo == 0.0:
-            lo = None
-        if p_hi == 1.0:
-            hi = None
-        band = base
+        stats = base.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(
+            "v", F.array(F.lit(max(0.0, 0.5 - delta)), F.lit(min(1.0, 0.5 + delta))),
+            accuracy).alias("q")).first()
+        n = stats["n"]
+        if n == 0:
+            return None
+        k1, k2 = (n - 1) // 2, n // 2
+        lo = None if 0.5 - delta <= 0 else stats["q"][0]
+        hi = None if 0.5 + delta >= 1 else stats["q"][1]
+        is_below = (F.col("v") < lo) if lo is not None else F.lit(False)
+        in_band = F.lit(True)
         if lo is not None:
-            band = band.filter(F.col("v") >= lo)
+            in_band = in_band & (F.col("v") >= lo)
         if hi is not None:
-            band = band.filter(F.col("v") <= hi)
-        below = base.filter(F.col("v") < lo).count() if lo is not None else 0
-        inside = band.count()
+            in_band = in_band & (F.col("v") <= hi)
+        c = base.agg(F.count_if(is_below).alias("below"), F.count_if(in_band).alias("inside")).first()
+        below, inside = c["below"], c["inside"]
         if below <= k1 and below + inside > k2:
             break
-        slack *= 4
-    grouped = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    cum = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    ranks = grouped.select("v", "c", (cum + F.lit(below)).alias("cum"))
+        delta *= 4
+    grouped = base.filter(in_band).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    cum = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.lit(below)
+    ranks = grouped.select("v", "c", cum.alias("cum"))
+    hit = lambda k: (F.col("cum") > k) & (F.col("cum") - F.col("c") <= k)
+    picked = (ranks.filter(hit(k1) | hit(k2))
+              .select(F.col("v").cast("decimal(38,2)").alias("v"), "c", "cum").collect())
 
     def at(k):
-        row = (ranks.filter((F.col("cum") > k) & (F.col("cum") - F.col("c") <= k))
-               .select(F.col("v").cast("decimal(38,2)").alias("v")).first())
-        return row["v"]
+        return next(r.v for r in picked if r.cum > k and r.cum - r.c <= k)
 
     return float((at(k1) + at(k2)) / 2)
 
 
 def spending_summary(customer_spending_df: DataFrame) -> DataFrame:
-    """Top spender (largest spend, then smallest id) and the median spend."""
+    """Top spender (largest spend, then smallest id) and the median spend.
+
+    The per-user table is checkpointed once (lineage cut in the session's
+    checkpoint folder), so the median's passes and the final aggregate do not
+    each re-aggregate the transactions."""
+    customer_spending_df = materialize(customer_spending_df)
     med = exact_median(customer_spending_df, "total_spent")
     return customer_spending_df.agg(
         F.min_by("user_id", F.struct(-F.col("total_spent"), F.col("user_id"))).alias("top_user_id"),
@@ -136,6 +143,7 @@ def spending_histogram(customer_spending_df: DataFrame, bins: int = 50) -> DataF
     Bin edges are two scalars from one aggregation; the binning itself is a
     column expression, so no row passes through the driver."""
     spark = customer_spending_df.sparkSession
+    customer_spending_df = materialize(customer_spending_df)
     v = F.col("total_spent")
     stats = customer_spending_df.agg(F.min(v).alias("mn"), F.max(v).alias("mx")).first()
     if stats["mn"] is None:

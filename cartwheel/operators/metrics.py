@@ -20,12 +20,28 @@ SALES = ["units_sold", "revenue", "num_transactions", "avg_order_value", "conver
 INVENTORY = ["stock_start", "stock_end"]
 
 
-def daily_views(sessions: DataFrame) -> DataFrame:
+def _ts_range(df: DataFrame, ts_col: str, start: str, end: str, end_col: str | None = None):
+    """start <= ts < end + 1 day as plain comparisons on the stored column, so
+    the scan can skip files/row groups (a predicate on to_date(ts) could not)."""
+    ts = parse_ts(df, ts_col)
+    typ = "timestamp_ntz" if dict(df.dtypes)[ts_col] == "timestamp_ntz" else "timestamp"
+    lo = F.lit(start).cast("date").cast(typ)
+    hi = F.date_add(F.lit(end).cast("date"), 1).cast(typ)
+    upper = parse_ts(df, end_col) if end_col else ts
+    return (ts < hi) & (upper >= lo)
+
+
+def daily_views(sessions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    if start is not None:
+        # sessions overlapping the range; the views themselves are filtered below
+        sessions = sessions.filter(_ts_range(sessions, "start_time", start, end, "end_time"))
     pv = (sessions.select("session_id", "user_id", F.inline("page_views"))
           .filter(F.col("product_id").isNotNull()))
     ts = F.col("timestamp")
     if dict(pv.dtypes)["timestamp"] == "string":
         ts = F.try_to_timestamp(ts)
+    if start is not None:
+        pv = pv.filter(F.to_date(ts).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     vd = F.col("view_duration")
     return (pv.groupBy("product_id", F.to_date(ts).alias("date"))
             .agg(F.count(F.lit(1)).alias("view_count"),
@@ -34,7 +50,9 @@ def daily_views(sessions: DataFrame) -> DataFrame:
                  F.count_distinct("session_id").alias("sessions_with_view")))
 
 
-def daily_sales(transactions: DataFrame) -> DataFrame:
+def daily_sales(transactions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    if start is not None:
+        transactions = transactions.filter(_ts_range(transactions, "timestamp", start, end))
     t = transactions.select("items", F.to_date(parse_ts(transactions, "timestamp")).alias("date"))
     return (item_facts(t, "date").groupBy("product_id", "date")
             .agg(F.sum("quantity").alias("units_sold"),
@@ -42,8 +60,12 @@ def daily_sales(transactions: DataFrame) -> DataFrame:
                  F.sum("first").cast("bigint").alias("num_transactions")))
 
 
-def product_daily_metrics(sessions: DataFrame, transactions: DataFrame) -> DataFrame:
-    v, s = daily_views(sessions), daily_sales(transactions)
+def product_daily_metrics(sessions: DataFrame, transactions: DataFrame,
+                          start: str | None = None, end: str | None = None) -> DataFrame:
+    """All (product, day) rows; with start/end (inclusive dates) both inputs
+    are range-filtered before aggregating - a filter on the joined ``date``
+    could not be pushed below the full outer join."""
+    v, s = daily_views(sessions, start, end), daily_sales(transactions, start, end)
     j = v.join(s, ["product_id", "date"], "full_outer")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint")
     return j.select(

@@ -45,8 +45,8 @@ def _flat(s: Shop) -> DataFrame:
     return timeline.user_sessions_flat(s.sessions)
 
 
-def _metrics(s: Shop) -> DataFrame:
-    return metrics.product_daily_metrics(s.sessions, s.transactions)
+def _metrics(s: Shop, date_range: tuple[str, str] | None = None) -> DataFrame:
+    return metrics.product_daily_metrics(s.sessions, s.transactions, *(date_range or ()))
 
 
 QUERIES: dict[str, Query] = {
@@ -108,8 +108,9 @@ QUERIES: dict[str, Query] = {
     # Q38-Q41 daily product metrics
     "product_daily_metrics": _metrics,
     "product_metrics_range": lambda s: metrics.product_metrics_range(
-        _metrics(s), *METRICS_RANGE, families=("sales",)),
-    "product_revenue_in_range": lambda s: metrics.product_revenue_in_range(_metrics(s), *METRICS_RANGE),
+        _metrics(s, METRICS_RANGE), *METRICS_RANGE, families=("sales",)),
+    "product_revenue_in_range": lambda s: metrics.product_revenue_in_range(
+        _metrics(s, METRICS_RANGE), *METRICS_RANGE),
     "product_daily_stock": lambda s: metrics.product_daily_stock(s.products, s.transactions),
     # Q43-Q46 derived fields
     "order_totals": lambda s: sales.order_totals(s.transactions),

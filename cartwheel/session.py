@@ -68,11 +68,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
     tests) a fresh scratch folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # a static setting on some deployments; the context dir suffices
+            pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint written
+    to the shared checkpoint folder (survives executor loss, unlike a
+    local checkpoint or a cache)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
