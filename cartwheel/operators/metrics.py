@@ -35,19 +35,29 @@ def daily_views(sessions: DataFrame, start: str | None = None, end: str | None =
     if start is not None:
         # sessions overlapping the range; the views themselves are filtered below
         sessions = sessions.filter(_ts_range(sessions, "start_time", start, end, "end_time"))
-    pv = (sessions.select("session_id", "user_id", F.inline("page_views"))
-          .filter(F.col("product_id").isNotNull()))
-    ts = F.col("timestamp")
-    if dict(pv.dtypes)["timestamp"] == "string":
-        ts = F.try_to_timestamp(ts)
+    pv_type = sessions.schema["page_views"].dataType.elementType["timestamp"].dataType.typeName()
+    day = (lambda t: F.to_date(F.try_to_timestamp(t))) if pv_type == "string" else F.to_date
+    views = F.filter(F.transform("page_views", lambda x: F.struct(
+        x["product_id"].alias("product_id"), day(x["timestamp"]).alias("date"),
+        x["view_duration"].alias("view_duration"), F.lit(0).alias("first"))),
+        lambda v: v["product_id"].isNotNull())
     if start is not None:
-        pv = pv.filter(F.to_date(ts).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    vd = F.col("view_duration")
-    return (pv.groupBy("product_id", F.to_date(ts).alias("date"))
-            .agg(F.count(F.lit(1)).alias("view_count"),
+        lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+        views = F.filter(views, lambda v: v["date"].between(lo, hi))
+    # one marker per distinct (product, day) of a session: summing markers gives
+    # sessions_with_view without a second DISTINCT aggregate (which would make
+    # Spark duplicate every row through an Expand before the shuffle)
+    markers = F.transform(F.array_distinct(F.transform(views, lambda v: F.struct(
+        v["product_id"].alias("product_id"), v["date"].alias("date")))), lambda m: F.struct(
+        m["product_id"].alias("product_id"), m["date"].alias("date"),
+        F.lit(None).cast("int").alias("view_duration"), F.lit(1).alias("first")))
+    rows = sessions.select("user_id", F.inline(F.concat(views, markers)))
+    vd = F.when(F.col("first") == 0, F.col("view_duration"))
+    return (rows.groupBy("product_id", "date")
+            .agg(F.count_if(F.col("first") == 0).alias("view_count"),
                  F.count_distinct("user_id").alias("unique_users"),
                  F.try_divide(F.sum(vd), F.count(vd)).alias("avg_view_duration"),
-                 F.count_distinct("session_id").alias("sessions_with_view")))
+                 F.sum("first").cast("bigint").alias("sessions_with_view")))
 
 
 def daily_sales(transactions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:

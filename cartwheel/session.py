@@ -85,5 +85,8 @@ def materialize(df):
     """Compute ``df`` once and cut its lineage: a reliable checkpoint written
     to the shared checkpoint folder (survives executor loss, unlike a
     local checkpoint or a cache)."""
-    checkpoint_dir(df.sparkSession)
+    try:
+        checkpoint_dir(df.sparkSession)
+    except Exception:  # sessions without a SparkContext handle (Spark Connect)
+        pass
     return df.checkpoint(eager=True)

@@ -14,7 +14,7 @@ oracle. Everything here is lazy DataFrame code; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import money_sum, whole_seconds
@@ -100,19 +100,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_orderstatus").alias("status")))
 
 
-def page_view_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as flat page views keyed by session (user, day).
-
-    ``view_duration`` is the whole seconds to the next event of the session,
-    0 for the last one.
-    """
+def event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events keyed by session (user, calendar day), product id parsed from props."""
     ev = read_table(spark, sf_dir, "events")
-    ev = ev.select("event_id", "ts", "user_id", "event_type",
-                   F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
-                   F.to_date("ts").alias("session_date"))
-    w = Window.partitionBy("user_id", "session_date").orderBy("ts", "event_id")
-    nxt = F.lead("ts").over(w)
-    return ev.withColumn("view_duration", F.coalesce(whole_seconds("ts", nxt), F.lit(0)))
+    return ev.select("event_id", "ts", "user_id", "event_type",
+                     F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
+                     F.to_date("ts").alias("session_date"))
 
 
 def session_id_col(user_id="user_id", day="session_date"):
@@ -120,15 +113,14 @@ def session_id_col(user_id="user_id", day="session_date"):
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pv = page_view_rows(spark, sf_dir)
+    pv = event_rows(spark, sf_dir)
     key = ["user_id", "session_date"]
     view_pid = F.when(F.col("event_type") == "view", F.col("k"))
     body = pv.groupBy(*key).agg(
         F.min("ts").alias("start_time"),
         F.max("ts").alias("end_time"),
         F.array_sort(F.collect_list(F.struct(
-            F.col("ts"), F.col("event_id"), F.col("event_type"), view_pid.alias("pid"),
-            F.col("view_duration")))).alias("pv"),
+            F.col("ts"), F.col("event_id"), F.col("event_type"), view_pid.alias("pid")))).alias("pv"),
         F.array_sort(F.collect_set(view_pid)).alias("viewed_products"),
         F.bool_or(F.col("event_type") == "purchase").alias("has_purchase"),
         F.bool_or(F.col("event_type") == "click").alias("has_click"))
@@ -146,9 +138,13 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     device = (F.when(F.pmod("user_id", F.lit(3)) == 0, F.lit(DEVICE_BY_MOD3[0]))
               .when(F.pmod("user_id", F.lit(3)) == 1, F.lit(DEVICE_BY_MOD3[1]))
               .otherwise(F.lit(DEVICE_BY_MOD3[2])))
-    page_views = F.transform("pv", lambda x: F.struct(
+    # view_duration: whole seconds to the next event of the session (0 for the
+    # last), read from the sorted array in-row - no window over all events
+    page_views = F.transform("pv", lambda x, i: F.struct(
         x.ts.alias("timestamp"), x.event_type.alias("page_type"), x.pid.alias("product_id"),
-        F.lit(None).cast("string").alias("category_id"), x.view_duration.alias("view_duration")))
+        F.lit(None).cast("string").alias("category_id"),
+        F.coalesce(whole_seconds(x.ts, F.try_element_at(F.col("pv"), i + 2).ts), F.lit(0))
+         .alias("view_duration")))
     return (body.join(cart, key, "left").join(u, "user_id", "left")
             .select(session_id_col().alias("session_id"),
                     "user_id", "start_time", "end_time",
