@@ -39,11 +39,17 @@ def _distinct_with_null(c: Column) -> Column:
 
 def conversion_funnel(sessions: DataFrame, transactions: DataFrame) -> DataFrame:
     """(stage, users): distinct users who viewed a product, who had a
-    non-empty cart, and who purchased."""
-    s = sessions.agg(
-        F.count_distinct(F.when(safe_size("viewed_products") > 0, F.col("user_id"))).alias("viewed"),
-        F.count_distinct(F.when(F.coalesce(F.size("cart_contents"), F.lit(0)) > 0,
-                                F.col("user_id"))).alias("carted"))
+    non-empty cart, and who purchased.
+
+    Sessions are first reduced to one row per user with two flags (partial
+    aggregation, so a user with millions of sessions is one partial row per
+    task); the stage counts are then plain conditional counts - no DISTINCT
+    aggregate, no row duplication through Expand."""
+    per_user = (sessions.groupBy("user_id")
+                .agg(F.bool_or(safe_size("viewed_products") > 0).alias("viewed"),
+                     F.bool_or(F.coalesce(F.size("cart_contents"), F.lit(0)) > 0).alias("carted"))
+                .filter(F.col("user_id").isNotNull()))
+    s = per_user.agg(F.count_if("viewed").alias("viewed"), F.count_if("carted").alias("carted"))
     t = transactions.agg(_distinct_with_null(F.col("user_id")).alias("purchased"))
     return (s.select(F.inline(F.array(
                 F.struct(F.lit(FUNNEL_STAGES[0]).alias("stage"), F.col("viewed").alias("users")),
@@ -91,24 +97,28 @@ def _sorted_views(sessions: DataFrame) -> Column:
 def page_view_durations(sessions: DataFrame) -> DataFrame:
     """Duration of each page view = next view's time - this time; the last
     view ends at the session end."""
-    end = parse_ts(sessions, "end_time")
-    views = _sorted_views(sessions)
-    with_next = F.transform(views, lambda x, i: F.struct(
+    # the sorted array becomes a column first, so the per-element lambda reads
+    # it by index instead of re-sorting it for every element
+    df = sessions.select("session_id", parse_ts(sessions, "end_time").alias("end_t"),
+                         _sorted_views(sessions).alias("sv"))
+    sv = F.col("sv")
+    with_next = F.transform(sv, lambda x, i: F.struct(
         (i + 1).alias("view_index"), x["timestamp"].alias("timestamp"),
         x["page_type"].alias("page_type"), x["product_id"].alias("product_id"),
         whole_seconds(x["timestamp"], F.coalesce(
-            F.try_element_at(views, i + 2)["timestamp"], end)).alias("duration_seconds")))
-    return (sessions.select("session_id", F.inline(with_next)))
+            F.try_element_at(sv, i + 2)["timestamp"], F.col("end_t"))).alias("duration_seconds")))
+    return df.select("session_id", F.inline(with_next))
 
 
 def page_transitions(sessions: DataFrame) -> DataFrame:
     """Measured page-flow: count of page_type -> next page_type and its share
     among all transitions out of the same page type."""
-    views = _sorted_views(sessions)
-    steps = F.transform(F.slice(views, 2, 2 ** 31 - 2 - 1),
-                        lambda x, i: F.struct(F.element_at(views, i + 1)["page_type"].alias("from_page"),
-                                              x["page_type"].alias("to_page")))
-    counts = (sessions.select(F.inline(steps)).groupBy("from_page", "to_page")
+    df = sessions.select(F.transform(_sorted_views(sessions), lambda x: x["page_type"]).alias("pt"))
+    pt = F.col("pt")
+    steps = F.transform(F.slice(pt, 2, 2 ** 31 - 3),
+                        lambda to, i: F.struct(F.element_at(pt, i + 1).alias("from_page"),
+                                               to.alias("to_page")))
+    counts = (df.select(F.inline(steps)).groupBy("from_page", "to_page")
               .agg(F.count(F.lit(1)).alias("transitions")))
     # the aggregated table has at most (#page types)^2 rows
     out_of = F.sum("transitions").over(Window.partitionBy("from_page"))
