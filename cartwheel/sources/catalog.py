@@ -33,17 +33,20 @@ class Shop:
         return cls(**{name: js.read_dataset(spark, json_dir, name) for name in DATASETS})
 
     @classmethod
-    def from_landed(cls, spark: SparkSession, path: str) -> "Shop":
-        """Tables written by :meth:`land` (or any Parquet copy of the same shapes)."""
+    def from_landed(cls, spark: SparkSession, path: str,
+                    tables: dict[str, str] | None = None) -> "Shop":
+        """Datasets written by :meth:`land`: by path, or through the bucketed
+        table names it registered (which carry the bucketing to the planner)."""
         from cartwheel.sources import landing
-        return cls(**{name: landing.read(spark, path, name) for name in DATASETS})
+        return cls(**{name: landing.read(spark, path, name, tables) for name in DATASETS})
 
-    def land(self, path: str, mode: str = "overwrite") -> "Shop":
-        """Write all five datasets as Parquet and return a Shop reading them back."""
+    def land(self, path: str, mode: str = "overwrite", bucketed: bool = True) -> "Shop":
+        """Write all five datasets as Parquet (user-keyed ones bucketed by
+        user_id) and return a Shop reading them back."""
         from cartwheel.sources import landing
         spark = self.users.sparkSession
-        landing.write_all(self, path, mode=mode)
-        return Shop.from_landed(spark, path)
+        tables = landing.write_all(self, path, mode=mode, bucketed=bucketed)
+        return Shop.from_landed(spark, path, tables)
 
     def register_views(self, prefix: str = "") -> None:
         for name in DATASETS:

@@ -1,40 +1,73 @@
 """Land the shop datasets as Parquet, laid out for the queries that read them.
 
-* transactions: hash-partitioned by ``user_id`` and sorted by it inside each
-  file, so a user lookup skips row groups on min/max statistics.
-* sessions: the same by ``(user_id, start_time desc)``: a user's timeline is
-  one contiguous, newest-first run inside one file.
-* small dimensions: written as they are.
-
-Landing is the place that cuts lineage: the queries then start from files,
-not from the adapter's joins.
+Two layouts:
+
+* ``bucketed=True`` (default): users, transactions and sessions are written as
+  tables bucketed by ``user_id`` into the same number of buckets and sorted by
+  it inside each bucket. Spark then knows the files' hash partitioning: every
+  per-user aggregation (CLV, spending, segmentation, behaviour) runs without a
+  shuffle, and joins of those per-user results with each other and with the
+  users table are co-located (no exchange on either side).
+* ``bucketed=False``: plain Parquet folders, hash-partitioned by ``user_id``
+  and sorted inside each file, readable by path from any session.
+
+Either way a user's rows are one sorted run inside one file, so a per-user
+lookup skips row groups on min/max statistics; transactions are sorted by
+(user, time) and sessions by (user, start time). Landing is also where lineage
+is cut: queries start from files, not from the adapter's joins.
 """
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+USER_KEYED = {"users": ["user_id"], "transactions": ["user_id", "timestamp"],
+              "sessions": ["user_id", "start_time"]}
+# cap file size on large landings (rows); small datasets are unaffected
+MAX_RECORDS_PER_FILE = 5_000_000
 
 
-def _target_files(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _buckets(spark: SparkSession) -> int:
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def write_all(shop, path: str, mode: str = "overwrite") -> None:
+def table_prefix(path: str) -> str:
+    tail = re.sub(r"[^A-Za-z0-9]", "_", path.rstrip("/").split("/")[-1])[-20:]
+    return f"cw_{tail}_{uuid.uuid4().hex[:6]}"
+
+
+def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = True,
+              buckets: int | None = None) -> dict[str, str]:
+    """Write the five datasets under ``path``; returns {dataset: table name}
+    for bucketed tables (empty when ``bucketed=False``)."""
+    spark = shop.users.sparkSession
     base = path.rstrip("/")
-    for name in ("users", "products", "categories"):
+    n = buckets or _buckets(spark)
+    tables: dict[str, str] = {}
+    prefix = table_prefix(base)
+    for name in ("products", "categories"):
         getattr(shop, name).write.mode(mode).parquet(f"{base}/{name}")
-    # hash-partitioned by user and sorted inside each file: one pass over the
-    # input (a range partitioning would first run a sampling job over it)
-    t = shop.transactions
-    (t.repartition(_target_files(t), "user_id")
-      .sortWithinPartitions("user_id", "timestamp")
-      .write.mode(mode).parquet(f"{base}/transactions"))
-    s = shop.sessions
-    (s.repartition(_target_files(s), "user_id")
-      .sortWithinPartitions("user_id", F.col("start_time").desc())
-      .write.mode(mode).parquet(f"{base}/sessions"))
-
-
-def read(spark: SparkSession, path: str, name: str) -> DataFrame:
+    for name, sort_cols in USER_KEYED.items():
+        df = getattr(shop, name)
+        # hash-partitioning by the bucket column first makes every write task
+        # hold exactly one bucket: one file per bucket, not tasks x buckets
+        df = df.repartition(n, "user_id")
+        w = (df.sortWithinPartitions(*sort_cols).write.mode(mode)
+             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
+        if bucketed:
+            table = f"{prefix}_{name}"
+            (w.bucketBy(n, "user_id").sortBy(*sort_cols).format("parquet")
+              .option("path", f"{base}/{name}").saveAsTable(table))
+            tables[name] = table
+        else:
+            w.parquet(f"{base}/{name}")
+    return tables
+
+
+def read(spark: SparkSession, path: str, name: str, tables: dict[str, str] | None = None) -> DataFrame:
+    if tables and name in tables:
+        return spark.table(tables[name])
     return spark.read.parquet(f"{path.rstrip('/')}/{name}")
