@@ -360,8 +360,8 @@ ORACLE: dict[str, str] = {
             GROUP BY product_id""", "pv", "ti", extra=_METRICS_CTES),
     "product_daily_stock": with_ctes(
         """SELECT ds.product_id, ds.date, COALESCE(ds.units_sold, 0) AS units,
-                  COALESCE(sum(COALESCE(ds.units_sold, 0)) OVER (PARTITION BY ds.product_id ORDER BY ds.date DESC
-                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS units_after,
+                  CAST(COALESCE(sum(COALESCE(ds.units_sold, 0)) OVER (PARTITION BY ds.product_id ORDER BY ds.date DESC
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS units_after,
                   CAST(NULL AS BIGINT) AS stock_end, CAST(NULL AS BIGINT) AS stock_start
            FROM ds JOIN p ON p.product_id = ds.product_id""", "ti", "p", extra={"ds": _SALES}),
     "order_totals": with_ctes(

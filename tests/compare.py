@@ -63,3 +63,18 @@ def compare(spark_df, con, sql: str, limit_diff: int = 5):
         only_d = [r for r in dr if r not in set(sr)][:limit_diff]
         problems.append(f"values differ; spark-only={only_s} duck-only={only_d}")
     return problems
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def type_mismatches(spark_df, con, sql: str):
+    """Columns whose Spark type does not correspond to the oracle's DuckDB type."""
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in spark_df.schema.fields:
+        st = f.dataType.simpleString()
+        if SPARK_TO_DUCK.get(st, st) != duck_types.get(f.name):
+            out.append((f.name, st, duck_types.get(f.name)))
+    return out

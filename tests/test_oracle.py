@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from compare import compare, duck
+from compare import compare, duck, type_mismatches
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
@@ -24,6 +24,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con_small, name):
     df = E.queries()[name](spark, SF_SMALL)
     assert compare(df, con_small, E.oracle_sql()[name]) == []
+    assert type_mismatches(df, con_small, E.oracle_sql()[name]) == []
 
 
 @pytest.mark.parametrize("name", ["bought_together", "product_performance", "user_behavior",
