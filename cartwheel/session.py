@@ -53,7 +53,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
-            "spark.sql.execution.arrow.pyspark.enabled": "true"}
+            "spark.sql.execution.arrow.pyspark.enabled": "true",
+            # bucketed landing registers tables; keep the catalog folder out of the cwd
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cartwheel-wh-")}
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -48,6 +48,18 @@ class Shop:
         tables = landing.write_all(self, path, mode=mode, bucketed=bucketed)
         return Shop.from_landed(spark, path, tables)
 
-    def register_views(self, prefix: str = "") -> None:
+    def cleaned(self) -> "Shop":
+        """The same shop with transactions, sessions and products cleaned (Q1-Q3)."""
+        from cartwheel.operators import clean
+        return Shop(users=self.users, categories=self.categories,
+                    products=clean.clean_products(self.products),
+                    transactions=clean.clean_transactions(self.transactions),
+                    sessions=clean.clean_sessions(self.sessions))
+
+    def register_views(self, prefix: str = "", cleaned: bool = False) -> None:
+        """Temp views ``users products categories transactions sessions`` so
+        SQL text can be run with ``spark.sql``; ``cleaned=True`` registers the
+        cleaned datasets under the same names, as a batch job's SQL expects."""
+        shop = self.cleaned() if cleaned else self
         for name in DATASETS:
-            getattr(self, name).createOrReplaceTempView(prefix + name)
+            getattr(shop, name).createOrReplaceTempView(prefix + name)
