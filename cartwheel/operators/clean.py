@@ -62,3 +62,27 @@ def cleaning_report(transactions: DataFrame, sessions: DataFrame, products: Data
     return (_report_row(transactions, "transactions", valid_transaction())
             .unionByName(_report_row(sessions, "sessions", valid_session()))
             .unionByName(_report_row(products, "products", valid_product())))
+
+
+def normalize_transactions(transactions: DataFrame, default_quantity: int = 0) -> DataFrame:
+    """Coerce a document extract to fixed types with defaults, as column
+    expressions: total and discount become doubles (missing -> 0), each line's
+    quantity an int (missing -> ``default_quantity``; one consumer used 1, the
+    other 0) and its price a double. Generated lines carry ``unit_price``, not
+    ``price``, so price falls back to unit_price before the 0 default."""
+    item_fields = transactions.schema["items"].dataType.elementType.fieldNames()
+    zero = F.lit(0.0)
+
+    def line(x):
+        price = x["price"] if "price" in item_fields else F.lit(None).cast("double")
+        return F.struct(
+            x["product_id"].alias("product_id"),
+            F.coalesce(x["quantity"].try_cast("int"), F.lit(default_quantity)).alias("quantity"),
+            x["unit_price"].try_cast("double").alias("unit_price"),
+            x["subtotal"].try_cast("double").alias("subtotal"),
+            F.coalesce(price.try_cast("double"), x["unit_price"].try_cast("double"), zero).alias("price"))
+
+    return (transactions
+            .withColumn("total", F.coalesce(F.col("total").try_cast("double"), zero))
+            .withColumn("discount", F.coalesce(F.col("discount").try_cast("double"), zero))
+            .withColumn("items", F.transform("items", line)))

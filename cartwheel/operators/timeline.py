@@ -3,10 +3,9 @@
 A row key is ``<user_id>_<13-digit reverse epoch millis>``, so sorting keys
 ascending lists a user's sessions newest first. The flat table keeps the
 three column groups as prefixed columns (``session_info_*``, ``device_info_*``,
-``behavior_*``); selecting one group is plain column pruning. Landed with
-``repartitionByRange(user_id, row_key)`` + sorted files (see
-``sources.landing``), a per-user lookup reads only the row groups whose
-min/max key range covers the user.
+``behavior_*``); selecting one group is plain column pruning. Sessions landed
+bucketed by user and sorted (see ``sources.landing``), so a per-user lookup
+reads only the row groups whose min/max range covers the user.
 
 Every lookup has an all-users form (a filter or a per-user top-n window); the
 per-user top-n uses ``row_number() <= n``, which Spark executes with a
@@ -97,6 +96,13 @@ def user_sessions_upsert(flat: DataFrame, seq: str) -> DataFrame:
     return flat.groupBy("row_key").agg(winner.alias("r")).select("r.*")
 
 
+def select_families(flat: DataFrame, *families: str) -> DataFrame:
+    """Column-group projection (row key, user id and the named groups only);
+    on Parquet this is column pruning at the scan."""
+    cols = [c for f in families for c in FAMILIES[f]]
+    return flat.select("row_key", "user_id", *cols)
+
+
 def _newest_first(df: DataFrame, n: int) -> DataFrame:
     w = Window.partitionBy("user_id").orderBy("row_key")
     return (df.withColumn("recency_rank", F.row_number().over(w))
@@ -146,7 +152,7 @@ def session_by_key(flat: DataFrame, key) -> DataFrame:
 
 def user_session_behavior(flat: DataFrame, n: int = 10, user_id=None) -> DataFrame:
     """The behavior group only, newest n sessions per user."""
-    df = flat.select("user_id", "row_key", *BEHAVIOR)
+    df = select_families(flat, "behavior")
     if user_id is not None:
         df = df.filter(F.col("user_id") == F.lit(user_id))
     return _newest_first(df, n)

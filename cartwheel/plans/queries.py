@@ -36,9 +36,14 @@ def _pc(s: Shop) -> DataFrame:
     return clean.clean_products(s.products)
 
 
+def _norm(s: Shop, default_quantity: int = 0) -> DataFrame:
+    # document extracts are coerced with defaults before the CLV / chart queries
+    return clean.normalize_transactions(s.transactions, default_quantity)
+
+
 def _c360(s: Shop) -> DataFrame:
-    # CLV reads the raw (uncleaned) transactions and sessions
-    return clv.customer_360(s.users, s.transactions, s.sessions)
+    # CLV reads the raw (uncleaned) sessions and the normalised transactions
+    return clv.customer_360(s.users, _norm(s, 1), s.sessions)
 
 
 def _flat(s: Shop) -> DataFrame:
@@ -75,24 +80,24 @@ QUERIES: dict[str, Query] = {
     "user_segmentation": lambda s: customers.user_segmentation(s.transactions),
     # Q14-Q19 CLV
     "session_metrics": lambda s: clv.session_metrics(s.sessions),
-    "transaction_metrics": lambda s: clv.transaction_metrics(s.transactions),
+    "transaction_metrics": lambda s: clv.transaction_metrics(_norm(s, 1)),
     "customer_360": _c360,
     "clv": lambda s: clv.clv(_c360(s)),
     "top_customers_by_clv": lambda s: clv.top_customers_by_clv(clv.clv(_c360(s))),
     "segment_summary": lambda s: clv.segment_summary(clv.clv(_c360(s))),
     # Q20-Q28 chart data and summaries
-    "sales_over_time": lambda s: sales.sales_over_time(s.transactions),
-    "sales_summary": lambda s: sales.sales_summary(sales.sales_over_time(s.transactions)),
-    "customer_spending": lambda s: customers.customer_spending(s.transactions),
-    "spending_summary": lambda s: customers.spending_summary(customers.customer_spending(s.transactions)),
+    "sales_over_time": lambda s: sales.sales_over_time(_norm(s)),
+    "sales_summary": lambda s: sales.sales_summary(sales.sales_over_time(_norm(s))),
+    "customer_spending": lambda s: customers.customer_spending(_norm(s)),
+    "spending_summary": lambda s: customers.spending_summary(customers.customer_spending(_norm(s))),
     "spending_histogram": lambda s: customers.spending_histogram(
-        customers.customer_spending(s.transactions)),
-    "units_by_product": lambda s: products.units_by_product(s.transactions),
-    "top15_products": lambda s: products.top_products(s.transactions, 15),
-    "best_product": lambda s: products.best_product(s.transactions),
-    "conversion_funnel": lambda s: sess.conversion_funnel(s.sessions, s.transactions),
+        customers.customer_spending(_norm(s))),
+    "units_by_product": lambda s: products.units_by_product(_norm(s)),
+    "top15_products": lambda s: products.top_products(_norm(s), 15),
+    "best_product": lambda s: products.best_product(_norm(s)),
+    "conversion_funnel": lambda s: sess.conversion_funnel(s.sessions, _norm(s)),
     "funnel_conversion_rate": lambda s: sess.funnel_conversion_rate(
-        sess.conversion_funnel(s.sessions, s.transactions)),
+        sess.conversion_funnel(s.sessions, _norm(s))),
     # Q29-Q37 session timeline
     "session_row_keys": lambda s: timeline.session_row_keys(s.sessions),
     "user_sessions_flat": _flat,

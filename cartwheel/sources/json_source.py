@@ -47,11 +47,15 @@ def read_json(spark: SparkSession, paths: list[str] | str, schema, partitions: i
 
 
 def read_dataset(spark: SparkSession, json_dir: str, name: str,
-                 partitions: int | None = None) -> DataFrame:
+                 partitions: int | None = None, sample_limit: int | None = None) -> DataFrame:
+    """One dataset with its explicit schema. ``sample_limit`` takes an
+    arbitrary n documents (a sampling extract, like a capped export); by
+    default everything is read."""
     paths = existing_paths(json_dir, FILE_PATTERNS[name])
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return read_json(spark, paths, schemas.BY_NAME[name], partitions)
+    df = read_json(spark, paths, schemas.BY_NAME[name], partitions)
+    return df.limit(sample_limit) if sample_limit else df
 
 
 def write_json(df: DataFrame, path: str, max_records_per_file: int = 100_000,

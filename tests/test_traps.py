@@ -279,3 +279,16 @@ def test_daily_stock_from_final_stock(spark):
     from cartwheel.operators import metrics
     got = {str(r.date): (r.stock_start, r.stock_end) for r in metrics.product_daily_stock(prods, tx).collect()}
     assert got == {"2026-01-03": (13, 10), "2026-01-01": (15, 13)}
+
+
+def test_normalize_transactions_defaults(spark):
+    df = spark.createDataFrame(
+        [("t1", None, [("p1", None, 2.5, 2.5)]), ("t2", 7.0, [("p2", 3, None, 9.0)])],
+        "transaction_id string, total double, items array<struct<product_id:string,"
+        "quantity:int,unit_price:double,subtotal:double>>").withColumn("discount", F.lit(None).cast("double"))
+    got = {r.transaction_id: r for r in clean.normalize_transactions(df, default_quantity=1).collect()}
+    assert got["t1"].total == 0.0 and got["t1"].discount == 0.0
+    assert got["t1"].items[0].quantity == 1 and got["t1"].items[0].price == 2.5   # price <- unit_price
+    assert got["t2"].items[0].quantity == 3 and got["t2"].items[0].price == 0.0
+    zero_default = clean.normalize_transactions(df).collect()
+    assert {r.transaction_id: r.items[0].quantity for r in zero_default}["t1"] == 0
