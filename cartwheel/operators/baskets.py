@@ -11,8 +11,9 @@ Plan:
   row with higher-order array functions, so nothing is shuffled before the
   pair count, and the count is partially aggregated before its shuffle;
 * big baskets: lines are first reduced to (basket, product, multiplicity) and
-  paired by a salted self-join on (basket, salt), so one huge basket is spread
-  over ``salt_buckets`` tasks instead of building its pairs in one row.
+  paired by a salted self-join on (basket, salt) - one salt per ``big_basket``
+  lines, at most ``salt_buckets`` - so one huge basket is spread over many
+  tasks instead of building its pairs in one row.
 
 Both branches are exact; the union is summed per pair.
 """
@@ -35,14 +36,20 @@ def _in_row_pairs(baskets: DataFrame, ids_col: str) -> DataFrame:
                     F.lit(1).cast("bigint").alias("w")))
 
 
-def _salted_pairs(baskets: DataFrame, basket_col: str, ids_col: str, salt_buckets: int) -> DataFrame:
-    lines = (baskets.select(basket_col, F.explode(ids_col).alias("pid"))
+def _salted_pairs(baskets: DataFrame, basket_col: str, ids_col: str, big_basket: int,
+                  salt_buckets: int) -> DataFrame:
+    # salts per basket grow with its size (one per `big_basket` lines, at most
+    # `salt_buckets`): a medium basket is replicated a few times, a giant one
+    # is spread over `salt_buckets` tasks
+    n_salt = F.least(F.ceil(F.size(ids_col) / F.lit(max(big_basket, 1))).cast("int"),
+                     F.lit(salt_buckets))
+    lines = (baskets.select(basket_col, n_salt.alias("n_salt"), F.explode(ids_col).alias("pid"))
              .filter(F.col("pid").isNotNull())
-             .groupBy(basket_col, "pid").agg(F.count(F.lit(1)).alias("m")))
+             .groupBy(basket_col, "n_salt", "pid").agg(F.count(F.lit(1)).alias("m")))
     left = lines.select(basket_col, F.col("pid").alias("product_a"), F.col("m").alias("ma"),
-                        F.pmod(F.xxhash64("pid"), F.lit(salt_buckets)).alias("salt"))
+                        F.pmod(F.xxhash64("pid"), F.col("n_salt")).cast("int").alias("salt"))
     right = lines.select(basket_col, F.col("pid").alias("product_b"), F.col("m").alias("mb"),
-                         F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))).alias("salt"))
+                         F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1)).alias("salt"))
     return (left.join(right, [basket_col, "salt"])
             .filter(F.col("product_a") < F.col("product_b"))
             .select("product_a", "product_b", (F.col("ma") * F.col("mb")).alias("w")))
@@ -53,7 +60,8 @@ def basket_pair_counts(baskets: DataFrame, basket_col: str, ids_col: str, count_
     """(product_a, product_b, count) over baskets given as (basket id, array of product ids)."""
     b = baskets.select(basket_col, ids_col)
     small = _in_row_pairs(b.filter(F.size(ids_col) <= big_basket), ids_col)
-    big = _salted_pairs(b.filter(F.size(ids_col) > big_basket), basket_col, ids_col, salt_buckets)
+    big = _salted_pairs(b.filter(F.size(ids_col) > big_basket), basket_col, ids_col, big_basket,
+                        salt_buckets)
     return (small.unionByName(big).groupBy("product_a", "product_b")
             .agg(F.sum("w").alias(count_name)))
 

@@ -3,8 +3,10 @@
 The generator writes each dataset as ONE JSON array on ONE line
 (``users.json``, ``products.json`` ..., sessions chunked as ``sessions_*.json``).
 Spark's JSON reader turns a top-level array into one row per element, but such
-a file is one unsplittable task, so the reader repartitions right after the
-scan; a production pipeline lands these once as Parquet (see ``landing``).
+a file is one unsplittable task (read in multiLine mode, which streams the
+array's elements rather than holding a multi-hundred-MB line), so the reader
+repartitions right after the scan; a production pipeline lands these once as
+Parquet (see ``landing``).
 """
 
 from __future__ import annotations
@@ -33,7 +35,10 @@ def existing_paths(json_dir: str, pattern: str) -> list[str]:
 
 
 def read_json(spark: SparkSession, paths: list[str] | str, schema, partitions: int | None = None,
-              multiline: bool = False) -> DataFrame:
+              multiline: bool = True) -> DataFrame:
+    """``multiline=True`` (for files holding one JSON array) parses each file
+    as a stream of array elements instead of reading it as one giant line;
+    use ``multiline=False`` for JSON-lines files, which split across tasks."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return spark.createDataFrame([], schema)
