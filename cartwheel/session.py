@@ -92,3 +92,22 @@ def materialize(df):
     except Exception:  # sessions without a SparkContext handle (Spark Connect)
         pass
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
+                 cores: int | None = None) -> dict[str, str]:
+    """Shuffle sizing for a cluster run: start from about one shuffle
+    partition per ``target_partition_bytes`` of input (at least 2 per core) and
+    let AQE coalesce small ones and split skewed ones at runtime. E.g. 100 TB
+    -> ~400k initial partitions of <= 256 MB, each comfortably inside an
+    executor's memory with spill."""
+    n = max(1, -(-input_bytes // target_partition_bytes))
+    if cores:
+        n = max(n, 2 * cores)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 * 1024 * 1024)),
+    }

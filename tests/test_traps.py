@@ -292,3 +292,16 @@ def test_normalize_transactions_defaults(spark):
     assert got["t2"].items[0].quantity == 3 and got["t2"].items[0].price == 0.0
     zero_default = clean.normalize_transactions(df).collect()
     assert {r.transaction_id: r.items[0].quantity for r in zero_default}["t1"] == 0
+
+
+def test_every_query_runs_on_json_documents(shop):
+    """String ids and ISO-string timestamps (the documents' own types) go
+    through every registered query."""
+    from cartwheel.plans.queries import QUERIES
+    failures = {}
+    for name, q in QUERIES.items():
+        try:
+            q(shop).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # collect all failures for one report
+            failures[name] = str(e).splitlines()[0][:200]
+    assert failures == {}
