@@ -67,7 +67,7 @@ def user_segmentation(transactions: DataFrame, n: int = 10) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("transactions_count"),
                  F.coalesce(F.sum(F.col("total").cast(MONEY)), F.lit(0).cast(MONEY))
                   .cast("double").alias("total_spent"))
-            .orderBy(F.desc("transactions_count"), F.desc("total_spent"), "user_id").limit(n))
+            .orderBy(F.desc("transactions_count"), "user_id").limit(n))
 
 
 def customer_spending(transactions: DataFrame) -> DataFrame:

@@ -261,7 +261,7 @@ ORACLE: dict[str, str] = {
         f"""SELECT user_id, count(*) AS transactions_count,
                    CAST(COALESCE({money_sum('total')}, 0) AS DOUBLE) AS total_spent
             FROM t GROUP BY user_id
-            ORDER BY transactions_count DESC, total_spent DESC, user_id LIMIT 10""", "t"),
+            ORDER BY transactions_count DESC, user_id LIMIT 10""", "t"),
     "session_metrics": with_ctes("SELECT * FROM sm", "s", extra={"sm": _SM}),
     "transaction_metrics": with_ctes("SELECT * FROM tm", "t", extra={"tm": _TM}),
     "customer_360": with_ctes("SELECT * FROM c360", "u", "t", "s",

@@ -55,15 +55,16 @@ def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = True,
         # hash-partitioning by the bucket column first makes every write task
         # hold exactly one bucket: one file per bucket, not tasks x buckets
         df = df.repartition(n, "user_id")
-        w = (df.sortWithinPartitions(*sort_cols).write.mode(mode)
-             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
         if bucketed:
+            # the bucketed writer sorts each bucket by sort_cols itself
             table = f"{prefix}_{name}"
-            (w.bucketBy(n, "user_id").sortBy(*sort_cols).format("parquet")
-              .option("path", f"{base}/{name}").saveAsTable(table))
+            (df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+               .bucketBy(n, "user_id").sortBy(*sort_cols).format("parquet")
+               .option("path", f"{base}/{name}").saveAsTable(table))
             tables[name] = table
         else:
-            w.parquet(f"{base}/{name}")
+            (df.sortWithinPartitions(*sort_cols).write.mode(mode)
+               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(f"{base}/{name}"))
     return tables
 
 
