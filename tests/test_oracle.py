@@ -42,3 +42,15 @@ def test_entry_smoke(spark):
     assert df.columns == ["product_id", "product_name", "base_price", "category_name",
                           "transactions", "quantity_sold", "revenue", "total_views",
                           "conversion_rate"]
+
+
+def test_results_do_not_depend_on_callers_time_zone(spark, con_small):
+    """Row keys use epoch millis; the entry points pin the session zone to UTC."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        for name in ("session_row_keys", "page_view_durations", "clean_sessions"):
+            df = E.queries()[name](spark, SF_SMALL)
+            assert compare(df, con_small, E.oracle_sql()[name]) == [], name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

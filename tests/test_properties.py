@@ -83,3 +83,14 @@ def test_histogram_counts_all_customers(shop):
     vals = np.array([r.total_spent for r in cs.collect()])
     want, _ = np.histogram(vals, bins=50)
     assert [r.customers for r in h] == list(want)
+
+
+def test_stored_output_property_of_compatible_form(shop):
+    """The reference's one stored result has, in every row,
+    total_spent / avg_order_value = total_purchases x total_sessions."""
+    rows = QUERIES["user_behavior"](shop).collect()
+    assert 0 < len(rows) <= 20
+    assert [r.total_spent for r in rows] == sorted((r.total_spent for r in rows), reverse=True)
+    for r in rows:
+        ratio = r.total_spent / r.avg_order_value
+        assert abs(ratio - r.total_purchases * max(1, r.total_sessions)) < 1e-6
