@@ -43,19 +43,24 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "cartwheel", extra: dict | None = None) -> SparkSession:
-    """Local/test session builder. On a cluster, pass the cluster's own session
-    to :func:`configure` instead."""
+    """Session builder. With a ``local[...]`` master it also sizes shuffles and
+    folders for one machine; without a master (spark-submit on a cluster) only
+    the result and AQE settings are applied - shuffle sizing then comes from
+    the cluster (see :func:`cluster_conf`)."""
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
     conf = {**RESULT_CONF, **SCALE_CONF,
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.execution.arrow.pyspark.enabled": "true"}
+    if master and master.startswith("local"):
+        # single-machine runs only: a cluster brings its own sizing and folders
+        conf.update({
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "16g",
-            "spark.sql.execution.arrow.pyspark.enabled": "true",
             # bucketed landing registers tables; keep the catalog folder out of the cwd
-            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cartwheel-wh-")}
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cartwheel-wh-")})
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

@@ -65,3 +65,26 @@ def test_bucketed_landing_removes_per_user_shuffles(spark, scratch):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Exchange hashpartitioning" not in plan, name
     assert QUERIES["clv"](landed).count() == landed.users.count()
+
+
+def test_jobs_write_every_result(spark, scratch):
+    from cartwheel import jobs
+    shop = Shop.from_testdata(spark, SF)
+    out = os.path.join(scratch, "job_out")
+    written = jobs.run_job(shop, "charts", out, single_file=True)
+    assert set(written) == {"sales_over_time", "customer_spending", "top_products", "conversion_funnel"}
+    df = QUERIES["conversion_funnel"](shop)
+    back = sinks.read_csv(spark, written["conversion_funnel"], df.schema)
+    assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_jobs_cli(scratch):
+    import subprocess
+    import sys
+    out = os.path.join(scratch, "cli_out")
+    r = subprocess.run([sys.executable, "-m", "cartwheel.jobs", "--testdata", SF, "--out", out,
+                        "--job", "clv", "--master", "local[2]"],
+                       cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
+                       capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert os.path.isdir(os.path.join(out, "clv_analysis")) and os.path.isdir(os.path.join(out, "segment_summary"))
