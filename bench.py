@@ -35,8 +35,9 @@ def main() -> None:
     mode = os.environ.get("BENCH_MODE", "landed")
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     repeat = max(1, int(os.environ.get("BENCH_REPEAT", "2")))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                          app_name="cartwheel-bench")
+    # one shuffle partition (and bucket) per core at this data size; AQE coalesces further
+    partitions = int(os.environ.get("BENCH_PARTITIONS", cpus))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=partitions, app_name="cartwheel-bench")
     times: dict[str, float] = {}
     first: dict[str, float] = {}
 
