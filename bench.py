@@ -48,7 +48,7 @@ def main() -> None:
     if mode == "landed":
         target = f"{checkpoint_dir(spark).rstrip('/')}/bench-{uuid.uuid4().hex[:8]}"
         t0 = time.perf_counter()
-        shop = shop.land(target, bucketed=os.environ.get("BENCH_BUCKETED", "1") == "1")
+        shop = shop.land(target, bucketed=os.environ.get("BENCH_BUCKETED", "0") == "1")
         times["land"] = round(time.perf_counter() - t0, 3)
 
     for name, q in QUERIES.items():

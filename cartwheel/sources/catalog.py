@@ -40,9 +40,10 @@ class Shop:
         from cartwheel.sources import landing
         return cls(**{name: landing.read(spark, path, name, tables) for name in DATASETS})
 
-    def land(self, path: str, mode: str = "overwrite", bucketed: bool = True) -> "Shop":
-        """Write all five datasets as Parquet (user-keyed ones bucketed by
-        user_id) and return a Shop reading them back."""
+    def land(self, path: str, mode: str = "overwrite", bucketed: bool = False) -> "Shop":
+        """Write all five datasets as Parquet and return a Shop reading them
+        back (``bucketed=True``: user-keyed ones as tables bucketed by user_id;
+        see ``sources.landing`` for the trade-off)."""
         from cartwheel.sources import landing
         spark = self.users.sparkSession
         tables = landing.write_all(self, path, mode=mode, bucketed=bucketed)

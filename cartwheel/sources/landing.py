@@ -2,19 +2,21 @@
 
 Two layouts:
 
-* ``bucketed=True`` (default): users, transactions and sessions are written as
-  tables bucketed by ``user_id`` into the same number of buckets and sorted by
-  it inside each bucket. Spark then knows the files' hash partitioning: every
-  per-user aggregation (CLV, spending, segmentation, behaviour) runs without a
-  shuffle, and joins of those per-user results with each other and with the
-  users table are co-located (no exchange on either side).
-* ``bucketed=False``: plain Parquet folders, hash-partitioned by ``user_id``
-  and sorted inside each file, readable by path from any session.
+* default: plain Parquet folders written through a ``rebalance`` hint on
+  ``user_id`` and sorted by (user, time) inside each file. Rows of a user are
+  one contiguous sorted run, so a per-user lookup skips row groups on min/max
+  statistics. The rebalance is hash partitioning that AQE may split: a user
+  holding a third of all rows is written by several tasks instead of one, and
+  no sampling pass over the input is needed (a range partitioning would run
+  one).
+* ``bucketed=True`` (opt-in): users, transactions and sessions become tables
+  bucketed by ``user_id`` into the same number of buckets. Spark then knows the
+  files' partitioning: per-user aggregations and their joins run with no
+  shuffle at all. The price: a bucket is read by one task, so one very hot user
+  makes one very long task. Use it when per-user volume is known to be bounded.
 
-Either way a user's rows are one sorted run inside one file, so a per-user
-lookup skips row groups on min/max statistics; transactions are sorted by
-(user, time) and sessions by (user, start time). Landing is also where lineage
-is cut: queries start from files, not from the adapter's joins.
+Landing is also where lineage is cut: queries start from files, not from the
+adapter's joins.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def table_prefix(path: str) -> str:
     return f"cw_{tail}_{uuid.uuid4().hex[:6]}"
 
 
-def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = True,
+def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = False,
               buckets: int | None = None) -> dict[str, str]:
     """Write the five datasets under ``path``; returns {dataset: table name}
     for bucketed tables (empty when ``bucketed=False``)."""
@@ -52,18 +54,18 @@ def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = True,
         getattr(shop, name).write.mode(mode).parquet(f"{base}/{name}")
     for name, sort_cols in USER_KEYED.items():
         df = getattr(shop, name)
-        # hash-partitioning by the bucket column first makes every write task
-        # hold exactly one bucket: one file per bucket, not tasks x buckets
-        df = df.repartition(n, "user_id")
         if bucketed:
-            # the bucketed writer sorts each bucket by sort_cols itself
+            # hash-partitioning by the bucket column first makes every write
+            # task hold exactly one bucket: one file per bucket, not tasks x
+            # buckets; the bucketed writer sorts each bucket by sort_cols
             table = f"{prefix}_{name}"
-            (df.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            (df.repartition(n, "user_id").write.mode(mode)
+               .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
                .bucketBy(n, "user_id").sortBy(*sort_cols).format("parquet")
                .option("path", f"{base}/{name}").saveAsTable(table))
             tables[name] = table
         else:
-            (df.sortWithinPartitions(*sort_cols).write.mode(mode)
+            (df.hint("rebalance", "user_id").sortWithinPartitions(*sort_cols).write.mode(mode)
                .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(f"{base}/{name}"))
     return tables
 

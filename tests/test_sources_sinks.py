@@ -15,10 +15,11 @@ SF = "/root/testdata/sf0.001"
 
 def test_landing_round_trip_gives_same_results(spark, scratch):
     lazy = Shop.from_testdata(spark, SF)
-    landed = lazy.land(os.path.join(scratch, "landed"))
-    for name in ("product_performance", "clv", "user_sessions_flat", "bought_together"):
-        a, b = QUERIES[name](lazy), QUERIES[name](landed)
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+    for bucketed in (False, True):
+        landed = lazy.land(os.path.join(scratch, f"landed_{bucketed}"), bucketed=bucketed)
+        for name in ("product_performance", "clv", "user_sessions_flat", "bought_together"):
+            a, b = QUERIES[name](lazy), QUERIES[name](landed)
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, (name, bucketed)
 
 
 def test_json_export_and_reimport(spark, scratch):
@@ -59,7 +60,7 @@ def test_parquet_sink_partitioned(spark, scratch):
 
 
 def test_bucketed_landing_removes_per_user_shuffles(spark, scratch):
-    landed = Shop.from_testdata(spark, SF).land(os.path.join(scratch, "landed_bucketed"))
+    landed = Shop.from_testdata(spark, SF).land(os.path.join(scratch, "landed_bucketed"), bucketed=True)
     for name in ("transaction_metrics", "session_metrics", "customer_spending", "user_segmentation"):
         df = QUERIES[name](landed)
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -45,45 +45,60 @@ def summarise(text: str) -> dict:
     }
 
 
+PER_USER = ["user_behavior", "transaction_metrics", "session_metrics", "customer_360", "clv",
+            "customer_spending", "user_segmentation", "last_sessions"]
+
+
+def table(shop, names) -> None:
+    print("| query | shuffles | broadcasts | joins | scans | windows | python | pushed filters |")
+    print("|---|---|---|---|---|---|---|---|")
+    for name in names:
+        s = summarise(explain_text(QUERIES[name](shop)))
+        pushed = "; ".join(s["pushed"])[:120] or "-"
+        print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['joins']} | {s['scans']} | "
+              f"{s['windows']} | {s['python']} | {pushed} |")
+
+
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=16, app_name="plan-report",
                           extra={"spark.sql.adaptive.enabled": "false"})
-    shop = Shop.from_testdata(spark, sf_dir).land(tempfile.mkdtemp(prefix="plans-") + "/landed")
+    base = Shop.from_testdata(spark, sf_dir)
+    scratch = tempfile.mkdtemp(prefix="plans-")
     print("# Physical plans over landed data\n")
     print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (AQE off: static plans; "
           "broadcasts appear where Spark's size threshold allows them at this scale and "
-          "become sort-merge joins beyond it). Users, transactions and sessions are bucketed "
-          "by user_id.\n")
-    print("| query | shuffles | broadcasts | joins | scans | windows | python | pushed filters |")
-    print("|---|---|---|---|---|---|---|---|")
-    for name, q in QUERIES.items():
-        s = summarise(explain_text(q(shop)))
-        pushed = "; ".join(s["pushed"])[:120] or "-"
-        print(f"| {name} | {s['shuffles']} | {s['broadcasts']} | {s['joins']} | {s['scans']} | "
-              f"{s['windows']} | {s['python']} | {pushed} |")
+          "become sort-merge joins beyond it).\n")
+    print("## Default landing (rebalanced by user_id, sorted files)\n")
+    table(base.land(scratch + "/plain"), list(QUERIES))
+    print("\n## Opt-in bucketed landing (user-keyed tables bucketed by user_id)\n")
+    table(base.land(scratch + "/bucketed", bucketed=True), PER_USER)
     print(NOTES)
     spark.stop()
 
 
 NOTES = """
-## Reading the table
-
-* **0 shuffles** on every per-user query (user_behavior, CLV family, spending,
-  segmentation, session/transaction metrics, newest-n sessions): the landed
-  tables are bucketed by user_id, so per-user aggregation and the joins of
-  per-user results are co-located. In-row operators (cleaning, row keys, flat
-  timeline, page-view durations, order totals) have no shuffle by construction.
-* **bought_together / viewed_together (5)**: pair count (1), the big-basket
+## Reading the tables
+
+* **Per-user queries** shuffle once on user_id after map-side partial
+  aggregation in the default layout, so a user holding a third of all rows is
+  one partial row per map task. With the opt-in bucketed layout they run with
+  **0 shuffles** (aggregation and joins co-located by the bucketing), at the
+  cost of reading each bucket in one task - the right choice only when
+  per-user volume is bounded.
+* **In-row operators** (cleaning, row keys, flat timeline, page-view durations,
+  order totals) have no shuffle by construction.
+* **bought_together / viewed_together**: pair count (1), the big-basket
   branch's (basket, product) aggregation and its two salted join sides (3),
   and the global sort the result is delivered in (1). Ordinary baskets build
   their pairs in-row, so the main branch reaches its aggregation without a
-  shuffle. The branch is empty unless a basket has more than 256 lines.
-* **Distinct aggregates** appear as two shuffles (partial on key+value, then key);
-  none uses Expand (no query has two DISTINCT aggregates).
+  shuffle. The big-basket branch is empty unless a basket has more than 256
+  lines.
+* **Distinct aggregates** appear as two shuffles (partial on key+value, then
+  key); no plan contains an Expand (no query has two DISTINCT aggregates).
 * **product_daily_metrics**: the full outer join on (product, day) is a
   sort-merge join whose sides are already partitioned by their aggregations;
-  range forms push timestamp bounds into both scans (pushed filters column).
+  the range forms push timestamp bounds into both scans (pushed filters).
 * **Windows** run only on bounded inputs: per-user newest-n (with a partial
   WindowGroupLimit before the shuffle), per-product daily rows (one per sales
   day), page-type transitions (at most 49 rows).
