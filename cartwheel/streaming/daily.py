@@ -56,6 +56,19 @@ def daily_product_views_stream(sessions: DataFrame, watermark: str = "1 day") ->
             .select("product_id", F.to_date(F.col("w.start")).alias("date"), "view_count"))
 
 
+def daily_product_sales_stream(transactions: DataFrame, watermark: str = "2 days") -> DataFrame:
+    """(product_id, date, units_sold, revenue) from transaction lines as
+    transactions arrive - the sales side of the daily product metrics."""
+    lines = transactions.select(_event_time(transactions, "timestamp").alias("event_time"),
+                                F.inline("items"))
+    return (lines.withWatermark("event_time", watermark)
+            .groupBy(F.window("event_time", "1 day").alias("w"), "product_id")
+            .agg(F.sum("quantity").alias("units_sold"),
+                 F.sum(F.col("subtotal").cast(MONEY)).alias("revenue"))
+            .select("product_id", F.to_date(F.col("w.start")).alias("date"), "units_sold",
+                    F.col("revenue").cast("double").alias("revenue")))
+
+
 def start(stream_df: DataFrame, sink_path: str, checkpoint: str, output_mode: str = "append",
           available_now: bool = False, fmt: str = "parquet") -> StreamingQuery:
     """Start a query writing finalised windows to files; the checkpoint folder

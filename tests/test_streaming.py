@@ -45,3 +45,17 @@ def test_append_mode_emits_only_finished_days(spark, scratch):
              .agg(F.count(F.lit(1)).alias("view_count")))
     assert got.count() > 0
     assert got.exceptAll(batch).count() == 0
+
+
+def test_daily_product_sales_stream_matches_batch(spark, scratch):
+    from pyspark.sql import functions as F
+    from cartwheel.operators import metrics
+    landed = Shop.from_testdata(spark, SF).land(os.path.join(scratch, "stream_src2"))
+    src = os.path.join(scratch, "stream_src2", "transactions")
+    stream = daily.read_stream(spark, src, landed.transactions.schema)
+    _run_update(daily.daily_product_sales_stream(stream, watermark="36500 days"), "product_sales_out")
+    got = spark.sql("SELECT product_id, date, max(units_sold) AS units_sold, max(revenue) AS revenue "
+                    "FROM product_sales_out GROUP BY product_id, date")
+    want = (metrics.daily_sales(landed.transactions)
+            .select("product_id", "date", "units_sold", F.col("revenue_dec").cast("double").alias("revenue")))
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
