@@ -96,7 +96,12 @@ def materialize(df):
         checkpoint_dir(df.sparkSession)
     except Exception:  # sessions without a SparkContext handle (Spark Connect)
         pass
-    return df.checkpoint(eager=True)
+    try:
+        return df.checkpoint(eager=True)
+    except Exception:
+        # no usable checkpoint folder in this session: keep the lineage (the
+        # result is the same, the input is just recomputed by later passes)
+        return df
 
 
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
