@@ -309,7 +309,7 @@ ORACLE: dict[str, str] = {
                                    AS bin
                             FROM cs CROSS JOIN adj WHERE total_spent IS NOT NULL"""}),
     "units_by_product": with_ctes("SELECT * FROM ubp", "ti", extra={"ubp": _UBP}),
-    "top15_products": with_ctes("SELECT * FROM ubp ORDER BY units_sold DESC, product_id LIMIT 15",
+    "top_products_15": with_ctes("SELECT * FROM ubp ORDER BY units_sold DESC, product_id LIMIT 15",
                                 "ti", extra={"ubp": _UBP}),
     "best_product": with_ctes("SELECT * FROM ubp ORDER BY units_sold DESC, product_id LIMIT 1",
                               "ti", extra={"ubp": _UBP}),

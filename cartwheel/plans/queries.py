@@ -93,7 +93,7 @@ QUERIES: dict[str, Query] = {
     "spending_histogram": lambda s: customers.spending_histogram(
         customers.customer_spending(_norm(s))),
     "units_by_product": lambda s: products.units_by_product(_norm(s)),
-    "top15_products": lambda s: products.top_products(_norm(s), 15),
+    "top_products_15": lambda s: products.top_products(_norm(s), 15),
     "best_product": lambda s: products.best_product(_norm(s)),
     "conversion_funnel": lambda s: sess.conversion_funnel(s.sessions, _norm(s)),
     "funnel_conversion_rate": lambda s: sess.funnel_conversion_rate(

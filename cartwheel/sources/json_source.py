@@ -5,7 +5,7 @@ The generator writes each dataset as ONE JSON array on ONE line
 Spark's JSON reader turns a top-level array into one row per element, but such
 a file is one unsplittable task (read in multiLine mode, which streams the
 array's elements rather than holding a multi-hundred-MB line), so the reader
-repartitions right after the scan; a production pipeline lands these once as
+repartitions right after the scan; a production job lands these once as
 Parquet (see ``landing``).
 """
 
