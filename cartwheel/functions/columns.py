@@ -75,3 +75,11 @@ def div_half_up(num, den, places: int = 2) -> Column:
     scale = 10 ** places
     q = F.call_function("div", F.lit(2) * F.abs(n) * F.lit(scale) + d, F.lit(2) * d)
     return F.when(d != 0, F.signum(n) * q.cast("double") / F.lit(float(scale)))
+
+
+def array_fields(array_col: str, *fields: str) -> Column:
+    """array<struct> restricted to ``fields``, built from per-field arrays
+    (``items.product_id`` ...). Field extractions prune the Parquet scan to
+    those nested columns; exploding the whole array (or a lambda over it)
+    would read every field of every element."""
+    return F.arrays_zip(*[F.col(f"{array_col}.{f}").alias(f) for f in fields])

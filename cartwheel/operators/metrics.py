@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import MONEY, parse_ts
+from cartwheel.functions.columns import MONEY, array_fields, parse_ts
 from cartwheel.operators.products import item_facts
 
 VIEWS = ["view_count", "unique_users", "avg_view_duration", "sessions_with_view"]
@@ -37,7 +37,8 @@ def daily_views(sessions: DataFrame, start: str | None = None, end: str | None =
         sessions = sessions.filter(_ts_range(sessions, "start_time", start, end, "end_time"))
     pv_type = sessions.schema["page_views"].dataType.elementType["timestamp"].dataType.typeName()
     day = (lambda t: F.to_date(F.try_to_timestamp(t))) if pv_type == "string" else F.to_date
-    views = F.filter(F.transform("page_views", lambda x: F.struct(
+    views = F.filter(F.transform(array_fields("page_views", "product_id", "timestamp", "view_duration"),
+                                 lambda x: F.struct(
         x["product_id"].alias("product_id"), day(x["timestamp"]).alias("date"),
         x["view_duration"].alias("view_duration"), F.lit(0).alias("first"))),
         lambda v: v["product_id"].isNotNull())

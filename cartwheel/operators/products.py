@@ -13,16 +13,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import money_sum
+from cartwheel.functions.columns import array_fields, money_sum
 
 
 def item_facts(transactions: DataFrame, *keep: str) -> DataFrame:
     """One row per line item plus one marker row per distinct product of a
     transaction: (product_id, quantity, subtotal, first) with first = 1 on
     marker rows (quantity/subtotal NULL there) and 0 on line rows."""
-    line = F.transform("items", lambda x: F.struct(
-        x.product_id.alias("product_id"), x.quantity.alias("quantity"),
-        x.subtotal.alias("subtotal"), F.lit(0).alias("first")))
+    lines = array_fields("items", "product_id", "quantity", "subtotal")
+    line = F.transform(lines, lambda x: F.struct(
+        x["product_id"].alias("product_id"), x["quantity"].alias("quantity"),
+        x["subtotal"].alias("subtotal"), F.lit(0).alias("first")))
     marker = F.transform(F.array_distinct(F.col("items.product_id")), lambda p: F.struct(
         p.alias("product_id"), F.lit(None).cast("int").alias("quantity"),
         F.lit(None).cast("double").alias("subtotal"), F.lit(1).alias("first")))
@@ -72,23 +73,23 @@ def product_performance(transactions_clean: DataFrame, sessions_clean: DataFrame
 def units_by_product(transactions: DataFrame) -> DataFrame:
     """Units sold per product, all products, most sold first (a missing
     quantity counts as 0)."""
-    return (transactions.select(F.explode("items").alias("it"))
-            .groupBy(F.col("it.product_id").alias("product_id"))
-            .agg(F.coalesce(F.sum(F.coalesce("it.quantity", F.lit(0))), F.lit(0)).alias("units_sold"))
+    return (transactions.select(F.inline(array_fields("items", "product_id", "quantity")))
+            .groupBy("product_id")
+            .agg(F.coalesce(F.sum(F.coalesce("quantity", F.lit(0))), F.lit(0)).alias("units_sold"))
             .orderBy(F.desc("units_sold"), "product_id"))
 
 
 def top_selling_products(transactions: DataFrame, n: int = 10) -> DataFrame:
-    return (transactions.select(F.explode("items").alias("it"))
-            .groupBy(F.col("it.product_id").alias("product_id"))
-            .agg(F.coalesce(F.sum("it.quantity"), F.lit(0)).alias("total_quantity_sold"))
+    return (transactions.select(F.inline(array_fields("items", "product_id", "quantity")))
+            .groupBy("product_id")
+            .agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_quantity_sold"))
             .orderBy(F.desc("total_quantity_sold"), "product_id").limit(n))
 
 
 def most_viewed_products(sessions: DataFrame, n: int = 10) -> DataFrame:
-    return (sessions.select(F.explode("page_views").alias("pv"))
-            .filter(F.col("pv.product_id").isNotNull())
-            .groupBy(F.col("pv.product_id").alias("product_id"))
+    return (sessions.select(F.explode("page_views.product_id").alias("product_id"))
+            .filter(F.col("product_id").isNotNull())
+            .groupBy("product_id")
             .agg(F.count(F.lit(1)).alias("views"))
             .orderBy(F.desc("views"), "product_id").limit(n))
 
@@ -96,8 +97,7 @@ def most_viewed_products(sessions: DataFrame, n: int = 10) -> DataFrame:
 def revenue_by_category(transactions: DataFrame, products: DataFrame, n: int = 10) -> DataFrame:
     """Line subtotals by the category of their product (inner lookup: lines
     of unknown products are dropped, duplicated product ids multiply)."""
-    lines = transactions.select(F.explode("items").alias("it")).select(
-        F.col("it.product_id").alias("product_id"), F.col("it.subtotal").alias("subtotal"))
+    lines = transactions.select(F.inline(array_fields("items", "product_id", "subtotal")))
     # pre-aggregate per product before the lookup join: the join then moves
     # one row per product instead of one per line
     per_product = lines.groupBy("product_id").agg(
