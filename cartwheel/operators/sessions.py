@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import parse_ts, safe_size, whole_seconds
+from cartwheel.functions.columns import array_fields, parse_ts, safe_size, whole_seconds
 
 FUNNEL_STAGES = ("Viewed Product", "Added to Cart", "Purchased")
 
@@ -84,10 +84,11 @@ def session_conversion_status(sessions: DataFrame, transactions: DataFrame) -> D
                      .otherwise(F.lit("browsed")).alias("derived_status")))
 
 
-def _sorted_views(sessions: DataFrame) -> Column:
-    """Page views in time order (stable: equal times keep their order)."""
+def _sorted_views(sessions: DataFrame, *fields: str) -> Column:
+    """Page views (only ``fields``, which include timestamp) in time order;
+    the sort is stable, so equal times keep their order."""
     ts = "timestamp"
-    pv = F.col("page_views")
+    pv = array_fields("page_views", *fields)
     if sessions.schema["page_views"].dataType.elementType[ts].dataType.typeName() == "string":
         pv = F.transform(pv, lambda x: x.withField(ts, F.try_to_timestamp(x[ts])))
     return F.array_sort(pv, lambda a, b: F.when(a[ts] < b[ts], -1)
@@ -100,7 +101,7 @@ def page_view_durations(sessions: DataFrame) -> DataFrame:
     # the sorted array becomes a column first, so the per-element lambda reads
     # it by index instead of re-sorting it for every element
     df = sessions.select("session_id", parse_ts(sessions, "end_time").alias("end_t"),
-                         _sorted_views(sessions).alias("sv"))
+                         _sorted_views(sessions, "timestamp", "page_type", "product_id").alias("sv"))
     sv = F.col("sv")
     with_next = F.transform(sv, lambda x, i: F.struct(
         (i + 1).alias("view_index"), x["timestamp"].alias("timestamp"),
@@ -113,7 +114,8 @@ def page_view_durations(sessions: DataFrame) -> DataFrame:
 def page_transitions(sessions: DataFrame) -> DataFrame:
     """Measured page-flow: count of page_type -> next page_type and its share
     among all transitions out of the same page type."""
-    df = sessions.select(F.transform(_sorted_views(sessions), lambda x: x["page_type"]).alias("pt"))
+    df = sessions.select(F.transform(_sorted_views(sessions, "timestamp", "page_type"),
+                                     lambda x: x["page_type"]).alias("pt"))
     pt = F.col("pt")
     steps = F.transform(F.slice(pt, 2, 2 ** 31 - 3),
                         lambda to, i: F.struct(F.element_at(pt, i + 1).alias("from_page"),
