@@ -12,7 +12,7 @@ arithmetically.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import MONEY
@@ -75,49 +75,53 @@ def customer_spending(transactions: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("total").cast(MONEY)).cast("double").alias("total_spent")))
 
 
-def exact_median(df: DataFrame, col: str, accuracy: int = 10000):
-    """Exact median (mean of the two middle values for an even count) without
-    gathering the column into one task.
+def exact_median(df: DataFrame, col: str, accuracy: int = 10000, small: int = 10000):
+    """Exact median (mean of the two middle values for an even count) with no
+    single-task step over the data.
 
-    Job 1: count and a distributed approximate-quantile sketch bracketing the
-    middle (rank error <= n/accuracy). Job 2: how many values fall below and
-    inside the bracket. Job 3: only the bracket, grouped by value (ties
-    collapse to one row), is ranked exactly, and the one or two middle values
-    come back. If the sketch ever misses, the bracket is widened. Returns a
-    Python float (None for no values).
+    Each round, a distributed approximate-quantile sketch (rank error <=
+    m/accuracy over the m values still in play) brackets the two middle ranks,
+    and one counting pass checks the bracket (widened if the sketch missed).
+    The bracket shrinks about accuracy/4-fold per round, so after a round or
+    two it holds few values; those are grouped by value (ties - a hot value -
+    collapse to one row) and at most ``small`` (value, count) rows are ranked
+    on the driver. Returns a Python float (None for no values).
     """
-    base = df.select(F.col(col).alias("v")).filter(F.col("v").isNotNull())
-    delta = 2.0 / accuracy
+    v = F.col("v")
+    band = df.select(F.col(col).alias("v")).filter(v.isNotNull())
+    n = band.count()
+    if n == 0:
+        return None
+    k1, k2 = (n - 1) // 2, n // 2
+    below, m = 0, n                       # values left of the band, values in it
     while True:
-        stats = base.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(
-            "v", F.array(F.lit(max(0.0, 0.5 - delta)), F.lit(min(1.0, 0.5 + delta))),
-            accuracy).alias("q")).first()
-        n = stats["n"]
-        if n == 0:
-            return None
-        k1, k2 = (n - 1) // 2, n // 2
-        lo = None if 0.5 - delta <= 0 else stats["q"][0]
-        hi = None if 0.5 + delta >= 1 else stats["q"][1]
-        is_below = (F.col("v") < lo) if lo is not None else F.lit(False)
-        in_band = F.lit(True)
-        if lo is not None:
-            in_band = in_band & (F.col("v") >= lo)
-        if hi is not None:
-            in_band = in_band & (F.col("v") <= hi)
-        c = base.agg(F.count_if(is_below).alias("below"), F.count_if(in_band).alias("inside")).first()
-        below, inside = c["below"], c["inside"]
-        if below <= k1 and below + inside > k2:
+        grouped = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+        if m <= small or grouped.limit(small + 1).count() <= small:
             break
-        delta *= 4
-    grouped = base.filter(in_band).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    cum = F.sum("c").over(Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)) + F.lit(below)
-    ranks = grouped.select("v", "c", cum.alias("cum"))
-    hit = lambda k: (F.col("cum") > k) & (F.col("cum") - F.col("c") <= k)
-    picked = (ranks.filter(hit(k1) | hit(k2))
-              .select(F.col("v").cast("decimal(38,2)").alias("v"), "c", "cum").collect())
+        delta = 2.0 / accuracy
+        while True:
+            p_lo = max(0.0, (k1 - below) / m - delta)
+            p_hi = min(1.0, (k2 - below + 1) / m + delta)
+            lo, hi = band.agg(F.percentile_approx(
+                "v", F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("q")).first()["q"]
+            c = band.agg(F.count_if(v < lo).alias("b"),
+                         F.count_if((v >= lo) & (v <= hi)).alias("i")).first()
+            if below + c["b"] <= k1 and below + c["b"] + c["i"] > k2:
+                break
+            delta *= 4
+        if c["i"] == m:                   # no progress possible: rank the groups as they are
+            break
+        band, below, m = band.filter((v >= lo) & (v <= hi)), below + c["b"], c["i"]
+    rows = sorted((r["v"], r["c"]) for r in
+                  grouped.select(F.col("v").cast("decimal(38,2)").alias("v"), "c").collect())
 
     def at(k):
-        return next(r.v for r in picked if r.cum > k and r.cum - r.c <= k)
+        seen = below
+        for value, count in rows:
+            seen += count
+            if seen > k:
+                return value
+        raise AssertionError("rank outside the bracket")
 
     return float((at(k1) + at(k2)) / 2)
 

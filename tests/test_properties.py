@@ -94,3 +94,14 @@ def test_stored_output_property_of_compatible_form(shop):
     for r in rows:
         ratio = r.total_spent / r.avg_order_value
         assert abs(ratio - r.total_purchases * max(1, r.total_sessions)) < 1e-6
+
+
+@pytest.mark.parametrize("n,hot", [(2001, True), (3000, False), (4, False)])
+def test_exact_median_narrowing_rounds(spark, n, hot):
+    rng = np.random.default_rng(n)
+    vals = np.round(rng.gamma(2.0, 50.0, n), 2)
+    if hot:
+        vals[: n // 3] = vals[n // 2]
+    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
+    got = customers.exact_median(df, "v", accuracy=50, small=8)   # forces several rounds
+    assert abs(got - float(np.median(vals))) < 1e-9
