@@ -58,7 +58,11 @@ def read_dataset(spark: SparkSession, json_dir: str, name: str,
     default everything is read."""
     paths = existing_paths(json_dir, FILE_PATTERNS[name])
     if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # a few big unsplittable files would leave most cores idle downstream:
+        # spread their rows once; many files already give many read tasks
+        target = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        local_glob = "://" not in json_dir
+        partitions = target if (local_glob and 0 < len(paths) < target) else None
     df = read_json(spark, paths, schemas.BY_NAME[name], partitions)
     return df.limit(sample_limit) if sample_limit else df
 
