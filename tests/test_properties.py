@@ -105,3 +105,21 @@ def test_exact_median_narrowing_rounds(spark, n, hot):
     df = spark.createDataFrame([(float(v),) for v in vals], "v double")
     got = customers.exact_median(df, "v", accuracy=50, small=8)   # forces several rounds
     assert abs(got - float(np.median(vals))) < 1e-9
+
+
+def test_single_user_lookups_agree_with_all_user_forms(shop):
+    from cartwheel.operators import timeline
+    flat = timeline.user_sessions_flat(shop.sessions)
+    uid = flat.groupBy("user_id").count().orderBy(F.desc("count"), "user_id").first().user_id
+    last = [r.row_key for r in timeline.last_sessions_for_user(flat, uid, 5).collect()]
+    want = [r.row_key for r in timeline.last_sessions(flat, 5).filter(F.col("user_id") == uid)
+            .orderBy("recency_rank").collect()]
+    assert last == want and len(last) == 5
+    every = timeline.all_sessions_for_user(flat, uid).collect()
+    assert [r.row_key for r in every] == sorted(r.row_key for r in every)
+    key = last[0]
+    assert [r.row_key for r in timeline.session_by_key(flat, key).collect()] == [key]
+    conv = timeline.converted_sessions_for_user(flat, uid).collect()
+    assert all(r.behavior_conversion_status == "converted" and r.user_id == uid for r in conv)
+    beh = timeline.user_session_behavior(flat, 10, uid)
+    assert set(beh.columns) == {"row_key", "user_id", "recency_rank", *timeline.BEHAVIOR}
