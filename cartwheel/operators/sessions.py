@@ -117,7 +117,7 @@ def page_transitions(sessions: DataFrame) -> DataFrame:
     df = sessions.select(F.transform(_sorted_views(sessions, "timestamp", "page_type"),
                                      lambda x: x["page_type"]).alias("pt"))
     pt = F.col("pt")
-    steps = F.transform(F.slice(pt, 2, 2 ** 31 - 3),
+    steps = F.transform(F.slice(pt, 2, F.greatest(F.size(pt) - 1, F.lit(0))),
                         lambda to, i: F.struct(F.element_at(pt, i + 1).alias("from_page"),
                                                to.alias("to_page")))
     counts = (df.select(F.inline(steps)).groupBy("from_page", "to_page")
