@@ -63,8 +63,10 @@ def whole_seconds(start, end) -> Column:
 
 
 def safe_size(c) -> Column:
-    """Array length with NULL counted as 0 (ANSI ``size(NULL)`` is NULL)."""
-    return F.coalesce(F.size(col_(c)), F.lit(0))
+    """Array length with NULL counted as 0, whatever the ANSI setting
+    (``size(NULL)`` is NULL under ANSI and -1 without it)."""
+    c = col_(c)
+    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(c))
 
 
 def div_half_up(num, den, places: int = 2) -> Column:
