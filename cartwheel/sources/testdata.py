@@ -121,7 +121,6 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.max("ts").alias("end_time"),
         F.array_sort(F.collect_list(F.struct(
             F.col("ts"), F.col("event_id"), F.col("event_type"), view_pid.alias("pid")))).alias("pv"),
-        F.array_sort(F.collect_set(view_pid)).alias("viewed_products"),
         F.bool_or(F.col("event_type") == "purchase").alias("has_purchase"),
         F.bool_or(F.col("event_type") == "click").alias("has_click"))
 
@@ -155,7 +154,9 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.lit(None).cast("string").alias("ip_address")).alias("geo_data"),
                     F.struct(device.alias("type"), F.lit(None).cast("string").alias("os"),
                              F.lit(None).cast("string").alias("browser")).alias("device_profile"),
-                    "viewed_products",
+                    # distinct viewed products, derived in-row from the one collected array
+                    F.array_sort(F.array_distinct(F.filter(F.col("pv.pid"), lambda p: p.isNotNull())))
+                     .alias("viewed_products"),
                     page_views.alias("page_views"),
                     "cart_contents",
                     F.when(F.col("has_purchase"), F.lit("converted"))
