@@ -295,19 +295,20 @@ ORACLE: dict[str, str] = {
                     "r": """SELECT total_spent, row_number() OVER (ORDER BY total_spent) - 1 AS rk,
                                    count(*) OVER () AS n FROM cs WHERE total_spent IS NOT NULL"""}),
     "spending_histogram": with_ctes(
-        """SELECT g.bin, adj.mn + (g.bin - 1) * ((adj.mx - adj.mn) / 50) AS bin_start,
-                  adj.mn + g.bin * ((adj.mx - adj.mn) / 50) AS bin_end,
+        """SELECT g.bin, (SELECT mn FROM adj) + (g.bin - 1) * (((SELECT mx FROM adj) - (SELECT mn FROM adj)) / 50)
+                      AS bin_start,
+                  (SELECT mn FROM adj) + g.bin * (((SELECT mx FROM adj) - (SELECT mn FROM adj)) / 50) AS bin_end,
                   COALESCE(c.customers, 0) AS customers
            FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(1, 51)) g
-           CROSS JOIN adj
            LEFT JOIN (SELECT bin, count(*) AS customers FROM b GROUP BY bin) c ON c.bin = g.bin""",
         "t", extra={"cs": _CS,
                     "st": "SELECT min(total_spent) AS mn, max(total_spent) AS mx FROM cs",
                     "adj": """SELECT CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS mn,
                                      CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS mx FROM st""",
-                    "b": """SELECT LEAST(CAST(floor((total_spent - adj.mn) * 50.0 / (adj.mx - adj.mn)) AS INTEGER) + 1, 50)
+                    "b": """SELECT LEAST(CAST(floor((total_spent - (SELECT mn FROM adj)) * 50.0
+                                       / ((SELECT mx FROM adj) - (SELECT mn FROM adj))) AS INTEGER) + 1, 50)
                                    AS bin
-                            FROM cs CROSS JOIN adj WHERE total_spent IS NOT NULL"""}),
+                            FROM cs WHERE total_spent IS NOT NULL"""}),
     "units_by_product": with_ctes("SELECT * FROM ubp", "ti", extra={"ubp": _UBP}),
     "top_products_15": with_ctes("SELECT * FROM ubp ORDER BY units_sold DESC, product_id LIMIT 15",
                                 "ti", extra={"ubp": _UBP}),
