@@ -89,3 +89,32 @@ def test_jobs_cli(scratch):
                        capture_output=True, text=True, timeout=600)
     assert r.returncode == 0, r.stderr[-2000:]
     assert os.path.isdir(os.path.join(out, "clv_analysis")) and os.path.isdir(os.path.join(out, "segment_summary"))
+
+
+def test_jobs_from_json_documents(spark, scratch):
+    from cartwheel import jobs
+    from conftest import write_json_array
+    d = os.path.join(scratch, "cli_json")
+    geo = {"city": "A", "state": "CA", "country": "US"}
+    write_json_array(f"{d}/users.json", [{"user_id": "u1", "geo_data": geo}])
+    write_json_array(f"{d}/categories.json", [{"category_id": "c1", "name": "Books"}])
+    write_json_array(f"{d}/products.json", [{"product_id": "p1", "name": "P1", "category_id": "c1",
+                                             "base_price": 10.0}])
+    write_json_array(f"{d}/transactions.json", [{
+        "transaction_id": "t1", "user_id": "u1", "timestamp": "2026-01-05T12:00:00",
+        "items": [{"product_id": "p1", "quantity": 2, "unit_price": 10.0, "subtotal": 20.0}],
+        "subtotal": 20.0, "discount": 0, "total": 20.0, "payment_method": "card", "status": "completed"}])
+    write_json_array(f"{d}/sessions_0.json", [{
+        "session_id": "s1", "user_id": "u1", "start_time": "2026-01-05T11:00:00Z",
+        "end_time": "2026-01-05T11:05:00Z", "duration_seconds": 300, "viewed_products": ["p1"],
+        "page_views": [], "cart_contents": {"p1": {"quantity": 2, "price": 10.0}},
+        "conversion_status": "converted"}])
+    shop = Shop.from_json(spark, d)
+    out = os.path.join(scratch, "cli_json_out")
+    written = jobs.run_job(shop, "clv", out, single_file=True)
+    from cartwheel.plans.queries import QUERIES as Q
+    schema = Q["clv"](shop).schema
+    row = sinks.read_csv(spark, written["clv_analysis"], schema).first()
+    # engagement 1*.3 + 1*.5 + 1/100*.2 -> 0.80; future 20 * 0.8 * .5 = 8; clv 28
+    assert (row.engagement_score, row.predicted_future_value, row.total_clv) == (0.8, 8.0, 28.0)
+    assert row.customer_segment == "Low Value"
