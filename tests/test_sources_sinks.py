@@ -118,3 +118,11 @@ def test_jobs_from_json_documents(spark, scratch):
     # engagement 1*.3 + 1*.5 + 1/100*.2 -> 0.80; future 20 * 0.8 * .5 = 8; clv 28
     assert (row.engagement_score, row.predicted_future_value, row.total_clv) == (0.8, 8.0, 28.0)
     assert row.customer_segment == "Low Value"
+
+
+def test_cluster_conf_sizes_partitions():
+    from cartwheel.session import cluster_conf
+    conf = cluster_conf(100 * 1024 ** 4)                      # 100 TB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409600
+    assert int(conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 128 * 1024 ** 2
+    assert int(cluster_conf(10, cores=64)["spark.sql.shuffle.partitions"]) == 128
