@@ -10,25 +10,44 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import decontaminate, line_dedup
+from cartwheel.llm import decontaminate, lang_id, line_dedup, near_dup, packing
 from cartwheel.llm.common import shared_folder, table
 
 
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that language ID rejects go: no letter, or a narrow margin."""
+    return lang_id.identified(docs)
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line windows leave the texts."""
     return line_dedup.deduped(docs)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: five-word shingles, similarity 0.8 or more."""
+    return near_dup.deduped(docs, words=5, percent=80)
+
+
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark window go."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document stands in sequences of 2048 tokens."""
+    return packing.pack(docs)
+
+
 STAGES = [
+    ("lang_id", drop_unknown_language),
     ("line_dedup", drop_repeated_lines),
+    ("near_dup", drop_near_duplicates),
     ("decontaminate", drop_benchmark),
+    ("packing", pack),
 ]
 
+#: SQL cannot express compression sizes, signatures or a tokenizer; tests compare with brute force
 ORACLE_SQL = None
 
 
