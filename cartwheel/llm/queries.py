@@ -1,6 +1,6 @@
 """The registered queries of this folder and their DuckDB SQL, where SQL can express them."""
 
-from . import decontaminate, fingerprint, lang_id, line_dedup, near_dup, packing, pii, url_filter
+from . import decontaminate, fingerprint, lang_id, line_dedup, near_dup, packing, pii, toxicity, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_fingerprint": fingerprint.op4_fingerprint,
     "op5_near_dup": near_dup.op5_near_dup,
     "op6_packing": packing.op6_packing,
+    "op7_toxicity": toxicity.op7_toxicity,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_pii": pii.op10_pii,

@@ -12,6 +12,8 @@ import numpy as np
 PIECE_BYTES = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+#: ASCII but letters and digits becomes a space
+_NO_PUNCTUATION = bytes(c if c > 127 or chr(c).isalnum() else 32 for c in range(256))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -53,7 +55,7 @@ class WordHasher:
             at = end
         return np.concatenate(out)
 
-    def _piece(self, data: bytes) -> np.ndarray:
+    def _piece(self, data: bytes, prefixes: tuple[int, ...] = ()) -> np.ndarray:
         a = np.frombuffer(data, np.uint8)
         self._grow(len(a) + 1)
         inside = np.zeros(len(a) + 2, np.int8)
@@ -62,7 +64,26 @@ class WordHasher:
         start, end = edges[::2], edges[1::2]
         sums = np.zeros(len(a) + 1, np.uint64)
         np.cumsum((a.astype(np.uint64) + np.uint64(1)) * self._powers[: len(a)], out=sums[1:])
-        return mix((sums[end] - sums[start]) * self._inverses[start])
+        out = mix((sums[end] - sums[start]) * self._inverses[start])
+        if not prefixes:
+            return out
+        parts = [out]
+        for n in prefixes:
+            s = start[end - start >= n]
+            parts.append(mix((sums[s + n] - sums[s]) * self._inverses[s] + np.uint64(n)))
+        return np.concatenate(parts)
+
+    def words_and_prefixes(self, text: str | None, prefixes: tuple[int, ...]) -> np.ndarray:
+        """Distinct hashes of the words, without ASCII punctuation, and of their first bytes."""
+        data = (text or "").lower().encode("utf-8", "replace").translate(_NO_PUNCTUATION)
+        out, at = [np.zeros(0, np.uint64)], 0
+        while at < len(data):
+            end = at + PIECE_BYTES
+            while end < len(data) and data[end] != 32:
+                end += 1
+            out.append(np.unique(self._piece(data[at:end], prefixes)))
+            at = end
+        return np.unique(np.concatenate(out))
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
