@@ -1,9 +1,10 @@
 """The registered queries of this folder and their DuckDB SQL, where SQL can express them."""
 
-from . import decontaminate, fingerprint, lang_id, line_dedup, near_dup, packing, pii, toxicity, url_filter
+from . import decontaminate, fingerprint, lang_id, line_dedup, near_dup, packing, pii, suffix_dedup, toxicity, url_filter
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_lang_id": lang_id.op3_lang_id,
     "op4_fingerprint": fingerprint.op4_fingerprint,
     "op5_near_dup": near_dup.op5_near_dup,
