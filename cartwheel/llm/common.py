@@ -34,14 +34,23 @@ def take(df: DataFrame, **kinds: str) -> DataFrame:
         (F.col(where[c]) if c in where else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
 
 
-def documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, h): rows equal in doc_id and text share ``h`` and are one
-    document; rows that only share a doc_id, or have none, stay apart."""
-    return take(docs, doc_id="bigint", text="string").withColumn("h", F.xxhash64("doc_id", "text"))
+def _keys() -> dict[str, Column]:
+    return {"k": F.coalesce("doc_id", F.lit(0)), "h": F.xxhash64("doc_id", "text")}
 
 
-def same_document(a: DataFrame, b: DataFrame) -> Column:
-    return a["h"].eqNullSafe(b["h"]) & a["doc_id"].eqNullSafe(b["doc_id"])
+def documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, k, h): rows equal in doc_id and text share the key (k, h), which is
+    never null, and are one document; rows that only share a doc_id, or have none, stay apart."""
+    return take(docs, doc_id="bigint", text="string").withColumns(_keys())
+
+
+def keyed_rows(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[str]]:
+    """All columns of ``docs`` under positional names, with doc_id, text, k, h beside them;
+    where each named column went, and the positional names."""
+    plain, where = by_position(docs)
+    both = plain.withColumns({
+        "doc_id": F.col(where["doc_id"]).cast("bigint"), "text": F.col(where["text"])}).withColumns(_keys())
+    return both, where, plain.columns
 
 
 def ascii_lower(text: Column) -> Column:

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, by_position, documents, same_document, stored, table, take
+from .common import ascii_lower, documents, keyed_rows, stored, table, take
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
@@ -47,7 +47,7 @@ def _sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 @dataclass
 class Index:
     """``windows``: (wid, w, rare: array of (n, off, term)); ``items``: (wid, item_id);
-    ``postings``: (term, doc_id, h, pos), stored by term; ``n_windows``: row count of windows."""
+    ``postings``: (term, k, h, pos), stored by term; ``n_windows``: row count of windows."""
 
     windows: DataFrame
     items: DataFrame
@@ -65,7 +65,7 @@ def item_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
 
 
 def build_index(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, rare: int = RARE_TERMS) -> Index:
-    """``docs``: (doc_id, text, h) as from ``documents``."""
+    """``docs``: (doc_id, text, k, h) as from ``documents``."""
     found = stored(item_windows(items, size).withColumn("wid", F.xxhash64("w")), "op8-windows")
     terms = stored(found.select(F.explode("w").alias("term")).distinct(), "op8-terms")
     n_windows, n_terms = found.count(), terms.count()
@@ -82,10 +82,10 @@ def build_index(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, rar
         ranked.filter(F.get("all", 0)["n"] > 0).select("wid", "w", F.slice("all", 1, rare).alias("rare")), "op8-rare")
     starts = windows.select(F.explode("rare").alias("r")).select("r.term").distinct()
     postings = (
-        docs.select("doc_id", "h", F.posexplode(words(F.col("text"))).alias("pos", "term"))
+        docs.select("k", "h", F.posexplode(words(F.col("text"))).alias("pos", "term"))
         .join(_sized(starts, n_terms, 100), "term")
-        .select("term", "doc_id", "h", "pos")
-        .hint("rebalance", "term").sortWithinPartitions("term", "doc_id", "pos"))
+        .select("term", "k", "h", "pos")
+        .hint("rebalance", "term").sortWithinPartitions("term", "k", "pos"))
     return Index(windows, found.select("wid", "item_id"), stored(postings, "op8-postings"), n_windows)
 
 
@@ -97,60 +97,59 @@ def _list(index: Index, k: int) -> DataFrame:
 
 
 def candidates(index: Index, rare: int = RARE_TERMS) -> DataFrame:
-    """(wid, doc_id, h, start): where all rare terms of a window stand at its offsets."""
+    """(wid, k, h, start): where all rare terms of a window stand at its offsets."""
     out = (
         index.postings.join(_list(index, 0), "term")
-        .select("wid", "doc_id", "h", (F.col("pos") - F.col("off")).alias("start")).filter("start >= 0"))
+        .select("wid", "k", "h", (F.col("pos") - F.col("off")).alias("start")).filter("start >= 0"))
     for k in range(1, rare):
         term, off = f"term{k}", f"off{k}"
         next_term = _list(index, k).select("wid", F.col("term").alias(term), F.col("off").alias(off))
         out = out.join(next_term, "wid", "left")
         held = index.postings.select(
-            F.col("term").alias("p_term"), F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), "pos").distinct()
+            F.col("term").alias("p_term"), F.col("k").alias("p_k"), F.col("h").alias("p_h"), "pos").distinct()
         # windows of fewer words than lists have no k-th term and pass
         short, full = out.filter(F.col(term).isNull()), out.filter(F.col(term).isNotNull())
         full = full.join(
-            held, (F.col(term) == F.col("p_term")) & F.col("h").eqNullSafe(F.col("p_h"))
-            & F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("start") + F.col(off) == F.col("pos")), "left_semi")
-        cols = ["wid", "doc_id", "h", "start"]
+            held, (F.col(term) == F.col("p_term")) & (F.col("h") == F.col("p_h"))
+            & (F.col("k") == F.col("p_k")) & (F.col("start") + F.col(off) == F.col("pos")), "left_semi")
+        cols = ["wid", "k", "h", "start"]
         out = full.select(*cols).unionByName(short.select(*cols))
     return out.distinct()
 
 
 def phrase_matches(docs: DataFrame, index: Index) -> DataFrame:
-    """Per document: doc_id, h, n_words and ``hits``, the sorted (start, length, wid) of every
-    exact occurrence of a window; stored. ``docs``: (doc_id, text, h)."""
+    """Per row: doc_id, k, h, n_words and ``hits``, the sorted (start, length, wid) of every
+    exact occurrence of a window; stored. ``docs``: (doc_id, text, k, h)."""
     found = candidates(index).join(_sized(index.windows.select("wid", "w"), index.n_windows, 400), "wid")
-    per_doc = found.groupBy("doc_id", "h").agg(F.collect_list(F.struct("start", "wid", "w")).alias("found"))
-    both = docs.join(per_doc.withColumnsRenamed({"doc_id": "f_id", "h": "f_h"}),
-                     F.col("h").eqNullSafe(F.col("f_h")) & F.col("doc_id").eqNullSafe(F.col("f_id")), "left")
+    per_doc = found.groupBy("k", "h").agg(F.collect_list(F.struct("start", "wid", "w")).alias("found"))
+    both = docs.join(per_doc, ["k", "h"], "left")
     ws = words(F.col("text"))
     real = F.filter("found", lambda c: F.slice("ws", c["start"] + 1, F.size(c["w"])) == c["w"])
     hits = F.transform(real, lambda c: F.struct(
         c["start"].alias("start"), F.size(c["w"]).alias("length"), c["wid"].alias("wid")))
     return stored(
-        both.select("doc_id", "h", F.coalesce(ws, F.array().cast("array<string>")).alias("ws"), "found").select(
-            "doc_id", "h", F.size("ws").alias("n_words"),
+        both.select("doc_id", "k", "h", F.coalesce(ws, F.array().cast("array<string>")).alias("ws"), "found").select(
+            "doc_id", "k", "h", F.size("ws").alias("n_words"),
             F.when(F.col("found").isNotNull(), F.sort_array(hits)).alias("hits")), "op8-hits")
 
 
 def proximity_matches(index: Index, slop: int) -> DataFrame:
-    """(wid, doc_id, h, start): a window's rare terms stand in the document with their
+    """(wid, k, h, start): a window's rare terms stand in the document with their
     offset-adjusted positions within ``slop`` of that of the rarest one."""
     at = F.col("pos") - F.col("off")
     first = (
         index.postings.join(_list(index, 0), "term")
-        .select("wid", "doc_id", "h", at.alias("start")))
+        .select("wid", "k", "h", at.alias("start")))
     out = first
     for k in range(1, RARE_TERMS):
         other = (
             index.postings.join(_list(index, k), "term")
-            .select(F.col("wid").alias("o_wid"), F.col("doc_id").alias("o_id"), F.col("h").alias("o_h"), at.alias("o_at"))
+            .select(F.col("wid").alias("o_wid"), F.col("k").alias("o_k"), F.col("h").alias("o_h"), at.alias("o_at"))
             .withColumn("block", F.explode(F.array(*[F.floor(F.col("o_at") / (slop + 1)) + d for d in (-1, 0, 1)]))))
         need = index.windows.filter(F.size("rare") > k).select(F.col("wid").alias("n_wid"))
         close = (
-            (F.col("wid") == F.col("o_wid")) & F.col("h").eqNullSafe(F.col("o_h"))
-            & F.col("doc_id").eqNullSafe(F.col("o_id")) & (F.floor(F.col("start") / (slop + 1)) == F.col("block"))
+            (F.col("wid") == F.col("o_wid")) & (F.col("h") == F.col("o_h"))
+            & (F.col("k") == F.col("o_k")) & (F.floor(F.col("start") / (slop + 1)) == F.col("block"))
             & (F.abs(F.col("start") - F.col("o_at")) <= slop))
         long = out.join(need, F.col("wid") == F.col("n_wid"), "left_semi").join(other, close, "left_semi")
         out = long.unionByName(out.join(need, F.col("wid") == F.col("n_wid"), "left_anti"))
@@ -167,34 +166,28 @@ def _covered(hits: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items (sorted ids as text), contaminated."""
+    """Per row: doc_id, n_words, n_hit, n_items, items (sorted ids as text), contaminated."""
     docs = documents(docs)
     index = build_index(docs, items, size)
     hits = phrase_matches(docs, index)
     listed = (
         hits.filter(F.size("hits") > 0)
-        .select("doc_id", "h", F.explode(F.array_distinct(F.col("hits.wid"))).alias("wid")).distinct()
+        .select("k", "h", F.explode(F.array_distinct(F.col("hits.wid"))).alias("wid")).distinct()
         .join(_sized(index.items.filter("item_id is not null"), index.n_windows, 60), "wid")
-        .groupBy("doc_id", "h").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    listed = listed.withColumnsRenamed({"doc_id": "l_id", "h": "l_h"})
+        .groupBy("k", "h").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
     n_hit = F.when(F.col("hits").isNull(), 0).otherwise(_covered(F.col("hits")))
-    both = hits.join(listed, F.col("h").eqNullSafe(F.col("l_h")) & F.col("doc_id").eqNullSafe(F.col("l_id")), "left")
+    both = hits.join(listed, ["k", "h"], "left")
     return both.select(
         "doc_id", F.col("n_words").cast("bigint"), n_hit.cast("bigint").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"), "h")
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"), "k", "h")
 
 
 def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """``docs`` without the contaminated documents, all columns carried."""
-    plain, where = by_position(docs)
-    keyed = plain.withColumns({
-        "doc_id": F.col(where["doc_id"]).cast("bigint"), "text": F.col(where["text"]),
-    }).withColumn("h", F.xxhash64("doc_id", "text"))
-    bad = contamination(docs, items, size).filter("contaminated").select("doc_id", "h").distinct()
-    bad = bad.withColumnsRenamed({"doc_id": "b_id", "h": "b_h"})
-    kept = keyed.join(bad, F.col("h").eqNullSafe(F.col("b_h")) & F.col("doc_id").eqNullSafe(F.col("b_id")), "left_anti")
-    return kept.select(*plain.columns).toDF(*docs.columns)
+    rows, _, columns = keyed_rows(docs)
+    bad = contamination(docs, items, size).filter("contaminated").select("k", "h").distinct()
+    return rows.join(bad, ["k", "h"], "left_anti").select(*columns).toDF(*docs.columns)
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,13 +32,6 @@ RADIUS = 6
 QUERY_STEP = 100
 
 
-def term_hashes(text: Column, size: int = SHINGLE_WORDS) -> Column:
-    ws = F.array_remove(F.split(F.lower(text), r"\s+", -1), "")
-    n = F.size(ws)
-    return F.when(n == 0, F.array().cast("array<bigint>")).otherwise(F.transform(
-        F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.xxhash64(F.slice("ws", i, size))))
-
-
 def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     """``texts``: unique ``keys`` and ``text``. Returns keys, hi, lo (the two halves).
 
@@ -109,80 +102,70 @@ def within_radius(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -
 
 
 def successors(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, next_id, next_h, n_chars): each document's next one by descending
-    (doc_id, h), after the last the first. The order is cut into ranges, stored with
-    their number; only one row for each range meets the others."""
-    ids = docs.select("doc_id", "h", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars")).distinct()
+    """(k, h, n_chars, next_k, next_h): each document's next one by descending (doc_id, h),
+    after the last the first. The order is cut into ranges, stored with their number;
+    only one row for each range meets the others."""
+    ids = docs.select("doc_id", "k", "h", F.coalesce(F.length("text"), F.lit(0)).alias("n_chars")).distinct()
     order = [F.col("doc_id").desc_nulls_last(), F.col("h").desc()]
     ranges = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = stored(ids.repartitionByRange(ranges, *order).withColumn("part", F.spark_partition_id()), "op4-ids")
     inside = Window.partitionBy("part").orderBy(*order)
-    me = F.struct("doc_id", "h")
+    me = F.struct("k", "h")
     chained = ids.withColumns({"next": F.lead(me).over(inside), "nth": F.row_number().over(inside)})
     heads = chained.filter("nth = 1").select("part", me.alias("head"))
     # one row for each range
     whole = Window.partitionBy(F.lit(0)).orderBy("part")
     following = heads.select(
         "part", F.coalesce(F.lead("head").over(whole), F.first("head").over(whole)).alias("after"))
-    return chained.join(following, "part").select(
-        "doc_id", "h", "n_chars", F.coalesce("next", "after").alias("next"),
-    ).select("doc_id", "h", "n_chars", F.col("next.doc_id").alias("next_id"), F.col("next.h").alias("next_h"))
+    both = chained.join(following, "part").withColumn("next", F.coalesce("next", "after"))
+    return stored(both.select(
+        "k", "h", "n_chars", F.col("next.k").alias("next_k"), F.col("next.h").alias("next_h")), "op4-next")
 
 
-def edited_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, next_id, next_h, n_chars, text, edited): the last third of each text
-    replaced by as many first characters of the next document's. Only those leave it."""
-    chain = stored(successors(docs), "op4-next")
+def edited_texts(docs: DataFrame, chain: DataFrame) -> DataFrame:
+    """(k, h, text, edited) of each row: the last third of the text replaced by as many
+    first characters of the next document's. Only those leave it, and all joins and the
+    aggregation that follows are on (k, h): the texts themselves are shuffled once."""
+    texts = docs.select("k", "h", F.coalesce("text", F.lit("")).alias("text"))
+    third = F.floor(F.col("n_chars") / 3).cast("int")
     wanted = chain.select(
-        F.col("next_id").alias("w_id"), F.col("next_h").alias("w_h"), F.col("doc_id").alias("for_id"), F.col("h").alias("for_h"),
-        F.floor(F.col("n_chars") / 3).cast("int").alias("need"))
-    texts = docs.select("doc_id", "h", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    heads = texts.join(wanted, F.col("h").eqNullSafe(F.col("w_h")) & F.col("doc_id").eqNullSafe(F.col("w_id"))).select(
-        "for_id", "for_h", F.left("text", F.col("need")).alias("tail"))
-    own = chain.withColumnsRenamed({"doc_id": "c_id", "h": "c_h"})
-    both = texts.join(own, F.col("h").eqNullSafe(F.col("c_h")) & F.col("doc_id").eqNullSafe(F.col("c_id"))).join(
-        heads, F.col("h").eqNullSafe(F.col("for_h")) & F.col("doc_id").eqNullSafe(F.col("for_id")))
-    keep = F.left("text", F.col("n_chars") - F.floor(F.col("n_chars") / 3).cast("int"))
-    return both.select("doc_id", "h", "next_id", "next_h", "n_chars", "text", F.concat(keep, F.col("tail")).alias("edited"))
+        F.col("next_k").alias("k"), F.col("next_h").alias("h"),
+        F.col("k").alias("for_k"), F.col("h").alias("for_h"), third.alias("need"))
+    heads = texts.join(wanted, ["k", "h"]).select(
+        F.col("for_k").alias("k"), F.col("for_h").alias("h"), F.left("text", F.col("need")).alias("tail"))
+    both = texts.join(chain.select("k", "h", "n_chars"), ["k", "h"]).join(heads.dropDuplicates(["k", "h"]), ["k", "h"])
+    keep = F.left("text", F.col("n_chars") - third)
+    return both.select("k", "h", "text", F.concat(keep, F.col("tail")).alias("edited"))
 
 
 def fingerprint_report(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Per document: fingerprints of its text and of its edited text, their likeness and that
+    """Per row: fingerprints of its text and of its edited text, their likeness and that
     to the next document's; and n_near, for documents whose id QUERY_STEP divides: how many
-    other documents' fingerprints lie within the radius (null for the rest)."""
+    other rows' fingerprints lie within the radius (null for the rest)."""
     docs = documents(docs)
-    edits = edited_texts(docs)
-    both = edits.select(
-        "doc_id", "h", "next_id", "next_h", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        F.inline(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
-                         F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))))
-    keys = ["doc_id", "h", "next_id", "next_h", "n_chars", "edited_sha256", "kind"]
-    halves = fingerprints(both, keys)
+    chain = successors(docs)
+    both = edited_texts(docs, chain).select("k", "h", F.sha2("edited", 256).alias("edited_sha256"), F.inline(F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
+        F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))))
     pick = lambda kind, c: F.max(F.when(F.col("kind") == kind, F.col(c)))
-    prints = stored(halves.groupBy(*keys[:-1]).agg(
-        pick(0, "hi").alias("hi"), pick(0, "lo").alias("lo"),
-        pick(1, "hi").alias("e_hi"), pick(1, "lo").alias("e_lo")), "op4-prints")
-    after = prints.select(F.col("doc_id").alias("a_id"), F.col("h").alias("a_h"), F.col("hi").alias("a_hi"), F.col("lo").alias("a_lo"))
-    classes = docs.select("doc_id", "h").join(
-        prints.select(F.col("doc_id").alias("a_id"), F.col("h").alias("a_h"), "hi", "lo"),
-        F.col("h").eqNullSafe(F.col("a_h")) & F.col("doc_id").eqNullSafe(F.col("a_id")),
-    ).groupBy("hi", "lo").agg(F.count("*").alias("copies"))
-    asked = prints.filter(F.col("doc_id") % QUERY_STEP == 0).select("hi", "lo").distinct()
+    # repeated rows of a document only scale its votes
+    prints = fingerprints(both, ["k", "h", "edited_sha256", "kind"]).groupBy("k", "h", "edited_sha256").agg(
+        pick(0, "hi").alias("hi"), pick(0, "lo").alias("lo"), pick(1, "hi").alias("e_hi"), pick(1, "lo").alias("e_lo"))
+    prints = stored(prints, "op4-prints")
+    rows = docs.select("doc_id", "k", "h").join(prints, ["k", "h"]).join(chain, ["k", "h"])
+    after = prints.select(F.col("k").alias("next_k"), F.col("h").alias("next_h"), F.col("hi").alias("a_hi"), F.col("lo").alias("a_lo"))
+    classes = rows.groupBy("hi", "lo").agg(F.count("*").alias("copies"))
+    asked = rows.filter(F.col("doc_id") % QUERY_STEP == 0).select("hi", "lo").distinct()
     near = (
         within_radius(asked, classes, radius).join(classes, ["hi", "lo"])
         .groupBy(F.col("q_hi").alias("hi"), F.col("q_lo").alias("lo")).agg((F.sum("copies") - 1).alias("n_near")))
-    joined = prints.join(
-        after, F.col("next_h").eqNullSafe(F.col("a_h")) & F.col("next_id").eqNullSafe(F.col("a_id")),
-    ).join(near, ["hi", "lo"], "left")
     hi, lo = F.col("hi"), F.col("lo")
-    answers = joined.select(
-        F.col("doc_id").alias("r_id"), F.col("h").alias("r_h"), F.col("n_chars").cast("bigint").alias("n_chars"), "edited_sha256",
+    return rows.join(after, ["next_k", "next_h"]).join(near, ["hi", "lo"], "left").select(
+        "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), "edited_sha256",
         as_text(hi, lo).alias("fingerprint"), as_text(F.col("e_hi"), F.col("e_lo")).alias("edited_fingerprint"),
         likeness(distance(hi, lo, F.col("e_hi"), F.col("e_lo"))).alias("near_edited"),
         likeness(distance(hi, lo, F.col("a_hi"), F.col("a_lo"))).alias("near_next"),
         F.when(F.col("doc_id") % QUERY_STEP == 0, F.col("n_near")).alias("n_near"))
-    return docs.select("doc_id", "h").join(
-        answers, F.col("h").eqNullSafe(F.col("r_h")) & F.col("doc_id").eqNullSafe(F.col("r_id"))).drop("h", "r_id", "r_h")
 
 
 def op4_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import by_position, documents, table
+from .common import documents, keyed_rows, table
 
 LINES_IN_WINDOW = 3
 BLANK = " \t\r"
@@ -30,7 +30,7 @@ def _lines(text: Column) -> Column:
 
 
 def windows(docs: DataFrame, size: int = LINES_IN_WINDOW) -> DataFrame:
-    """(doc_id, h, first, last, a, b): line numbers of each window and its 128-bit key."""
+    """(doc_id, k, h, first, last, a, b): line numbers of each window and its 128-bit key."""
     numbered = F.transform(_lines(F.col("text")), lambda x, i: F.struct(i.alias("i"), F.trim(x, F.lit(BLANK)).alias("s")))
     full = F.filter(numbered, lambda x: x["s"] != "")
 
@@ -40,27 +40,27 @@ def windows(docs: DataFrame, size: int = LINES_IN_WINDOW) -> DataFrame:
             x["i"].alias("first"), F.get("full", k + size - 1)["i"].alias("last"),
             F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(size), *parts[::-1]).alias("b"))
 
-    some = docs.select("doc_id", "h", full.alias("full")).filter(F.size("full") >= size)
+    some = docs.select("doc_id", "k", "h", full.alias("full")).filter(F.size("full") >= size)
     starts = F.transform(F.expr(f"slice(full, 1, size(full) - {size - 1})"), window)
-    return some.select("doc_id", "h", F.inline(starts))
+    return some.select("doc_id", "k", "h", F.inline(starts))
 
 
 def repeated_spans(docs: DataFrame, size: int = LINES_IN_WINDOW) -> DataFrame:
-    """(doc_id, h, spans): the merged line spans that later occurrences cover."""
+    """(k, h, spans): the merged line spans that later occurrences cover."""
     found = windows(docs, size)
     place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("h"), F.col("first"))
     firsts = found.groupBy("a", "b").agg(F.min(place).alias("kept"), F.count("*").alias("n")).filter("n > 1").drop("n")
     later = (
         found.join(firsts, ["a", "b"]).filter(place != F.col("kept"))
-        .select("doc_id", "h", "first", "last").distinct())
-    order = Window.partitionBy("doc_id", "h").orderBy("first")
+        .select("k", "h", "first", "last").distinct())
+    order = Window.partitionBy("k", "h").orderBy("first")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opened = F.coalesce(F.col("first") > reach, F.lit(True)).cast("int")
     merged = (
         later.withColumn("new", opened)
         .withColumn("span", F.sum("new").over(order))
-        .groupBy("doc_id", "h", "span").agg(F.min("first").alias("first"), F.max("last").alias("last")))
-    return merged.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
+        .groupBy("k", "h", "span").agg(F.min("first").alias("first"), F.max("last").alias("last")))
+    return merged.groupBy("k", "h").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
 def _kept(lines: Column, spans: Column) -> Column:
@@ -74,13 +74,12 @@ def _kept(lines: Column, spans: Column) -> Column:
 
 
 def _applied(docs: DataFrame, size: int) -> DataFrame:
-    """``docs`` (doc_id, text, h, ...) with n_lines, n_removed, n_spans and the text that stays."""
-    spans = repeated_spans(docs.select("doc_id", "text", "h"), size).select(
-        F.col("doc_id").alias("r_id"), F.col("h").alias("r_h"), "spans")
+    """``docs`` (doc_id, text, k, h, ...) with n_lines, n_removed, n_spans and the text that stays."""
+    spans = repeated_spans(docs.select("doc_id", "text", "k", "h"), size)
     lines = _lines(F.col("text"))
     hit = F.col("spans").isNotNull()
     removed = F.aggregate("spans", F.lit(0), lambda n, s: n + s["last"] - s["first"] + 1)
-    return docs.join(spans, docs["h"].eqNullSafe(spans["r_h"]) & docs["doc_id"].eqNullSafe(spans["r_id"]), "left").withColumns({
+    return docs.join(spans, ["k", "h"], "left").withColumns({
         "n_lines": F.when(F.coalesce(F.length("text"), F.lit(0)) == 0, 0).otherwise(F.size(lines)),
         "n_removed": F.when(hit, removed).otherwise(0),
         "n_spans": F.when(hit, F.size("spans")).otherwise(0),
@@ -96,15 +95,12 @@ def deduped(docs: DataFrame, size: int = LINES_IN_WINDOW) -> DataFrame:
     """``docs`` with repeated windows taken out of the text (n_chars follows, where
     there is such a column) and all columns carried. A document that loses all of its
     non-blank lines has nothing left to train on and goes; others stay."""
-    plain, where = by_position(docs)
-    keyed = plain.withColumns({
-        "doc_id": F.col(where["doc_id"]).cast("bigint"), "text": F.col(where["text"]),
-    }).withColumn("h", F.xxhash64("doc_id", "text"))
+    keyed, where, columns = keyed_rows(docs)
     done = _applied(keyed, size).filter((F.col("n_removed") == 0) | (F.trim("kept", F.lit(BLANK + "\n")) != ""))
     new = {where["text"]: F.col("kept")}
     if "n_chars" in where:
         new[where["n_chars"]] = F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col(where["n_chars"]))
-    return done.select(*[new.get(c, F.col(c)).alias(c) for c in plain.columns]).toDF(*docs.columns)
+    return done.select(*[new.get(c, F.col(c)).alias(c) for c in columns]).toDF(*docs.columns)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_position, documents, stored, table
+from .common import documents, keyed_rows, stored, table
 from .shingles import WordHasher, mix, shingle_hashes
 
 BAND_ROWS = 5
@@ -83,7 +83,7 @@ def digest(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """``docs`` (doc_id, text, h) as (doc_id, h, n, c, bands): set size, class, band keys (null for the empty set)."""
+    """``docs`` (doc_id, text, k, h) as (doc_id, k, h, n, c, bands): set size, class, band keys (null for the empty set)."""
     length = bands_for(percent) * BAND_ROWS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -96,13 +96,13 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 c.append(digest(s) if len(s) else None)
                 bands.append(band_keys(signature(s, length)) if len(s) else None)
             yield pd.DataFrame({
-                "doc_id": b["doc_id"], "h": b["h"], "n": n, "c": pd.array(c, dtype="Int64"), "bands": bands})
+                "doc_id": b["doc_id"], "k": b["k"], "h": b["h"], "n": n, "c": pd.array(c, dtype="Int64"), "bands": bands})
 
-    return docs.select("doc_id", "h", "text").mapInPandas(run, "doc_id bigint, h bigint, n bigint, c bigint, bands array<bigint>")
+    return docs.select("doc_id", "k", "h", "text").mapInPandas(run, "doc_id bigint, k bigint, h bigint, n bigint, c bigint, bands array<bigint>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(c, n, s): the whole sets, sorted, of the wanted classes, from one document (r_id, r_h) of each."""
+    """(c, n, s): the whole sets, sorted, of the wanted classes, from one document (k, h) of each."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
         for b in batches:
@@ -111,7 +111,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, F.col("h").eqNullSafe(F.col("r_h")) & F.col("doc_id").eqNullSafe(F.col("r_id")))
+    texts = docs.join(wanted, ["k", "h"])
     return stored(texts.select("c", "text").dropDuplicates(["c"]).mapInPandas(run, "c bigint, n bigint, s binary"), "op5-sets")
 
 
@@ -170,7 +170,7 @@ def classes_and_links(docs: DataFrame, words: int, percent: int) -> tuple[DataFr
     connect every two classes with a path of similar ones."""
     sigs = stored(signatures(docs, words, percent), "op5-signatures")
     classes = sigs.filter("c is not null").groupBy("c").agg(
-        F.first("bands").alias("bands"), F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "h")).alias("r"))
+        F.first("bands").alias("bands"), F.min(F.struct("k", "h")).alias("r"))
     rows = classes.select("c", F.posexplode("bands").alias("band", "key"))
     order = F.xxhash64("c", F.col("band") % CENTRES)
     buckets = rows.groupBy("band", "key").agg(
@@ -179,7 +179,7 @@ def classes_and_links(docs: DataFrame, words: int, percent: int) -> tuple[DataFr
     stars = stored(inside.filter("c <> centre").select(
         F.greatest("c", "centre").alias("a"), F.least("c", "centre").alias("b")).distinct(), "op5-pairs")
     wanted = classes.join(inside.select("c").distinct(), "c", "left_semi").select(
-        "c", F.col("r.doc_id").alias("r_id"), F.col("r.h").alias("r_h"))
+        "c", "r.k", "r.h")
     sets = _sets(docs, stored(wanted, "op5-wanted"), words)
     links = stored(_verified(stars, sets, percent), "op5-links")
     # what the centres leave open: pairs of a bucket, of different components, not compared yet
@@ -197,7 +197,7 @@ def classes_and_links(docs: DataFrame, words: int, percent: int) -> tuple[DataFr
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, h, n_shingles, component_id, kept. ``docs``: (doc_id, text, h)."""
+    """Per row: doc_id, n_shingles, component_id, kept, k, h. ``docs``: (doc_id, text, k, h)."""
     sigs, links = classes_and_links(docs, words, percent)
     labels = components(links)
     per_class = sigs.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("least")).join(labels, "c", "left")
@@ -206,24 +206,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found = per_class.join(groups, "label").select("c", "component_id")
     out = sigs.drop("bands").join(found, "c", "left").withColumn(
         "component_id", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-    return out.select("doc_id", "h", F.col("n").alias("n_shingles"), "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "k", "h")
 
 
 def deduped(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of ``docs``, that with the least id (of equal ids, the least row
     hash), all columns carried; documents without words stay."""
     found = near_duplicates(documents(docs), words, percent).filter("kept")
-    one = F.when(F.col("n_shingles") == 0, F.col("h"))
-    chosen = found.groupBy("component_id", one.alias("alone")).agg(F.min("h").alias("k_h"), F.first("doc_id").alias("k_id"))
-    chosen = stored(chosen.select("k_id", "k_h"), "op5-kept")
-    plain, where = by_position(docs)
-    keyed = plain.withColumns({
-        "doc_id": F.col(where["doc_id"]).cast("bigint"), "text": F.col(where["text"]),
-    }).withColumn("h", F.xxhash64("doc_id", "text"))
-    kept = keyed.join(chosen, F.col("h").eqNullSafe(F.col("k_h")) & F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "h"]).select(*plain.columns).toDF(*docs.columns)
+    alone = F.when(F.col("n_shingles") == 0, F.struct("k", "h"))
+    chosen = found.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct("k", "h")).alias("r"))
+    rows, _, columns = keyed_rows(docs)
+    kept = rows.join(chosen.select("r.k", "r.h"), ["k", "h"], "left_semi")
+    return kept.dropDuplicates(["k", "h"]).select(*columns).toDF(*docs.columns)
 
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(table(spark, sf_dir, "documents")), words=3, percent=85).drop("h")
+    return near_duplicates(documents(table(spark, sf_dir, "documents")), words=3, percent=85).drop("k", "h")
