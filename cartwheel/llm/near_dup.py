@@ -4,10 +4,13 @@ A document's set is that of its distinct word shingles. Documents with equal set
 form a class and go on as one. Two permutations make a class's whole signature: the
 first spreads the set over the 32-bit numbers, the second, circularly shifted by k,
 gives the k-th minimum. Signatures are cut into bands; classes that agree on a band
-share a bucket. In each bucket the members are compared with a centre, on their full
-sets, and the links found are closed to components; then every remaining pair of a
-bucket that spans two components is compared too, so no link of the buckets is lost
-while a large group of copies costs a few comparisons for each member. Components are
+share a bucket. In each bucket the members are compared with a few centres, on their full
+sets, and the links found are closed to components: a large group of copies costs a few
+comparisons for each member. What the centres leave open is done exactly: classes that
+buckets connect are a family; where a family spans several components, its sets are cut
+into tiles of bounded bytes, by size class and hash, and each pair of tiles whose sizes
+allow a link is compared in one task, all its pairs by one matrix product. So no link of
+the buckets is lost, and no pair that is not a link ever becomes a row. Components are
 found by rounds of minimum exchange over stored edges; nothing is gathered in one task.
 
 The number of bands follows from the threshold: a pair at the threshold is missed with
@@ -43,6 +46,10 @@ CENTRES = 3
 BROADCAST_ROWS = 4_000_000
 #: shingles whose minima are taken at a time
 BLOCK = 2048
+#: edges that a task of a round of components takes
+EDGES_IN_TASK = 250_000
+#: bytes of sets in a tile of a family that its centres did not connect
+TILE_BYTES = 512 * 1024
 
 
 def bands_for(percent: int) -> int:
@@ -150,7 +157,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "op5-edges")
     before = state(edges)
     while True:
-        both = directed(edges)
+        # few edges need few tasks; one task's worth needs no shuffle at all
+        both = directed(edges.coalesce(-(-before[0] // EDGES_IN_TASK) or 1))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -165,9 +173,9 @@ def components(edges: DataFrame) -> DataFrame:
     return labels.unionByName(edges.select(F.col("b").alias("c"), F.col("b").alias("label")).distinct())
 
 
-def classes_and_links(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(signatures, links): the stored signatures of all documents, and links (a, b) between classes that
-    connect every two classes with a path of similar ones."""
+def classes_and_labels(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(signatures, labels): the stored signatures of all documents, and the component (c, label) of each
+    class that has a link."""
     sigs = stored(signatures(docs, words, percent), "op5-signatures")
     classes = sigs.filter("c is not null").groupBy("c").agg(
         F.first("bands").alias("bands"), F.min(F.struct("k", "h")).alias("r"))
@@ -182,24 +190,69 @@ def classes_and_links(docs: DataFrame, words: int, percent: int) -> tuple[DataFr
         "c", "r.k", "r.h")
     sets = _sets(docs, stored(wanted, "op5-wanted"), words)
     links = stored(_verified(stars, sets, percent), "op5-links")
-    # what the centres leave open: pairs of a bucket, of different components, not compared yet
     labels = components(links)
-    placed = inside.filter("members > 2").join(labels, "c", "left").select(
-        "band", "key", "c", F.coalesce("label", "c").alias("label"))
-    split = placed.groupBy("band", "key").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p <> q").select("band", "key")
-    placed = stored(placed.join(split, ["band", "key"], "left_semi"), "op5-open")
-    other = placed.select("band", "key", F.col("c").alias("b"), F.col("label").alias("other"))
-    open_pairs = (
-        placed.withColumnRenamed("c", "a").join(other, ["band", "key"])
-        .filter((F.col("a") > F.col("b")) & (F.col("label") != F.col("other"))).select("a", "b").distinct()
-        .join(stars, ["a", "b"], "left_anti"))
-    return sigs, links.unionByName(stored(_verified(open_pairs, sets, percent), "op5-links"))
+    families = components(stars).withColumnRenamed("label", "family")
+    placed = stored(families.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")), "op5-families")
+    # links across components join whole components: their labels are the nodes now
+    across = components(_links_across(placed, sets, percent)).select(F.col("label").alias("joined"), F.col("c").alias("label"))
+    labels = placed.select("c", "label").join(across, "label", "left").select("c", F.coalesce("joined", "label").alias("label"))
+    return sigs, stored(labels, "op5-labels")
+
+
+def _incidence(sets: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
+    """One row for each set: which of the ``shared`` values it holds."""
+    out = np.zeros((len(sets), len(shared)), np.float32)
+    for k, s in enumerate(sets):
+        at = np.searchsorted(shared, s)
+        at[at == len(shared)] = 0
+        out[k, at[shared[at] == s]] = 1
+    return out
+
+
+def similar_pairs(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> np.ndarray:
+    """(row of x, row of y) of all similar pairs of sorted sets."""
+    shared = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)), assume_unique=True)
+    if not len(shared):
+        return np.zeros((0, 2), np.int64)
+    common = np.rint(_incidence(x, shared) @ _incidence(y, shared).T).astype(np.int64)
+    sizes = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])
+    return np.argwhere(100 * common >= percent * (sizes - common))
+
+
+def _links_across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) between different components (by their labels) of one family. ``placed``: (c, family, label)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for tiles in batches:
+            found = []
+            for x, y in zip(tiles["x"], tiles["y"], strict=True):
+                if len({m["label"] for m in (*x, *y)}) < 2:
+                    continue
+                pairs = similar_pairs(*([np.frombuffer(m["s"], np.uint64) for m in t] for t in (x, y)), percent)
+                found += {(x[i]["label"], y[j]["label"]) for i, j in pairs if x[i]["label"] != y[j]["label"]}
+            yield pd.DataFrame({"a": [max(p) for p in found], "b": [min(p) for p in found]}, dtype="int64")
+
+    # of two classes, the star has compared the only pair
+    open_ = placed.groupBy("family").agg(
+        F.min("label").alias("p"), F.max("label").alias("q"), F.count("*").alias("members")).filter("p <> q and members > 2")
+    # similar sets are of one size class or of neighbouring ones
+    step = math.log(100 / percent) * 1.0001
+    inside = placed.join(open_.select("family"), "family").join(sets.select("c", "n"), "c").withColumn(
+        "size_class", F.floor(F.log("n") / step).cast("int"))
+    tiles_of = inside.groupBy("family", "size_class").agg(F.ceil(F.sum("n") * 8 / TILE_BYTES).alias("tiles"))
+    dealt = inside.join(tiles_of, ["family", "size_class"]).select(
+        "family", "size_class", F.pmod(F.xxhash64("c"), F.col("tiles")).alias("tile"), "c", "label")
+    tiles = stored(dealt.join(sets.select("c", "s"), "c").groupBy("family", "size_class", "tile").agg(
+        F.collect_list(F.struct("c", "label", "s")).alias("x")), "op5-tiles")
+    mine = tiles.withColumn("other_class", F.explode(F.array("size_class", F.col("size_class") + 1)))
+    theirs = tiles.select("family", F.col("size_class").alias("other_class"), F.col("tile").alias("other"), F.col("x").alias("y"))
+    once = (F.col("size_class") < F.col("other_class")) | (F.col("tile") <= F.col("other"))
+    pairs = mine.join(theirs, ["family", "other_class"]).filter(once).select("x", "y")
+    return pairs.mapInPandas(run, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept, k, h. ``docs``: (doc_id, text, k, h)."""
-    sigs, links = classes_and_links(docs, words, percent)
-    labels = components(links)
+    sigs, labels = classes_and_labels(docs, words, percent)
     per_class = sigs.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("least")).join(labels, "c", "left")
     per_class = per_class.withColumn("label", F.coalesce("label", "c"))
     groups = per_class.groupBy("label").agg(F.min("least").alias("component_id"))
