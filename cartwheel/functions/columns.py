@@ -1,9 +1,7 @@
 """Column-expression helpers shared by the operators.
 
 All are built-in Spark SQL expressions (codegen'd, JVM-side). Money is summed
-as ``decimal(18,2)`` so totals do not depend on the order rows arrive in, and
-ratios that are rounded go through a decimal so the rounding is half-up on
-the decimal value rather than on a binary double.
+as ``decimal(18,2)`` so totals do not depend on the order rows arrive in.
 """
 
 from __future__ import annotations
@@ -29,23 +27,6 @@ def money_sum(c) -> Column:
     return F.sum(money(c)).cast("double")
 
 
-def money_avg(c) -> Column:
-    """Exact decimal sum divided by the count, as double."""
-    c = col_(c)
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(c).cast("double"))
-
-
-def round_half_up(c, places: int = 2) -> Column:
-    """Round through a decimal so that e.g. 2.675 -> 2.68 (not binary 2.67)."""
-    return F.round(col_(c).cast("decimal(38,10)"), places).cast("double")
-
-
-def pct(num, den, places: int = 2) -> Column:
-    """num / den * 100 rounded; NULL when den is 0 or NULL."""
-    return round_half_up(F.try_divide(col_(num).cast("decimal(38,10)") * 100,
-                                      col_(den).cast("decimal(38,10)")), places)
-
-
 def parse_ts(df: DataFrame, name: str) -> Column:
     """Timestamp from an ISO string (NULL if unparsable, never an error under
     ANSI); typed timestamp columns pass through unchanged."""

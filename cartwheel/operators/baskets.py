@@ -1,21 +1,16 @@
 """Q5-Q6: products bought together / viewed together.
 
-Co-occurrence counts with bag semantics: for a basket holding product a
-``m_a`` times and product b ``m_b`` times (a < b) the pair (a, b) gains
-``m_a * m_b`` - the result of an equi self-join of the basket's lines on the
-basket id with ``a < b``.
-
-Plan:
-
-* ordinary baskets (``size <= big_basket``): pairs are generated inside the
-  row with higher-order array functions, so nothing is shuffled before the
-  pair count, and the count is partially aggregated before its shuffle;
-* big baskets: lines are first reduced to (basket, product, multiplicity) and
-  paired by a salted self-join on (basket, salt) - one salt per ``big_basket``
-  lines, at most ``salt_buckets`` - so one huge basket is spread over many
-  tasks instead of building its pairs in one row.
-
-Both branches are exact; the union is summed per pair.
+The counts are those of an equi self-join of the basket lines on the basket id
+with ``a < b``: a product that stands m times in a basket counts m times, rows
+that repeat a basket id are one basket, and rows without an id join nothing.
+
+Plan: each row's lines are cut into chunks in the row; the chunks are joined
+with themselves on the basket id, and each pair of chunks yields its product
+pairs inside the row. An ordinary basket is one chunk, so what is shuffled is
+one row per basket, once (both join sides read the same exchange), and the
+pairs are partially aggregated before their own shuffle. A huge basket is many
+chunk pairs, which Spark's skew-join handling spreads over tasks. The result
+does not depend on the chunk size.
 """
 
 from __future__ import annotations
@@ -23,47 +18,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BIG_BASKET = 256
-SALT_BUCKETS = 64
-
-
-def _in_row_pairs(baskets: DataFrame, ids_col: str) -> DataFrame:
-    ids = F.col(ids_col)
-    pairs = F.flatten(F.transform(ids, lambda x: F.transform(
-        F.filter(ids, lambda y: x < y), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    return (baskets.select(F.explode(pairs).alias("p"))
-            .select(F.col("p.a").alias("product_a"), F.col("p.b").alias("product_b"),
-                    F.lit(1).cast("bigint").alias("w")))
-
-
-def _salted_pairs(baskets: DataFrame, basket_col: str, ids_col: str, big_basket: int,
-                  salt_buckets: int) -> DataFrame:
-    # salts per basket grow with its size (one per `big_basket` lines, at most
-    # `salt_buckets`): a medium basket is replicated a few times, a giant one
-    # is spread over `salt_buckets` tasks
-    n_salt = F.least(F.ceil(F.size(ids_col) / F.lit(max(big_basket, 1))).cast("int"),
-                     F.lit(salt_buckets))
-    lines = (baskets.select(basket_col, n_salt.alias("n_salt"), F.explode(ids_col).alias("pid"))
-             .filter(F.col("pid").isNotNull())
-             .groupBy(basket_col, "n_salt", "pid").agg(F.count(F.lit(1)).alias("m")))
-    left = lines.select(basket_col, F.col("pid").alias("product_a"), F.col("m").alias("ma"),
-                        F.pmod(F.xxhash64("pid"), F.col("n_salt")).cast("int").alias("salt"))
-    right = lines.select(basket_col, F.col("pid").alias("product_b"), F.col("m").alias("mb"),
-                         F.explode(F.sequence(F.lit(0), F.col("n_salt") - 1)).alias("salt"))
-    return (left.join(right, [basket_col, "salt"])
-            .filter(F.col("product_a") < F.col("product_b"))
-            .select("product_a", "product_b", (F.col("ma") * F.col("mb")).alias("w")))
+CHUNK_LINES = 64
 
 
 def basket_pair_counts(baskets: DataFrame, basket_col: str, ids_col: str, count_name: str,
-                       big_basket: int = BIG_BASKET, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+                       chunk_lines: int = CHUNK_LINES) -> DataFrame:
     """(product_a, product_b, count) over baskets given as (basket id, array of product ids)."""
-    b = baskets.select(basket_col, ids_col)
-    small = _in_row_pairs(b.filter(F.size(ids_col) <= big_basket), ids_col)
-    big = _salted_pairs(b.filter(F.size(ids_col) > big_basket), basket_col, ids_col, big_basket,
-                        salt_buckets)
-    return (small.unionByName(big).groupBy("product_a", "product_b")
-            .agg(F.sum("w").alias(count_name)))
+    ids = F.array_compact(ids_col)
+    starts = F.sequence(F.lit(1), F.size("ids"), F.lit(chunk_lines))
+    chunks = (baskets.select(F.col(basket_col).alias("basket"), ids.alias("ids"))
+              .filter(F.col("basket").isNotNull() & (F.size("ids") > 0))
+              .select("basket", F.explode(F.transform(
+                  starts, lambda i: F.slice("ids", i, chunk_lines))).alias("chunk")))
+    left, right = chunks.withColumnRenamed("chunk", "x"), chunks.withColumnRenamed("chunk", "y")
+    pairs = F.flatten(F.transform("x", lambda a: F.transform(
+        F.filter("y", lambda b: a < b), lambda b: F.struct(a.alias("product_a"), b.alias("product_b")))))
+    # a sort-merge join whatever the size: both sides are then one scan and one exchange
+    return (left.join(right.hint("merge"), "basket").select(F.inline(pairs))
+            .groupBy("product_a", "product_b").agg(F.count(F.lit(1)).alias(count_name)))
 
 
 def _enrich(pairs: DataFrame, products_clean: DataFrame, count_name: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import parse_ts
+from cartwheel.functions.columns import array_fields, parse_ts
 
 
 def valid_transaction() -> Column:
@@ -66,25 +66,32 @@ def cleaning_report(transactions: DataFrame, sessions: DataFrame, products: Data
             .unionByName(_report_row(products, "products", valid_product())))
 
 
-def normalize_transactions(transactions: DataFrame, default_quantity: int = 0) -> DataFrame:
+LINE_FIELDS = ("product_id", "quantity", "unit_price", "subtotal", "price")
+
+
+def normalize_transactions(transactions: DataFrame, default_quantity: int = 0,
+                           fields: tuple[str, ...] = LINE_FIELDS) -> DataFrame:
     """Coerce a document extract to fixed types with defaults, as column
     expressions: total and discount become doubles (missing -> 0), each line's
     quantity an int (missing -> ``default_quantity``; one consumer used 1, the
     other 0) and its price a double. Generated lines carry ``unit_price``, not
-    ``price``, so price falls back to unit_price before the 0 default."""
-    item_fields = transactions.schema["items"].dataType.elementType.fieldNames()
+    ``price``, so price falls back to unit_price before the 0 default. Only the
+    line ``fields`` named are built, so the scan reads no others."""
+    have = transactions.schema["items"].dataType.elementType.fieldNames()
+    need = [f for f in have if f in fields or (f == "unit_price" and "price" in fields)]
     zero = F.lit(0.0)
 
     def line(x):
-        price = x["price"] if "price" in item_fields else F.lit(None).cast("double")
-        return F.struct(
-            x["product_id"].alias("product_id"),
-            F.coalesce(x["quantity"].try_cast("int"), F.lit(default_quantity)).alias("quantity"),
-            x["unit_price"].try_cast("double").alias("unit_price"),
-            x["subtotal"].try_cast("double").alias("subtotal"),
-            F.coalesce(price.try_cast("double"), x["unit_price"].try_cast("double"), zero).alias("price"))
+        number = lambda f: x[f].try_cast("double") if f in have else F.lit(None).cast("double")
+        made = {
+            "product_id": lambda: x["product_id"],
+            "quantity": lambda: F.coalesce(x["quantity"].try_cast("int"), F.lit(default_quantity)),
+            "unit_price": lambda: number("unit_price"),
+            "subtotal": lambda: number("subtotal"),
+            "price": lambda: F.coalesce(number("price"), number("unit_price"), zero)}
+        return F.struct(*[made[f]().alias(f) for f in LINE_FIELDS if f in fields])
 
     return (transactions
             .withColumn("total", F.coalesce(F.col("total").try_cast("double"), zero))
             .withColumn("discount", F.coalesce(F.col("discount").try_cast("double"), zero))
-            .withColumn("items", F.transform("items", line)))
+            .withColumn("items", F.transform(array_fields("items", *need), line)))

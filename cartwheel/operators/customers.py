@@ -12,11 +12,10 @@ arithmetically.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import MONEY
-from cartwheel.session import materialize
 
 
 def _segment_by_purchases(c="total_purchases"):
@@ -48,7 +47,7 @@ def _user_behavior(users: DataFrame, transactions_clean: DataFrame, sessions_cle
         F.coalesce("total_sessions", F.lit(0)).alias("total_sessions"),
         _segment_by_purchases().alias("customer_segment"))
     out = out.orderBy(F.desc("total_spent"), "user_id")
-    return out.limit(n) if n else out
+    return out if n is None else out.limit(n)
 
 
 def user_behavior(users, transactions_clean, sessions_clean, n: int | None = 20) -> DataFrame:
@@ -75,96 +74,74 @@ def customer_spending(transactions: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("total").cast(MONEY)).cast("double").alias("total_spent")))
 
 
-def exact_median(df: DataFrame, col: str, accuracy: int = 10000, small: int = 10000):
-    """Exact median (mean of the two middle values for an even count) with no
-    single-task step over the data.
-
-    Each round, a distributed approximate-quantile sketch (rank error <=
-    m/accuracy over the m values still in play) brackets the two middle ranks,
-    and one counting pass checks the bracket (widened if the sketch missed).
-    The bracket shrinks about accuracy/4-fold per round, so after a round or
-    two it holds few values; those are grouped by value (ties - a hot value -
-    collapse to one row) and at most ``small`` (value, count) rows are ranked
-    on the driver. Returns a Python float (None for no values).
-    """
-    v = F.col("v")
-    band = df.select(F.col(col).alias("v")).filter(v.isNotNull())
-    n = band.count()
-    if n == 0:
-        return None
-    k1, k2 = (n - 1) // 2, n // 2
-    below, m = 0, n                       # values left of the band, values in it
-    while True:
-        grouped = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-        if m <= small or grouped.limit(small + 1).count() <= small:
-            break
-        delta = 2.0 / accuracy
-        while True:
-            p_lo = max(0.0, (k1 - below) / m - delta)
-            p_hi = min(1.0, (k2 - below + 1) / m + delta)
-            lo, hi = band.agg(F.percentile_approx(
-                "v", F.array(F.lit(p_lo), F.lit(p_hi)), accuracy).alias("q")).first()["q"]
-            c = band.agg(F.count_if(v < lo).alias("b"),
-                         F.count_if((v >= lo) & (v <= hi)).alias("i")).first()
-            if below + c["b"] <= k1 and below + c["b"] + c["i"] > k2:
-                break
-            delta *= 4
-        if c["i"] == m:                   # no progress possible: rank the groups as they are
-            break
-        band, below, m = band.filter((v >= lo) & (v <= hi)), below + c["b"], c["i"]
-    rows = sorted((r["v"], r["c"]) for r in
-                  grouped.select(F.col("v").cast("decimal(38,2)").alias("v"), "c").collect())
-
-    def at(k):
-        seen = below
-        for value, count in rows:
-            seen += count
-            if seen > k:
-                return value
-        raise AssertionError("rank outside the bracket")
-
-    return float((at(k1) + at(k2)) / 2)
+DIGIT_BITS = 16
+#: levels of DIGIT_BITS that cover a 64-bit number
+LEVELS = 4
+
+
+def exact_median(df: DataFrame, col: str, places: int = 2) -> DataFrame:
+    """One row (median double): the mean of the two middle values, NULL without any.
+
+    Values are whole multiples of 10^-places (money: cents), read as 64-bit
+    integers and shifted to be non-negative. Level by level, from the highest
+    digit of 16 bits down, the values that share the digits found so far are
+    counted by their next one (map-side, at most 65,536 rows), and a running sum
+    over those rows picks the digit that holds the wanted rank. Lazy: one plan, no
+    value leaves the executors, and the same four levels at every size."""
+    low = F.lit(-(2 ** 62)).cast("bigint")
+    units = F.col(col).cast(f"decimal(38,{places})") * 10 ** places
+    values = df.filter(F.col(col).isNotNull()).select((units.cast("bigint") - low).alias("v"))
+    n = values.agg(F.count(F.lit(1)).alias("n"))
+    ranks = n.select(F.explode(F.array(
+        F.struct(F.lit(0).alias("which"), F.floor((F.col("n") - 1) / 2).alias("rank")),
+        F.struct(F.lit(1).alias("which"), F.floor(F.col("n") / 2).alias("rank")))).alias("r")).filter(
+        F.col("r.rank") >= 0).select("r.which", "r.rank", F.lit(0).cast("bigint").alias("found"))
+    running = Window.partitionBy("which").orderBy("digit")
+    for level in range(LEVELS):
+        shift = DIGIT_BITS * (LEVELS - 1 - level)
+        above = F.lit(0).cast("bigint") if level == 0 else F.shiftright("v", shift + DIGIT_BITS)
+        digit = F.shiftright("v", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+        counted = values.select(above.alias("found"), digit.alias("digit"))
+        # the wanted prefixes are at most two rows
+        counts = (counted.join(F.broadcast(ranks), "found").groupBy("which", "rank", "found", "digit")
+                  .agg(F.count(F.lit(1)).alias("n")))
+        placed = counts.withColumn("upto", F.sum("n").over(running))
+        ranks = (placed.filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
+                 .select("which", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
+                         (F.col("found") * (1 << DIGIT_BITS) + F.col("digit")).alias("found")))
+    value = (F.col("found") + low).cast("decimal(38,0)")
+    return ranks.agg((F.sum(value).cast("double") / (2 * 10 ** places)).alias("median"))
 
 
 def spending_summary(customer_spending_df: DataFrame) -> DataFrame:
-    """Top spender (largest spend, then smallest id) and the median spend.
-
-    The per-user table is checkpointed once (lineage cut in the session's
-    checkpoint folder), so the median's passes and the final aggregate do not
-    each re-aggregate the transactions."""
-    customer_spending_df = materialize(customer_spending_df)
-    med = exact_median(customer_spending_df, "total_spent")
+    """Top spender (largest spend, then smallest id) and the median spend."""
     return customer_spending_df.agg(
         F.min_by("user_id", F.struct(-F.col("total_spent"), F.col("user_id"))).alias("top_user_id"),
         F.max("total_spent").alias("top_spent"),
-        F.lit(med).cast("double").alias("median_spent"),
-        F.count("total_spent").alias("customers"))
+        F.count("total_spent").alias("customers"),
+    ).withColumn("median_spent", exact_median(customer_spending_df, "total_spent").scalar()).select(
+        "top_user_id", "top_spent", "median_spent", "customers")
 
 
 def spending_histogram(customer_spending_df: DataFrame, bins: int = 50) -> DataFrame:
     """Customers per equal-width spend bin over [min, max], the last bin closed
-    (numpy/pandas rule; a single distinct value spreads the range by +-0.5).
-    Bin edges are two scalars from one aggregation; the binning itself is a
-    column expression, so no row passes through the driver."""
+    (numpy/pandas rule; a single distinct value spreads the range by +-0.5, no
+    value at all gives [0, 1]). The edges are a one-row aggregate inside the plan."""
     spark = customer_spending_df.sparkSession
-    customer_spending_df = materialize(customer_spending_df)
     v = F.col("total_spent")
-    stats = customer_spending_df.agg(F.min(v).alias("mn"), F.max(v).alias("mx")).first()
-    if stats["mn"] is None:
-        mn, mx = 0.0, 1.0
-    else:
-        mn, mx = float(stats["mn"]), float(stats["mx"])
-    if mn == mx:
-        mn, mx = mn - 0.5, mx + 0.5
-    width = (mx - mn) / bins
-    b = F.least(F.floor((v - F.lit(mn)) * F.lit(float(bins)) / F.lit(mx - mn)) + 1,
-                F.lit(bins)).cast("int")
-    counts = (customer_spending_df.filter(v.isNotNull()).groupBy(b.alias("bin"))
+    stats = customer_spending_df.agg(F.min(v).alias("mn"), F.max(v).alias("mx"))
+    spread = F.when(F.col("mn") == F.col("mx"), 0.5).otherwise(0.0)
+    edges = stats.select(
+        F.struct(F.coalesce(F.col("mn") - spread, F.lit(0.0)).alias("mn"),
+                 F.coalesce(F.col("mx") + spread, F.lit(1.0)).alias("mx")).alias("e")).scalar()
+    mn, width = F.col("e.mn"), (F.col("e.mx") - F.col("e.mn")) / bins
+    b = F.least(F.floor((v - mn) * F.lit(float(bins)) / (F.col("e.mx") - mn)) + 1, F.lit(bins)).cast("int")
+    counts = (customer_spending_df.filter(v.isNotNull()).withColumn("e", edges).groupBy(b.alias("bin"))
               .agg(F.count(F.lit(1)).alias("customers")))
-    edges = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    return (edges.join(counts, "bin", "left")
+    numbers = spark.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
+    return (numbers.join(counts, "bin", "left").withColumn("e", edges)
             .select("bin",
-                    (F.lit(mn) + (F.col("bin") - 1) * F.lit(width)).alias("bin_start"),
-                    (F.lit(mn) + F.col("bin") * F.lit(width)).alias("bin_end"),
+                    (mn + (F.col("bin") - 1) * width).alias("bin_start"),
+                    (mn + F.col("bin") * width).alias("bin_end"),
                     F.coalesce("customers", F.lit(0)).alias("customers"))
             .orderBy("bin"))

@@ -13,62 +13,53 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.columns import MONEY, array_fields, parse_ts
-from cartwheel.operators.products import item_facts
+from cartwheel.operators.products import sale_lines
 
 VIEWS = ["view_count", "unique_users", "avg_view_duration", "sessions_with_view"]
 SALES = ["units_sold", "revenue", "num_transactions", "avg_order_value", "conversion_rate"]
 INVENTORY = ["stock_start", "stock_end"]
 
 
-def _ts_range(df: DataFrame, ts_col: str, start: str, end: str, end_col: str | None = None):
+def _ts_range(df: DataFrame, ts_col: str, start: str, end: str):
     """start <= ts < end + 1 day as plain comparisons on the stored column, so
     the scan can skip files/row groups (a predicate on to_date(ts) could not)."""
     ts = parse_ts(df, ts_col)
     typ = "timestamp_ntz" if dict(df.dtypes)[ts_col] == "timestamp_ntz" else "timestamp"
     lo = F.lit(start).cast("date").cast(typ)
     hi = F.date_add(F.lit(end).cast("date"), 1).cast(typ)
-    upper = parse_ts(df, end_col) if end_col else ts
-    return (ts < hi) & (upper >= lo)
+    return (ts < hi) & (ts >= lo)
 
 
 def daily_views(sessions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
-    if start is not None:
-        # sessions overlapping the range; the views themselves are filtered below
-        sessions = sessions.filter(_ts_range(sessions, "start_time", start, end, "end_time"))
+    """Per (product, day of the view). A range tests the views' own times only: a
+    session's start and end may be missing, or lie elsewhere. Views are reduced to
+    (product, day, session, user) before the two distinct counts."""
     pv_type = sessions.schema["page_views"].dataType.elementType["timestamp"].dataType.typeName()
     day = (lambda t: F.to_date(F.try_to_timestamp(t))) if pv_type == "string" else F.to_date
-    views = F.filter(F.transform(array_fields("page_views", "product_id", "timestamp", "view_duration"),
-                                 lambda x: F.struct(
-        x["product_id"].alias("product_id"), day(x["timestamp"]).alias("date"),
-        x["view_duration"].alias("view_duration"), F.lit(0).alias("first"))),
-        lambda v: v["product_id"].isNotNull())
+    views = sessions.select("session_id", "user_id", F.inline(
+        array_fields("page_views", "product_id", "timestamp", "view_duration"))).select(
+        "session_id", "user_id", "product_id", day(F.col("timestamp")).alias("date"), "view_duration",
+    ).filter(F.col("product_id").isNotNull())
     if start is not None:
-        lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-        views = F.filter(views, lambda v: v["date"].between(lo, hi))
-    # one marker per distinct (product, day) of a session: summing markers gives
-    # sessions_with_view without a second DISTINCT aggregate (which would make
-    # Spark duplicate every row through an Expand before the shuffle)
-    markers = F.transform(F.array_distinct(F.transform(views, lambda v: F.struct(
-        v["product_id"].alias("product_id"), v["date"].alias("date")))), lambda m: F.struct(
-        m["product_id"].alias("product_id"), m["date"].alias("date"),
-        F.lit(None).cast("int").alias("view_duration"), F.lit(1).alias("first")))
-    rows = sessions.select("user_id", F.inline(F.concat(views, markers)))
-    vd = F.when(F.col("first") == 0, F.col("view_duration"))
-    return (rows.groupBy("product_id", "date")
-            .agg(F.count_if(F.col("first") == 0).alias("view_count"),
+        views = views.filter(F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    once = views.groupBy("product_id", "date", "session_id", "user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("view_duration").alias("seconds"),
+        F.count("view_duration").alias("timed"))
+    return (once.groupBy("product_id", "date")
+            .agg(F.sum("n").alias("view_count"),
                  F.count_distinct("user_id").alias("unique_users"),
-                 F.try_divide(F.sum(vd), F.count(vd)).alias("avg_view_duration"),
-                 F.sum("first").cast("bigint").alias("sessions_with_view")))
+                 F.try_divide(F.sum("seconds"), F.sum("timed")).alias("avg_view_duration"),
+                 F.count_distinct("session_id").alias("sessions_with_view")))
 
 
 def daily_sales(transactions: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     if start is not None:
         transactions = transactions.filter(_ts_range(transactions, "timestamp", start, end))
-    t = transactions.select("items", F.to_date(parse_ts(transactions, "timestamp")).alias("date"))
-    return (item_facts(t, "date").groupBy("product_id", "date")
+    t = transactions.select("transaction_id", "items", F.to_date(parse_ts(transactions, "timestamp")).alias("date"))
+    return (sale_lines(t, "date").groupBy("product_id", "date")
             .agg(F.sum("quantity").alias("units_sold"),
                  F.sum(F.col("subtotal").cast(MONEY)).alias("revenue_dec"),
-                 F.sum("first").cast("bigint").alias("num_transactions")))
+                 F.count_distinct("transaction_id").alias("num_transactions")))
 
 
 def product_daily_metrics(sessions: DataFrame, transactions: DataFrame,
@@ -101,7 +92,7 @@ def product_metrics_range(metrics: DataFrame, start: str, end: str, product_id=N
     df = metrics.filter((F.col("date") >= F.lit(start).cast("date"))
                         & (F.col("date") <= F.lit(end).cast("date")))
     if product_id is not None:
-        df = df.filter(F.col("product_id") == F.lit(product_id))
+        df = df.filter(F.col("product_id") == F.lit(product_id).cast(df.schema["product_id"].dataType))
     picked = [c for f in families for c in cols[f] if c in metrics.columns]
     return df.select("row_key", "product_id", "date", *picked)
 
@@ -117,8 +108,10 @@ def product_daily_stock(products: DataFrame, transactions: DataFrame) -> DataFra
     """Stock at the start and end of each sales day, from the final stock:
     end(d) = current_stock + units sold after d; start(d) = end(d) + units on d.
     (Units of failed orders are not seen, so start is a lower bound.)"""
-    s = daily_sales(transactions).select("product_id", "date",
-                                         F.coalesce("units_sold", F.lit(0)).alias("units"))
+    lines = transactions.select(F.to_date(parse_ts(transactions, "timestamp")).alias("date"),
+                                F.inline(array_fields("items", "product_id", "quantity")))
+    s = lines.groupBy("product_id", "date").agg(
+        F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("units"))
     after = F.sum("units").over(Window.partitionBy("product_id").orderBy(F.desc("date"))
                                 .rowsBetween(Window.unboundedPreceding, -1))
     j = s.join(products.select("product_id", "current_stock"), "product_id")

@@ -2,10 +2,9 @@
 
 Per-product aggregates explode the nested lines and aggregate with map-side
 partial aggregation, so a hot product costs one partial row per task, not a
-hot shuffle partition. "Number of distinct transactions per product" is
-computed without a distinct aggregate: each transaction row emits one marker
-per distinct product it holds (``array_distinct`` is a per-row hash set), and
-the markers are summed in the same single-shuffle aggregation.
+hot shuffle partition. "Number of distinct transactions per product" is a
+COUNT(DISTINCT) beside the sums: Spark reduces to one row per (product,
+transaction) first, which also spreads a hot product over the tasks.
 """
 
 from __future__ import annotations
@@ -16,24 +15,14 @@ from pyspark.sql import functions as F
 from cartwheel.functions.columns import array_fields, money_sum
 
 
-def item_facts(transactions: DataFrame, *keep: str) -> DataFrame:
-    """One row per line item plus one marker row per distinct product of a
-    transaction: (product_id, quantity, subtotal, first) with first = 1 on
-    marker rows (quantity/subtotal NULL there) and 0 on line rows."""
-    lines = array_fields("items", "product_id", "quantity", "subtotal")
-    line = F.transform(lines, lambda x: F.struct(
-        x["product_id"].alias("product_id"), x["quantity"].alias("quantity"),
-        x["subtotal"].alias("subtotal"), F.lit(0).alias("first")))
-    marker = F.transform(F.array_distinct(F.col("items.product_id")), lambda p: F.struct(
-        p.alias("product_id"), F.lit(None).cast("int").alias("quantity"),
-        F.lit(None).cast("double").alias("subtotal"), F.lit(1).alias("first")))
-    return (transactions.select(*keep, F.explode(F.concat(line, marker)).alias("f"))
-            .select(*keep, "f.product_id", "f.quantity", "f.subtotal", "f.first"))
+def sale_lines(transactions: DataFrame, *keep: str) -> DataFrame:
+    """One row per line item: transaction_id, product_id, quantity, subtotal."""
+    return transactions.select("transaction_id", *keep, F.inline(array_fields("items", "product_id", "quantity", "subtotal")))
 
 
 def product_sales(transactions_clean: DataFrame) -> DataFrame:
-    return (item_facts(transactions_clean).groupBy("product_id")
-            .agg(F.sum("first").cast("bigint").alias("num_transactions"),
+    return (sale_lines(transactions_clean).groupBy("product_id")
+            .agg(F.count_distinct("transaction_id").alias("num_transactions"),
                  F.sum("quantity").alias("total_quantity_sold"),
                  money_sum("subtotal").alias("total_revenue")))
 

@@ -3,9 +3,9 @@
 A row key is ``<user_id>_<13-digit reverse epoch millis>``, so sorting keys
 ascending lists a user's sessions newest first. The flat table keeps the
 three column groups as prefixed columns (``session_info_*``, ``device_info_*``,
-``behavior_*``); selecting one group is plain column pruning. Sessions landed
-bucketed by user and sorted (see ``sources.landing``), so a per-user lookup
-reads only the row groups whose min/max range covers the user.
+``behavior_*``); selecting one group is plain column pruning.
+:func:`write_timeline` stores it sorted by key, so a lookup by user or key reads
+only the row groups whose min/max range covers it.
 
 Every lookup has an all-users form (a filter or a per-user top-n window); the
 per-user top-n uses ``row_number() <= n``, which Spark executes with a
@@ -87,13 +87,20 @@ def user_sessions_flat(sessions: DataFrame) -> DataFrame:
         F.coalesce(F.to_json("cart_contents", keep_nulls), F.lit("{}")).alias("behavior_cart_contents"))
 
 
-def user_sessions_upsert(flat: DataFrame, seq: str) -> DataFrame:
-    """Put semantics: rows with the same row key overwrite each other; the
-    row with the highest ``seq`` (ingest order) wins. An aggregate (max_by)
-    with partial aggregation, so a hot key does not land in one task whole."""
-    cols = [c for c in flat.columns]
-    winner = F.max_by(F.struct(*cols), F.struct(F.col(seq), *[F.col(c) for c in cols]))
-    return flat.groupBy("row_key").agg(winner.alias("r")).select("r.*")
+def user_sessions_upsert(puts: DataFrame, seq) -> DataFrame:
+    """Put semantics: rows with the same row key overwrite each other; the one
+    put last, by the ingest sequence ``seq``, wins (a rank limit that Spark
+    applies in each task before the shuffle, so a hot key ships one row per task)."""
+    newest = Window.partitionBy("row_key").orderBy(F.col(seq).desc())
+    return (puts.withColumn("nth", F.row_number().over(newest))
+            .filter(F.col("nth") == 1).drop("nth"))
+
+
+def write_timeline(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The flat timeline stored for key lookups: rows of a user together, sorted
+    by row key in each file (a hot user is split over several sorted files)."""
+    (flat.hint("rebalance", "user_id").sortWithinPartitions("user_id", "row_key")
+     .write.mode(mode).parquet(path))
 
 
 def select_families(flat: DataFrame, *families: str) -> DataFrame:
@@ -116,14 +123,19 @@ def last_sessions(flat: DataFrame, n: int = 5) -> DataFrame:
                                      "behavior_conversion_status"), n)
 
 
+def _of_user(df: DataFrame, user_id) -> Column:
+    # the parameter takes the column's type, so the column is compared as stored
+    return F.col("user_id") == F.lit(user_id).cast(df.schema["user_id"].dataType)
+
+
 def last_sessions_for_user(flat: DataFrame, user_id, n: int = 5) -> DataFrame:
     """Key-range scan [user_, user_~) with a limit: newest n sessions of one user."""
-    return flat.filter(F.col("user_id") == F.lit(user_id)).orderBy("row_key").limit(n)
+    return flat.filter(_of_user(flat, user_id)).orderBy("row_key").limit(n)
 
 
 def all_sessions_for_user(flat: DataFrame, user_id=None) -> DataFrame:
     """All sessions of a user (all users when None), newest first."""
-    df = flat if user_id is None else flat.filter(F.col("user_id") == F.lit(user_id))
+    df = flat if user_id is None else flat.filter(_of_user(flat, user_id))
     return df.orderBy("user_id", "row_key")
 
 
@@ -133,7 +145,7 @@ def user_sessions_between(sessions: DataFrame, start: str, end: str, user_id=Non
     df = sessions.filter((st >= F.lit(start).cast(st_type(sessions)))
                          & (st < F.lit(end).cast(st_type(sessions))))
     if user_id is not None:
-        df = df.filter(F.col("user_id") == F.lit(user_id))
+        df = df.filter(_of_user(df, user_id))
     return session_row_keys(df).orderBy("user_id", "row_key")
 
 
@@ -144,17 +156,19 @@ def st_type(sessions: DataFrame) -> str:
 
 def session_by_key(flat: DataFrame, key) -> DataFrame:
     """Point lookup of one row key; ``key`` may also be a one-column
-    DataFrame of keys (a batch of gets)."""
+    DataFrame of keys (a batch of gets). The user id is read off the key, so
+    the scan gets a predicate on a stored column even where the key is computed."""
     if isinstance(key, DataFrame):
         return flat.join(key.toDF("row_key"), "row_key", "left_semi")
-    return flat.filter(F.col("row_key") == F.lit(key))
+    user = F.lit(key.rsplit("_", 1)[0]).try_cast(flat.schema["user_id"].dataType)
+    return flat.filter((F.col("user_id") == user) & (F.col("row_key") == F.lit(key)))
 
 
 def user_session_behavior(flat: DataFrame, n: int = 10, user_id=None) -> DataFrame:
     """The behavior group only, newest n sessions per user."""
     df = select_families(flat, "behavior")
     if user_id is not None:
-        df = df.filter(F.col("user_id") == F.lit(user_id))
+        df = df.filter(_of_user(df, user_id))
     return _newest_first(df, n)
 
 
@@ -162,6 +176,6 @@ def converted_sessions_for_user(flat: DataFrame, user_id=None) -> DataFrame:
     """Single-column value filter: behavior_conversion_status = converted."""
     df = flat.filter(F.col("behavior_conversion_status") == "converted")
     if user_id is not None:
-        df = df.filter(F.col("user_id") == F.lit(user_id))
+        df = df.filter(_of_user(df, user_id))
     return df.select("user_id", "row_key", "session_info_session_id", "session_info_start_time",
                      "behavior_conversion_status")

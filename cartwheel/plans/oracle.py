@@ -8,7 +8,14 @@ compared value for value.
 from __future__ import annotations
 
 from cartwheel.plans.oracle_base import CTES, with_ctes
-from cartwheel.plans.queries import METRICS_RANGE, SESSION_RANGE
+from cartwheel.plans.queries import (
+    LOOKUP_KEY,
+    LOOKUP_PRODUCT,
+    LOOKUP_USER,
+    METRICS_DAY,
+    METRICS_RANGE,
+    SESSION_RANGE,
+)
 
 CTES.update({
     # cleaned datasets
@@ -324,8 +331,13 @@ ORACLE: dict[str, str] = {
     "session_row_keys": with_ctes(f"SELECT {_RK} AS row_key, user_id, session_id, start_time FROM s", "s"),
     "user_sessions_flat": with_ctes("SELECT * FROM flat", "s", "u", "sv", "pv", "cart", "p",
                                     extra=_FLAT_CTES),
-    "user_sessions_upsert": with_ctes("SELECT * FROM flat", "s", "u", "sv", "pv", "cart", "p",
-                                      extra=_FLAT_CTES),
+    "user_sessions_upsert": with_ctes(
+        """SELECT CAST(user_id AS VARCHAR) || '_' || lpad(CAST(9999999999999 - epoch_ms(CAST(sdate AS TIMESTAMP)) AS VARCHAR), 13, '0')
+                      AS row_key,
+                  user_id, max(event_id) AS put_seq, arg_max(ts, event_id) AS last_event_time,
+                  arg_max(event_type, event_id) AS last_event_type,
+                  (array_agg(k ORDER BY event_id DESC))[1] AS last_product_id
+           FROM ev GROUP BY user_id, sdate""", "ev"),
     "last_sessions": with_ctes(
         """SELECT user_id, row_key, session_info_session_id, session_info_start_time, device_info_type,
                   behavior_conversion_status, recency_rank
@@ -338,8 +350,18 @@ ORACLE: dict[str, str] = {
         f"""SELECT {_RK} AS row_key, user_id, session_id, start_time FROM s
             WHERE start_time >= TIMESTAMP '{SESSION_RANGE[0]}' AND start_time < TIMESTAMP '{SESSION_RANGE[1]}'""",
         "s"),
+    "last_sessions_one_user": with_ctes(
+        f"SELECT * FROM flat WHERE user_id = {LOOKUP_USER} ORDER BY row_key LIMIT 5",
+        "s", "u", "sv", "pv", "cart", "p", extra=_FLAT_CTES),
+    "all_sessions_one_user": with_ctes(
+        f"""SELECT user_id, row_key, session_info_session_id, session_info_start_time FROM flat
+            WHERE user_id = {LOOKUP_USER}""", "s", "u", "sv", "pv", "cart", "p", extra=_FLAT_CTES),
     "session_by_key": with_ctes(
-        "SELECT * FROM flat WHERE row_key = (SELECT min(row_key) FROM flat)",
+        f"SELECT * FROM flat WHERE row_key = '{LOOKUP_KEY}'",
+        "s", "u", "sv", "pv", "cart", "p", extra=_FLAT_CTES),
+    "converted_sessions_one_user": with_ctes(
+        f"""SELECT user_id, row_key, session_info_session_id, session_info_start_time, behavior_conversion_status
+            FROM flat WHERE behavior_conversion_status = 'converted' AND user_id = {LOOKUP_USER}""",
         "s", "u", "sv", "pv", "cart", "p", extra=_FLAT_CTES),
     "user_session_behavior": with_ctes(
         f"""SELECT user_id, row_key, {_BEHAVIOR}, recency_rank
@@ -355,6 +377,18 @@ ORACLE: dict[str, str] = {
                    conversion_rate
             FROM m WHERE date >= DATE '{METRICS_RANGE[0]}' AND date <= DATE '{METRICS_RANGE[1]}'""",
         "pv", "ti", extra=_METRICS_CTES),
+    "product_metrics_one_product": with_ctes(
+        f"""SELECT * FROM m WHERE product_id = {LOOKUP_PRODUCT}
+            AND date >= DATE '{METRICS_RANGE[0]}' AND date <= DATE '{METRICS_RANGE[1]}'""",
+        "pv", "ti", extra=_METRICS_CTES),
+    "product_metrics_one_day": with_ctes(
+        f"SELECT * FROM m WHERE date = DATE '{METRICS_DAY}'", "pv", "ti", extra=_METRICS_CTES),
+    "product_current_price": with_ctes(
+        """SELECT p.product_id, m.current_price, m.first_price_date, COALESCE(m.n, -0)::INTEGER AS price_points
+           FROM p LEFT JOIN (SELECT product_id, arg_max(price, mth) AS current_price,
+                                    CAST(min(mth) AS TIMESTAMP) AS first_price_date, count(*) AS n
+                             FROM (SELECT product_id, date_trunc('month', ts) AS mth, min(unit_price) AS price
+                                   FROM ti GROUP BY ALL) GROUP BY product_id) m USING (product_id)""", "ti", "p"),
     "product_revenue_in_range": with_ctes(
         f"""SELECT product_id, CAST(sum(CAST(revenue AS DECIMAL(18,2))) AS DOUBLE) AS revenue, count(*) AS days
             FROM m WHERE date >= DATE '{METRICS_RANGE[0]}' AND date <= DATE '{METRICS_RANGE[1]}'
@@ -363,20 +397,25 @@ ORACLE: dict[str, str] = {
         """SELECT ds.product_id, ds.date, COALESCE(ds.units_sold, 0) AS units,
                   CAST(COALESCE(sum(COALESCE(ds.units_sold, 0)) OVER (PARTITION BY ds.product_id ORDER BY ds.date DESC
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS units_after,
-                  CAST(NULL AS BIGINT) AS stock_end, CAST(NULL AS BIGINT) AS stock_start
-           FROM ds JOIN p ON p.product_id = ds.product_id""", "ti", "p", extra={"ds": _SALES}),
+                  units_after + p_size AS stock_end, units_after + p_size + units AS stock_start
+           FROM ds JOIN part ON p_partkey = ds.product_id JOIN p ON p.product_id = ds.product_id""", "ti", "p", extra={"ds": _SALES}),
     "order_totals": with_ctes(
         """SELECT o.o_orderkey AS transaction_id,
                   CAST(COALESCE(x.sub, 0) AS DOUBLE) AS computed_subtotal,
-                  CAST(round(COALESCE(x.sub, 0) - 0.0, 2) AS DOUBLE) AS computed_total,
+                  CAST(COALESCE(x.sub, 0) - disc AS DOUBLE) AS computed_total,
                   CAST(COALESCE(x.ext, 0) AS DOUBLE) AS stored_subtotal,
                   o.o_totalprice AS stored_total,
                   COALESCE(x.sub, 0) = CAST(CAST(COALESCE(x.ext, 0) AS DOUBLE) AS DECIMAL(38,2)) AS subtotal_matches,
-                  round(COALESCE(x.sub, 0), 2) = CAST(o.o_totalprice AS DECIMAL(38,2)) AS total_matches
-           FROM orders o LEFT JOIN x ON x.transaction_id = o.o_orderkey""",
+                  CAST(COALESCE(x.sub, 0) - disc AS DECIMAL(38,2)) = CAST(o.o_totalprice AS DECIMAL(38,2)) AS total_matches
+           FROM (SELECT *, COALESCE(CASE WHEN o_orderkey % 2 = 0
+                     THEN CAST(x.ext AS DECIMAL(18,2)) - CAST(o_totalprice AS DECIMAL(18,2))
+                     ELSE CAST(x.off AS DECIMAL(18,2)) END, 0) AS disc
+                 FROM orders LEFT JOIN x ON x.transaction_id = o_orderkey) o
+           LEFT JOIN x ON x.transaction_id = o.o_orderkey""",
         "ti", extra={"x": f"""SELECT transaction_id,
                                     sum(round(CAST(quantity * unit_price AS DECIMAL(38,10)), 2)) AS sub,
-                                    {money_sum('subtotal')} AS ext
+                                    {money_sum('subtotal')} AS ext,
+                                    {money_sum('CAST(subtotal AS DECIMAL(18,2)) * CAST(rebate AS DECIMAL(4,2))')} AS off
                              FROM ti GROUP BY transaction_id"""}),
     "session_conversion_status": with_ctes(
         """SELECT s.session_id, s.user_id, CAST(COALESCE(c.n, 0) AS INTEGER) AS cart_lines,
@@ -385,7 +424,9 @@ ORACLE: dict[str, str] = {
            FROM s LEFT JOIN (SELECT session_id, count(*) AS n FROM cart WHERE quantity > 0 GROUP BY 1) c
                 ON c.session_id = s.session_id
            LEFT JOIN paid ON paid.session_id = s.session_id""",
-        "s", "cart", extra={"paid": "SELECT DISTINCT CAST(NULL AS VARCHAR) AS session_id FROM orders WHERE false"}),
+        "s", "cart", extra={"paid": """SELECT DISTINCT CAST(o_custkey AS VARCHAR) || '_202401'
+                                             || lpad(CAST(o_orderkey % 31 + 1 AS VARCHAR), 2, '0') AS session_id
+                                      FROM orders WHERE o_orderkey % 5 <> 0"""}),
     "page_view_durations": with_ctes(
         """SELECT pvi.session_id, CAST(view_index AS INTEGER) AS view_index, pvi.ts AS "timestamp",
                   event_type AS page_type, pid AS product_id,

@@ -22,7 +22,7 @@ CTES: dict[str, str] = {
     "ti": """SELECT l.l_orderkey AS transaction_id, o.o_custkey AS user_id, o.o_orderdate AS ts,
                     l.l_partkey AS product_id, CAST(l.l_quantity AS INTEGER) AS quantity,
                     l.l_extendedprice / l.l_quantity AS unit_price, l.l_extendedprice AS subtotal,
-                    l.l_linenumber AS ln
+                    l.l_linenumber AS ln, l.l_discount AS rebate
              FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     # transactions: one row per order, with its number of lines
     "t": """SELECT o.o_orderkey AS transaction_id, o.o_custkey AS user_id, o.o_orderdate AS ts,

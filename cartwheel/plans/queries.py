@@ -20,6 +20,11 @@ from cartwheel.sources.catalog import Shop
 # Parameters of the registered range queries (a range filter is the feature).
 SESSION_RANGE = ("2024-01-08", "2024-01-15")
 METRICS_RANGE = ("1996-01-01", "1996-12-31")
+METRICS_DAY = "1996-07-15"
+# Parameters of the registered lookups; the key is one of the user's in the sf0.01 tables.
+LOOKUP_USER = 7
+LOOKUP_KEY = "7_8293423422179"
+LOOKUP_PRODUCT = 7
 
 Query = Callable[[Shop], DataFrame]
 
@@ -36,9 +41,13 @@ def _pc(s: Shop) -> DataFrame:
     return clean.clean_products(s.products)
 
 
-def _norm(s: Shop, default_quantity: int = 0) -> DataFrame:
+def _norm(s: Shop, default_quantity: int = 0, *fields: str) -> DataFrame:
     # document extracts are coerced with defaults before the CLV / chart queries
-    return clean.normalize_transactions(s.transactions, default_quantity)
+    return clean.normalize_transactions(s.transactions, default_quantity, fields or clean.LINE_FIELDS)
+
+
+def _units(s: Shop) -> DataFrame:
+    return products.units_by_product(_norm(s, 0, "product_id", "quantity"))
 
 
 def _c360(s: Shop) -> DataFrame:
@@ -47,18 +56,32 @@ def _c360(s: Shop) -> DataFrame:
 
 
 def _flat(s: Shop) -> DataFrame:
-    return timeline.user_sessions_flat(s.sessions)
+    return timeline.user_sessions_flat(s.sessions) if s.timeline is None else s.timeline
+
+
+def _puts(s: Shop) -> DataFrame:
+    if s.puts is not None:
+        return s.puts
+    # documents of one source: the order they are read in
+    return timeline.user_sessions_flat(s.sessions).withColumn("put_seq", F.monotonically_increasing_id())
 
 
-def _metrics(s: Shop, date_range: tuple[str, str] | None = None) -> DataFrame:
-    return metrics.product_daily_metrics(s.sessions, s.transactions, *(date_range or ()))
+def _metrics(s: Shop, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Daily product metrics from the table stored by date, where there is one."""
+    if s.metrics is None:
+        return metrics.product_daily_metrics(s.sessions, s.transactions, start, end)
+    return s.metrics if start is None else s.metrics.filter(F.col("date").between(
+        F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
+METRICS_COLUMNS = ("row_key", "product_id", "date", *metrics.VIEWS, *metrics.SALES)
 
 
 QUERIES: dict[str, Query] = {
     # Q1-Q4 cleaning
     "clean_transactions": lambda s: _tc(s).select(
         "transaction_id", "user_id", "timestamp", "transaction_date", "total", "status",
-        "payment_method", F.size("items").alias("n_items")),
+        "payment_method", F.size("items.product_id").alias("n_items")),
     "clean_sessions": lambda s: _sc(s).select(
         "session_id", "user_id", "start_time", "end_time", "duration_seconds", "conversion_status",
         F.col("device_profile.type").alias("device_type"),
@@ -92,30 +115,39 @@ QUERIES: dict[str, Query] = {
     "spending_summary": lambda s: customers.spending_summary(customers.customer_spending(_norm(s))),
     "spending_histogram": lambda s: customers.spending_histogram(
         customers.customer_spending(_norm(s))),
-    "units_by_product": lambda s: products.units_by_product(_norm(s)),
-    "top_products_15": lambda s: products.top_products(_norm(s), 15),
-    "best_product": lambda s: products.best_product(_norm(s)),
+    "units_by_product": lambda s: _units(s),
+    "top_products_15": lambda s: _units(s).limit(15),
+    "best_product": lambda s: _units(s).limit(1),
     "conversion_funnel": lambda s: sess.conversion_funnel(s.sessions, _norm(s)),
     "funnel_conversion_rate": lambda s: sess.funnel_conversion_rate(
         sess.conversion_funnel(s.sessions, _norm(s))),
     # Q29-Q37 session timeline
     "session_row_keys": lambda s: timeline.session_row_keys(s.sessions),
     "user_sessions_flat": _flat,
-    "user_sessions_upsert": lambda s: timeline.user_sessions_upsert(_flat(s), "session_info_start_time"),
+    "user_sessions_upsert": lambda s: timeline.user_sessions_upsert(_puts(s), "put_seq"),
     "last_sessions": lambda s: timeline.last_sessions(_flat(s), 5),
     "all_sessions_for_user": lambda s: timeline.all_sessions_for_user(_flat(s)).select(
         "user_id", "row_key", "session_info_session_id", "session_info_start_time"),
     "user_sessions_between": lambda s: timeline.user_sessions_between(s.sessions, *SESSION_RANGE),
-    "session_by_key": lambda s: timeline.session_by_key(
-        _flat(s), _flat(s).agg(F.min("row_key"))),
+    "last_sessions_one_user": lambda s: timeline.last_sessions_for_user(_flat(s), LOOKUP_USER, 5),
+    "all_sessions_one_user": lambda s: timeline.all_sessions_for_user(_flat(s), LOOKUP_USER).select(
+        "user_id", "row_key", "session_info_session_id", "session_info_start_time"),
+    "session_by_key": lambda s: timeline.session_by_key(_flat(s), LOOKUP_KEY),
     "user_session_behavior": lambda s: timeline.user_session_behavior(_flat(s), 10),
     "converted_sessions_for_user": lambda s: timeline.converted_sessions_for_user(_flat(s)),
+    "converted_sessions_one_user": lambda s: timeline.converted_sessions_for_user(_flat(s), LOOKUP_USER),
     # Q38-Q41 daily product metrics
-    "product_daily_metrics": _metrics,
+    "product_daily_metrics": lambda s: _metrics(s).select(*METRICS_COLUMNS),
     "product_metrics_range": lambda s: metrics.product_metrics_range(
-        _metrics(s, METRICS_RANGE), *METRICS_RANGE, families=("sales",)),
+        _metrics(s, *METRICS_RANGE), *METRICS_RANGE, families=("sales",)),
+    "product_metrics_one_product": lambda s: metrics.product_metrics_range(
+        _metrics(s, *METRICS_RANGE), *METRICS_RANGE, product_id=LOOKUP_PRODUCT),
+    "product_metrics_one_day": lambda s: metrics.product_metrics_range(
+        _metrics(s, METRICS_DAY, METRICS_DAY), METRICS_DAY, METRICS_DAY),
     "product_revenue_in_range": lambda s: metrics.product_revenue_in_range(
-        _metrics(s, METRICS_RANGE), *METRICS_RANGE),
+        _metrics(s, *METRICS_RANGE), *METRICS_RANGE),
+    "product_current_price": lambda s: products.product_current_price(
+        s.products if s.prices is None else s.prices),
     "product_daily_stock": lambda s: metrics.product_daily_stock(s.products, s.transactions),
     # Q43-Q46 derived fields
     "order_totals": lambda s: sales.order_totals(s.transactions),

@@ -58,7 +58,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         conf.update({
             "spark.sql.shuffle.partitions": str(shuffle_partitions),
             "spark.ui.enabled": "false",
-            "spark.driver.memory": "16g",
+            "spark.driver.memory": os.environ.get("CARTWHEEL_DRIVER_MEMORY", "8g"),
             # bucketed landing registers tables; keep the catalog folder out of the cwd
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="cartwheel-wh-")})
     conf.update(extra or {})
@@ -70,40 +70,21 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for written tables and checkpoints.
+    """Shared folder for written tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when it is unset (local
-    tests) a fresh scratch folder is created and registered.
-    """
+    The session's ``spark.checkpoint.dir``. Where it is unset, a local master
+    gets a fresh scratch folder; a cluster must name one, since a folder of
+    each machine's own would not be read back by the others."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="cartwheel-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # a static setting on some deployments; the context dir suffices
-            pass
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 
-def materialize(df):
-    """Compute ``df`` once and cut its lineage: a reliable checkpoint written
-    to the shared checkpoint folder (survives executor loss, unlike a
-    local checkpoint or a cache)."""
-    try:
-        checkpoint_dir(df.sparkSession)
-    except Exception:  # sessions without a SparkContext handle (Spark Connect)
-        pass
-    try:
-        return df.checkpoint(eager=True)
-    except Exception:
-        # no usable checkpoint folder in this session: keep the lineage (the
-        # result is the same, the input is just recomputed by later passes)
-        return df
-
-
 def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 * 1024,
                  cores: int | None = None) -> dict[str, str]:
     """Shuffle sizing for a cluster run: start from about one shuffle

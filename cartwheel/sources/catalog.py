@@ -16,6 +16,13 @@ class Shop:
     categories: DataFrame
     transactions: DataFrame
     sessions: DataFrame
+    #: products with their price history, where products carry none
+    prices: DataFrame | None = None
+    #: session states in the order they were put: row_key, user_id, put_seq, ...
+    puts: DataFrame | None = None
+    #: stored forms, written by land_derived: the flat timeline by key, daily metrics by date
+    timeline: DataFrame | None = None
+    metrics: DataFrame | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Shop":
@@ -24,7 +31,8 @@ class Shop:
         return cls(users=td.users(spark, sf_dir), products=td.products(spark, sf_dir),
                    categories=td.categories(spark, sf_dir),
                    transactions=td.transactions(spark, sf_dir),
-                   sessions=td.sessions(spark, sf_dir))
+                   sessions=td.sessions(spark, sf_dir),
+                   prices=td.product_prices(spark, sf_dir), puts=td.session_puts(spark, sf_dir))
 
     @classmethod
     def from_json(cls, spark: SparkSession, json_dir: str) -> "Shop":
@@ -38,7 +46,8 @@ class Shop:
         """Datasets written by :meth:`land`: by path, or through the bucketed
         table names it registered (which carry the bucketing to the planner)."""
         from cartwheel.sources import landing
-        return cls(**{name: landing.read(spark, path, name, tables) for name in DATASETS})
+        return cls(**{name: landing.read(spark, path, name, tables) for name in DATASETS},
+                   **{name: landing.read_if_there(spark, path, name) for name in landing.DERIVED})
 
     def land(self, path: str, mode: str = "overwrite", bucketed: bool = False) -> "Shop":
         """Write all five datasets as Parquet and return a Shop reading them
@@ -49,6 +58,13 @@ class Shop:
         tables = landing.write_all(self, path, mode=mode, bucketed=bucketed)
         return Shop.from_landed(spark, path, tables)
 
+    def land_derived(self, path: str, mode: str = "overwrite") -> "Shop":
+        """Store the flat timeline sorted by row key and the daily product metrics
+        partitioned by date beside the landed datasets, and read all back."""
+        from cartwheel.sources import landing
+        landing.write_derived(self, path, mode)
+        return Shop.from_landed(self.users.sparkSession, path)
+
     def cleaned(self) -> "Shop":
         """The same shop with transactions, sessions and products cleaned (Q1-Q3)."""
         from cartwheel.operators import clean

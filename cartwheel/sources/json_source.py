@@ -11,9 +11,6 @@ Parquet (see ``landing``).
 
 from __future__ import annotations
 
-import glob
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel import schemas
@@ -27,22 +24,25 @@ FILE_PATTERNS = {
 }
 
 
-def existing_paths(json_dir: str, pattern: str) -> list[str]:
-    """Sorted matching files; a missing dataset is skipped (empty list), not an error."""
-    if "://" in json_dir:          # remote filesystems: let Spark resolve the glob
-        return [f"{json_dir.rstrip('/')}/{pattern}"]
-    return sorted(glob.glob(os.path.join(json_dir, pattern)))
+def existing_paths(spark: SparkSession, json_dir: str, pattern: str) -> list[str]:
+    """Sorted matching files, on any file system Spark can read; a missing
+    dataset is skipped (empty list), not an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{json_dir.rstrip('/')}/{pattern}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found) if found else []
 
 
 def read_json(spark: SparkSession, paths: list[str] | str, schema, partitions: int | None = None,
-              multiline: bool = True) -> DataFrame:
+              multiline: bool = True, mode: str = "FAILFAST") -> DataFrame:
     """``multiline=True`` (for files holding one JSON array) parses each file
     as a stream of array elements instead of reading it as one giant line;
-    use ``multiline=False`` for JSON-lines files, which split across tasks."""
+    use ``multiline=False`` for JSON-lines files, which split across tasks.
+    A broken file or a value that does not fit the schema is an error;
+    ``mode="PERMISSIVE"`` reads what it can and nulls the rest."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     if not paths:
         return spark.createDataFrame([], schema)
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("mode", mode)
     if multiline:
         reader = reader.option("multiLine", "true")
     df = reader.json(paths)
@@ -52,19 +52,12 @@ def read_json(spark: SparkSession, paths: list[str] | str, schema, partitions: i
 
 
 def read_dataset(spark: SparkSession, json_dir: str, name: str,
-                 partitions: int | None = None, sample_limit: int | None = None) -> DataFrame:
-    """One dataset with its explicit schema. ``sample_limit`` takes an
-    arbitrary n documents (a sampling extract, like a capped export); by
-    default everything is read."""
-    paths = existing_paths(json_dir, FILE_PATTERNS[name])
+                 partitions: int | None = None, mode: str = "FAILFAST") -> DataFrame:
+    """One dataset with its explicit schema. An array file is read by one
+    task, so the rows are dealt out once after the scan."""
     if partitions is None:
-        # a few big unsplittable files would leave most cores idle downstream:
-        # spread their rows once; many files already give many read tasks
-        target = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        local_glob = "://" not in json_dir
-        partitions = target if (local_glob and 0 < len(paths) < target) else None
-    df = read_json(spark, paths, schemas.BY_NAME[name], partitions)
-    return df.limit(sample_limit) if sample_limit else df
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return read_json(spark, existing_paths(spark, json_dir, FILE_PATTERNS[name]), schemas.BY_NAME[name], partitions, mode=mode)
 
 
 def write_json(df: DataFrame, path: str, max_records_per_file: int = 100_000,

@@ -30,6 +30,7 @@ USER_KEYED = {"users": ["user_id"], "transactions": ["user_id", "timestamp"],
               "sessions": ["user_id", "start_time"]}
 # cap file size on large landings (rows); small datasets are unaffected
 MAX_RECORDS_PER_FILE = 5_000_000
+DERIVED = ("prices", "puts", "timeline", "metrics")
 
 
 def _buckets(spark: SparkSession) -> int:
@@ -50,8 +51,9 @@ def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = False,
     n = buckets or _buckets(spark)
     tables: dict[str, str] = {}
     prefix = table_prefix(base)
-    for name in ("products", "categories"):
-        getattr(shop, name).write.mode(mode).parquet(f"{base}/{name}")
+    for name in ("products", "categories", "prices", "puts"):
+        if getattr(shop, name) is not None:
+            getattr(shop, name).write.mode(mode).parquet(f"{base}/{name}")
     for name, sort_cols in USER_KEYED.items():
         df = getattr(shop, name)
         if bucketed:
@@ -70,6 +72,23 @@ def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = False,
     return tables
 
 
+def write_derived(shop, path: str, mode: str = "overwrite") -> None:
+    """The flat session timeline by key, and the daily product metrics by date."""
+    from cartwheel.operators import metrics, timeline
+    base = path.rstrip("/")
+    timeline.write_timeline(timeline.user_sessions_flat(shop.sessions), f"{base}/timeline", mode)
+    daily = metrics.product_daily_metrics(shop.sessions, shop.transactions)
+    # a date's rows together (split if one date is huge), so a date is few files
+    daily.hint("rebalance", "date").sortWithinPartitions("date", "product_id").write.mode(mode).partitionBy(
+        "date").parquet(f"{base}/metrics")
+
+
+def read_if_there(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+    there = folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+    return spark.read.parquet(folder.toString()) if there else None
+
+
 def read(spark: SparkSession, path: str, name: str, tables: dict[str, str] | None = None) -> DataFrame:
     if tables and name in tables:
         return spark.table(tables[name])

@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwheel.functions.columns import money_sum, whole_seconds
+from cartwheel.functions.columns import money, money_sum, whole_seconds
+from cartwheel.operators.timeline import row_key
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -52,12 +53,25 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"),
         F.col("p_brand").alias("category_id"),
         F.col("p_retailprice").alias("base_price"),
-        F.lit(None).cast("int").alias("current_stock"),
+        F.col("p_size").cast("int").alias("current_stock"),
         F.lit(None).cast("boolean").alias("is_active"),
         F.lit(None).cast("array<struct<price:double,date:timestamp_ntz>>").alias("price_history"),
         F.lit(None).cast("timestamp_ntz").alias("creation_date"))
 
 
+def product_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with a price history: the lowest unit price of each month in which
+    the part was ordered (a history grows with the months, not with the orders)."""
+    o = read_table(spark, sf_dir, "orders")
+    li = read_table(spark, sf_dir, "lineitem")
+    monthly = (li.join(o, li.l_orderkey == o.o_orderkey)
+               .select(F.col("l_partkey").alias("product_id"), F.trunc("o_orderdate", "month").cast("timestamp_ntz").alias("date"),
+                       F.try_divide("l_extendedprice", "l_quantity").alias("price"))
+               .groupBy("product_id", "date").agg(F.min("price").alias("price")))
+    history = monthly.groupBy("product_id").agg(F.collect_list(F.struct("price", "date")).alias("price_history"))
+    return products(spark, sf_dir).drop("price_history").join(history, "product_id", "left")
+
+
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
     return (p.select(F.col("p_brand").alias("category_id")).distinct()
@@ -81,20 +95,27 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("l_quantity").cast("int").alias("quantity"),
                       F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"),
                       F.col("l_extendedprice").alias("subtotal")))).alias("lines"),
-                  money_sum("l_extendedprice").alias("items_subtotal")))
+                  money_sum("l_extendedprice").alias("items_subtotal"),
+                  money_sum(money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).alias("line_discounts")))
+    # even orders: what was taken off up to the stored total; odd ones: the lines' own discounts
+    taken_off = (money("items_subtotal") - money("o_totalprice")).cast("double")
+    discount = F.when(F.col("o_orderkey") % 2 == 0, taken_off).otherwise(F.col("line_discounts"))
+    # a session of the customer in January 2024, which may exist or not; every fifth order has none
+    session_day = F.lpad((F.col("o_orderkey") % 31 + 1).cast("string"), 2, "0")
+    session_id = F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.col("o_custkey").cast("string"), F.lit("_202401"), session_day))
     items = F.transform("lines", lambda x: F.struct(
         x.product_id.alias("product_id"), x.quantity.alias("quantity"),
         x.unit_price.alias("unit_price"), x.subtotal.alias("subtotal")))
     return (o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
             .select(F.col("o_orderkey").alias("transaction_id"),
-                    F.lit(None).cast("string").alias("session_id"),
+                    session_id.alias("session_id"),
                     F.col("o_custkey").alias("user_id"),
                     F.col("o_orderdate").alias("timestamp"),
                     F.coalesce(items, F.array_compact(F.array(F.lit(None).cast(
                         "struct<product_id:bigint,quantity:int,unit_price:double,subtotal:double>"
                     )))).alias("items"),
                     F.coalesce(F.col("items_subtotal"), F.lit(0.0)).alias("subtotal"),
-                    F.lit(0.0).alias("discount"),
+                    F.coalesce(discount, F.lit(0.0)).alias("discount"),
                     F.col("o_totalprice").alias("total"),
                     F.col("o_orderpriority").alias("payment_method"),
                     F.col("o_orderstatus").alias("status")))
@@ -112,26 +133,43 @@ def session_id_col(user_id="user_id", day="session_date"):
     return F.concat_ws("_", F.col(user_id).cast("string"), F.date_format(F.col(day), "yyyyMMdd"))
 
 
+def session_puts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a put of its session's state under the key of (user, day), in the order of event_id."""
+    ev = event_rows(spark, sf_dir)
+    day = F.col("session_date").cast("timestamp_ntz")
+    return ev.select(row_key(F.col("user_id"), day).alias("row_key"), "user_id", F.col("event_id").alias("put_seq"),
+                     F.col("ts").alias("last_event_time"), F.col("event_type").alias("last_event_type"),
+                     F.col("k").alias("last_product_id"))
+
+
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pv = event_rows(spark, sf_dir)
+    # the price a clicked product is put into the cart at joins the event itself, so
+    # the events are read once and a session's whole state is one collected array
+    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
+    ev = event_rows(spark, sf_dir)
+    click = F.when(F.col("event_type") == "click", F.col("k"))
+    pv = ev.withColumn("clicked", click).join(part, F.col("clicked") == F.col("p_partkey"), "left")
     key = ["user_id", "session_date"]
     view_pid = F.when(F.col("event_type") == "view", F.col("k"))
     body = pv.groupBy(*key).agg(
         F.min("ts").alias("start_time"),
         F.max("ts").alias("end_time"),
         F.array_sort(F.collect_list(F.struct(
-            F.col("ts"), F.col("event_id"), F.col("event_type"), view_pid.alias("pid")))).alias("pv"),
+            F.col("ts"), F.col("event_id"), F.col("event_type"), view_pid.alias("pid"),
+            F.col("clicked"), F.col("p_retailprice").alias("price")))).alias("pv"),
         F.bool_or(F.col("event_type") == "purchase").alias("has_purchase"),
         F.bool_or(F.col("event_type") == "click").alias("has_click"))
-
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    clicks = (pv.filter((F.col("event_type") == "click") & F.col("k").isNotNull())
-              .groupBy(*key, "k").agg(F.count(F.lit(1)).cast("int").alias("quantity")))
-    cart = (clicks.join(part, clicks.k == part.p_partkey, "left")
-            .groupBy(*key)
-            .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(
-                F.col("k"), F.struct(F.col("quantity"), F.col("p_retailprice").alias("price"))))))
-                 .alias("cart_contents")))
+    # clicks sorted by product: a run of one product is a cart line
+    clicks = F.array_sort(F.transform(F.filter("pv", lambda x: x.clicked.isNotNull()),
+                                      lambda x: F.struct(x.clicked.alias("k"), x.price.alias("price"))))
+    first = F.filter(F.transform("clicks", lambda x, i: F.struct(
+        x.k.alias("k"), x.price.alias("price"), i.alias("i"),
+        ((i == 0) | (F.get("clicks", i - 1).k != x.k)).alias("opens"))), lambda x: x.opens)
+    lines = F.transform("firsts", lambda x, j: F.struct(x.k.alias("k"), F.struct(
+        (F.coalesce(F.get("firsts", j + 1).i, F.size("clicks")) - x.i).cast("int").alias("quantity"),
+        x.price.alias("price"))))
+    body = (body.withColumn("clicks", clicks).withColumn("firsts", first)
+            .withColumn("cart_contents", F.when(F.size("clicks") > 0, F.map_from_entries(lines))))
 
     u = users(spark, sf_dir).select("user_id", "geo_data")
     device = (F.when(F.pmod("user_id", F.lit(3)) == 0, F.lit(DEVICE_BY_MOD3[0]))
@@ -144,7 +182,7 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("category_id"),
         F.coalesce(whole_seconds(x.ts, F.try_element_at(F.col("pv"), i + 2).ts), F.lit(0))
          .alias("view_duration")))
-    return (body.join(cart, key, "left").join(u, "user_id", "left")
+    return (body.join(u, "user_id", "left")
             .select(session_id_col().alias("session_id"),
                     "user_id", "start_time", "end_time",
                     whole_seconds("start_time", "end_time").alias("duration_seconds"),

@@ -17,11 +17,11 @@ basket_lists = st.lists(st.lists(st.one_of(st.none(), st.integers(0, 6)), max_si
 
 
 @SETTINGS
-@given(rows=basket_lists, big=st.integers(0, 6), salts=st.integers(1, 4))
-def test_pair_counts_equal_brute_force(spark, rows, big, salts):
+@given(rows=basket_lists, chunk=st.integers(1, 6))
+def test_pair_counts_equal_brute_force(spark, rows, chunk):
     df = spark.createDataFrame([(i, ids) for i, ids in enumerate(rows)], "bid int, ids array<int>")
     got = {(r.product_a, r.product_b): r.n for r in baskets.basket_pair_counts(
-        df, "bid", "ids", "n", big_basket=big, salt_buckets=salts).collect()}
+        df, "bid", "ids", "n", chunk_lines=chunk).collect()}
     want: dict = {}
     for ids in rows:
         for x in ids:

@@ -72,7 +72,7 @@ def test_exact_median_matches_numpy(spark):
         vals = np.round(rng.gamma(2.0, 50.0, n), 2)
         vals[: n // 3] = vals[0]                      # a hot value holding a third of the rows
         df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-        got = customers.exact_median(df, "v", accuracy=100)
+        got = customers.exact_median(df, "v").first().median
         assert abs(got - float(np.median(vals))) < 1e-9, n
 
 
@@ -96,15 +96,22 @@ def test_stored_output_property_of_compatible_form(shop):
         assert abs(ratio - r.total_purchases * max(1, r.total_sessions)) < 1e-6
 
 
-@pytest.mark.parametrize("n,hot", [(2001, True), (3000, False), (4, False)])
-def test_exact_median_narrowing_rounds(spark, n, hot):
-    rng = np.random.default_rng(n)
-    vals = np.round(rng.gamma(2.0, 50.0, n), 2)
-    if hot:
-        vals[: n // 3] = vals[n // 2]
-    df = spark.createDataFrame([(float(v),) for v in vals], "v double")
-    got = customers.exact_median(df, "v", accuracy=50, small=8)   # forces several rounds
-    assert abs(got - float(np.median(vals))) < 1e-9
+@pytest.mark.parametrize("vals,places", [
+    ([0.001, 0.002, 0.004], 3), ([-5.25, -1.0, 3.0, 1e9], 2), ([7.0], 2), ([], 2), ([None, 2.0], 2), ([1.01] * 9 + [5.0] * 9, 2)])
+def test_exact_median_of_any_values(spark, vals, places):
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    some = [v for v in vals if v is not None]
+    assert customers.exact_median(df, "v", places).first().median == (float(np.median(some)) if some else None)
+
+
+def test_median_and_histogram_run_no_job_when_built(spark, shop):
+    spark.sparkContext.setJobGroup("build", "build")
+    cs = customers.customer_spending(shop.transactions)
+    customers.spending_summary(cs)
+    customers.spending_histogram(cs)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
 
 
 def test_single_user_lookups_agree_with_all_user_forms(shop):

@@ -7,8 +7,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from cartwheel.operators import baskets, clean, clv, customers, products, sales, timeline
+from cartwheel.operators import baskets, clean, clv, customers, metrics, products, sales, timeline
 from cartwheel.operators import sessions as sess
+from cartwheel.session import checkpoint_dir
 from cartwheel.sources.catalog import Shop
 from conftest import write_json_array
 
@@ -121,23 +122,54 @@ def test_pairs_bag_semantics(shop):
     assert [(r.product_a, r.product_b, r.bought_together_count) for r in rows] == [("p1", "p2", 3)]
 
 
-@pytest.mark.parametrize("big", [0, 1, 256])
-def test_salted_and_in_row_pairs_agree(spark, big):
-    rows = [("b1", ["a", "b", "a", "c", None]), ("b2", ["c", "b"]), ("b3", ["x"]),
-            ("b4", []), ("b5", None), ("b6", ["a", "a", "a", "b", "b"])]
+@pytest.mark.parametrize("chunk", [1, 2, 64])
+def test_pairs_equal_the_literal_self_join(spark, chunk):
+    # a repeated basket id is one basket, a missing one joins nothing
+    rows = [("b1", ["a", "b", "a", "c", None]), ("b2", ["c", "b"]), ("b3", ["x"]), ("b4", []), ("b5", None),
+            ("b6", ["a", "a", "a", "b", "b"]), ("b2", ["c", "b"]), ("b1", ["d"]), (None, ["a", "b"]), (None, ["a", "b"])]
     df = spark.createDataFrame(rows, "bid string, ids array<string>")
     got = {(r.product_a, r.product_b): r.n for r in
-           baskets.basket_pair_counts(df, "bid", "ids", "n", big_basket=big, salt_buckets=3).collect()}
-    # brute force: all ordered position pairs with a < b
-    want = {}
-    for _, ids in rows:
-        for x in ids or []:
-            for y in ids or []:
-                if x is not None and y is not None and x < y:
-                    want[(x, y)] = want.get((x, y), 0) + 1
+           baskets.basket_pair_counts(df, "bid", "ids", "n", chunk_lines=chunk).collect()}
+    lines = df.select("bid", F.explode("ids").alias("p"))
+    want = {(r.x, r.y): r.n for r in lines.withColumnRenamed("p", "x").join(lines.withColumnRenamed("p", "y"), "bid")
+            .filter("x < y").groupBy("x", "y").agg(F.count("*").alias("n")).collect()}
     assert got == want
 
 
+def test_pairs_read_the_baskets_once(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("bid"), F.array(F.col("id"), F.col("id") + 1).alias("ids"))
+    df.write.mode("overwrite").parquet(path := f"{checkpoint_dir(spark)}/pairs")
+    out = baskets.basket_pair_counts(spark.read.parquet(path), "bid", "ids", "n")
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("FileScan parquet") == 1
+
+
+def test_transactions_are_counted_distinct(spark):
+    tx = spark.createDataFrame(
+        [("t1", [("p", 1, 2.0, 2.0), ("p", 1, 2.0, 2.0)]), ("t1", [("p", 3, 2.0, 6.0)]), (None, [("p", 1, 2.0, 2.0)])],
+        "transaction_id string, items array<struct<product_id:string,quantity:int,unit_price:double,subtotal:double>>")
+    r = products.product_sales(tx).first()
+    assert (r.num_transactions, r.total_quantity_sold, r.total_revenue) == (1, 6, 12.0)
+    d = metrics.daily_sales(tx.withColumn("timestamp", F.lit("2026-01-01T10:00:00"))).first()
+    assert (d.units_sold, d.num_transactions) == (6, 1)
+
+
+def test_range_metrics_equal_the_full_ones_filtered(spark):
+    views = "array<struct<timestamp:timestamp_ntz,product_id:string,view_duration:int>>"
+    ss = spark.createDataFrame(
+        [("s1", "u1", "2026-01-01 10:00:00", None, [("2026-01-02 10:00:00", "p", 5)]),
+         ("s2", "u1", "2026-01-05 10:00:00", "2026-01-05 11:00:00", [("2026-01-02 09:00:00", "p", 7), ("2026-01-05 10:30:00", "p", 1)]),
+         ("s2", "u2", None, "2026-01-01 00:00:00", [("2026-01-02 23:59:59", "p", None)])],
+        "session_id string, user_id string, start_time string, end_time string, page_views array<struct<timestamp:string,product_id:string,view_duration:int>>",
+    ).withColumn("page_views", F.col("page_views").cast(views))
+    tx = spark.createDataFrame([], "transaction_id string, timestamp string, items array<struct<product_id:string,quantity:int,unit_price:double,subtotal:double>>")
+    full = metrics.product_daily_metrics(ss, tx).filter("date = DATE '2026-01-02'").collect()
+    part = metrics.product_daily_metrics(ss, tx, "2026-01-02", "2026-01-02").collect()
+    assert full == part and len(part) == 1
+    assert (part[0].view_count, part[0].unique_users, part[0].sessions_with_view, part[0].avg_view_duration) == (3, 2, 2, 6.0)
+
+
 def test_conversion_rate_null_for_viewed_never_sold(shop):
     r = {x.product_id: x for x in products.product_performance(
         clean.clean_transactions(shop.transactions), clean.clean_sessions(shop.sessions),
@@ -228,11 +260,16 @@ def test_row_key_reverse_timestamp(shop):
 
 def test_upsert_last_write_wins(shop):
     flat = timeline.user_sessions_flat(shop.sessions)
-    up = timeline.user_sessions_upsert(flat, "session_info_session_id").filter(F.col("user_id") == "u5")
-    rows = up.collect()
+    up = timeline.user_sessions_upsert(flat.withColumn("seq", F.col("session_info_session_id")), "seq")
+    rows = up.filter(F.col("user_id") == "u5").collect()
     assert len(rows) == 1 and rows[0].session_info_session_id == "s7"
 
 
+def test_upsert_follows_the_ingest_order_not_the_values(spark):
+    puts = spark.createDataFrame([("k", "zzz_first", 1), ("k", "aaa_second", 2), ("j", "x", 3)], "row_key string, v string, seq int")
+    assert {r.row_key: r.v for r in timeline.user_sessions_upsert(puts, "seq").collect()} == {"k": "aaa_second", "j": "x"}
+
+
 def test_flat_missing_cart_is_empty_json(shop):
     r = {x.session_info_session_id: x for x in timeline.user_sessions_flat(shop.sessions).collect()}
     assert r["s1"].behavior_cart_contents == "{}"
@@ -276,7 +313,6 @@ def test_daily_stock_from_final_stock(spark):
     tx = spark.createDataFrame(
         [("2026-01-01T10:00:00", [("p1", 2, 1.0, 2.0)]), ("2026-01-03T10:00:00", [("p1", 3, 1.0, 3.0)])],
         "timestamp string, items array<struct<product_id:string,quantity:int,unit_price:double,subtotal:double>>")
-    from cartwheel.operators import metrics
     got = {str(r.date): (r.stock_start, r.stock_end) for r in metrics.product_daily_stock(prods, tx).collect()}
     assert got == {"2026-01-03": (13, 10), "2026-01-01": (15, 13)}
 
