@@ -58,7 +58,7 @@ TOKEN = re.compile(r"\w+|\+")
 BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*", re.I)
 BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*", re.I)
 BARE = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\s+at\s+)[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z]{2,}(?![A-Za-z0-9])", re.I)
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\s+at\s+)(?!(?:the|an?|this|that|my|our|your|its)\s)[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z]{2,}(?![A-Za-z0-9])", re.I)
 HALF_BARE = re.compile(r"@[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z]{2,}(?![A-Za-z0-9])", re.I)
 BARE_DOT = re.compile(r"\s+dot\s+", re.I)
 DIGIT_DOT = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
