@@ -1,0 +1,76 @@
+import hashlib
+import random
+
+from llm_helpers import prose
+from pyspark.sql import functions as F
+
+from cartwheel.llm import fingerprint as fp
+
+
+def simhash(spark, t):
+    """Bit by bit, from Spark's hash of each shingle."""
+    ws = [w for w in (t or "").lower().split() if w]
+    if not ws:
+        return 0
+    runs = [ws[k:k + 5] for k in range(max(len(ws) - 4, 1))]
+    df = spark.createDataFrame([(r,) for r in runs], "s array<string>").select(F.xxhash64("s").alias("a"))
+    votes = [0] * 128
+    for r in df.withColumn("b", F.xxhash64("a")).collect():
+        word = ((r.a % (1 << 64)) << 64) | (r.b % (1 << 64))
+        for k in range(128):
+            votes[k] += 1 if word >> k & 1 else -1
+    return sum(1 << k for k, v in enumerate(votes) if v > 0)
+
+
+def test_edge_cases(spark, edge, rows):
+    got = fp.fingerprint_report(edge).collect()
+    assert len(got) == len(rows)
+    # descending (doc_id, row hash), missing ids last; repeated rows are one document
+    keys = {(r.doc_id, r.text): (r.k, r.h) for r in fp.documents(edge).collect()}
+    docs = sorted(keys, key=lambda d: ((d[0] is not None, d[0] or 0), keys[d][1]), reverse=True)
+    after = {d: docs[(n + 1) % len(docs)] for n, d in enumerate(docs)}
+    prints, want = {}, []
+    for i, t in rows:
+        t0, nxt = t or "", after[i, t][1] or ""
+        third = len(t0) // 3
+        edited = t0[:len(t0) - third] + nxt[:third]
+        for x in (t0, edited, nxt):
+            if len(x) < 5000:
+                prints.setdefault(x, simhash(spark, x))
+        likeness = lambda a, b: None if a not in prints or b not in prints else 1 - bin(prints[a] ^ prints[b]).count("1") / 128
+        want.append((i, len(t0), hashlib.sha256(edited.encode()).hexdigest(), t0, edited, likeness(t0, edited), likeness(t0, nxt)))
+    have = sorted(got, key=lambda r: repr((r.doc_id, r.n_chars, r.edited_sha256)))
+    for w, r in zip(sorted(want, key=lambda w: repr(w[:3])), have, strict=True):
+        assert w[:3] == (r.doc_id, r.n_chars, r.edited_sha256)
+        if w[5] is not None:
+            assert (f"{prints[w[3]]:032x}", f"{prints[w[4]]:032x}") == (r.fingerprint, r.edited_fingerprint)
+            assert (r.near_edited, r.near_next) == (w[5], w[6])
+    for r in got:
+        assert (r.n_near is None) == (r.doc_id is None or r.doc_id % 100 != 0)
+        if r.n_near is not None:
+            assert r.n_near == sum(bin(int(r.fingerprint, 16) ^ int(q.fingerprint, 16)).count("1") <= fp.RADIUS for q in got) - 1
+
+
+def test_block_tables_find_all_within_the_radius(spark):
+    rng = random.Random(4)
+    base = [rng.getrandbits(128) for _ in range(30)]
+    points = set(base)
+    for b in base:
+        for flips in range(1, 10):
+            points.add(b ^ sum(1 << k for k in rng.sample(range(128), flips)))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    df = spark.createDataFrame([(signed(x >> 64), signed(x & (1 << 64) - 1)) for x in points], "hi bigint, lo bigint")
+    found = fp.within_radius(df, df).collect()
+    got = {(r.q_hi % (1 << 64) << 64 | r.q_lo % (1 << 64), r.hi % (1 << 64) << 64 | r.lo % (1 << 64)) for r in found}
+    assert got == {(a, b) for a in points for b in points if bin(a ^ b).count("1") <= fp.RADIUS}
+
+
+def test_edits_are_nearer_than_the_next_document(spark):
+    rng = random.Random(6)
+    rows = [(i, prose(rng, 200)) for i in range(60)]
+    got = fp.fingerprint_report(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sum(r.near_edited > r.near_next for r in got) >= 59
+
+
+def test_empty_table(empty):
+    assert fp.fingerprint_report(empty).count() == 0
