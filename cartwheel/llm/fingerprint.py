@@ -44,7 +44,7 @@ def fingerprints(texts: DataFrame, keys: list[str]) -> DataFrame:
     terms = (
         texts.select(*keys, ws.alias("ws"))
         .select(*keys, F.explode_outer(F.transform(starts, lambda i: F.xxhash64(F.slice("ws", i, SHINGLE_WORDS)))).alias("a"))
-        .withColumn("b", F.xxhash64("a")))
+        .withColumn("b", F.when(F.col("a").isNotNull(), F.xxhash64("a"))))
     pair = F.lit((1 << 32) | 1)
     sums = [F.sum(F.shiftrightunsigned(c, i).bitwiseAND(pair)).alias(f"{c}{i}") for c in "ab" for i in range(32)]
     votes = terms.groupBy(*keys).agg(F.count("a").alias("n"), *sums)
