@@ -1,10 +1,15 @@
 """Small inputs with every awkward case; the brute-force forms are in the test modules."""
 
+import os
 import random
+import sys
 
 import pytest
-from llm_helpers import SF, prose
-from pyspark.sql import types as T
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_helpers import SF, prose  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 DOCUMENTS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
