@@ -8,6 +8,11 @@ sums are exact decimals, as in batch.
 
 Sources are file streams (new Parquet/JSON files landing in a folder); the
 returned DataFrames are streaming and are started with :func:`start`.
+
+Two things differ from batch by the nature of a watermark: rows that arrive
+later than it allows are dropped, and in append mode a day comes out only when
+later data has moved the watermark past its end. Choose the watermark for the
+lateness the source can have, and correct older days by the batch job.
 """
 
 from __future__ import annotations

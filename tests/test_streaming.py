@@ -28,23 +28,31 @@ def test_daily_sales_stream_matches_batch(spark, scratch):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_append_mode_emits_only_finished_days(spark, scratch):
-    landed = Shop.from_landed(spark, os.path.join(scratch, "stream_src")) \
-        if os.path.exists(os.path.join(scratch, "stream_src")) \
-        else Shop.from_testdata(spark, SF).land(os.path.join(scratch, "stream_src"))
-    src = os.path.join(scratch, "stream_src", "sessions")
-    stream = daily.read_stream(spark, src, landed.sessions.schema)
-    out, ck = os.path.join(scratch, "views_out"), os.path.join(scratch, "views_ck")
-    q = daily.start(daily.daily_product_views_stream(stream), out, ck, available_now=True)
-    q.awaitTermination(120)
-    got = spark.read.parquet(out)
-    # every emitted (product, day) is final: it equals the batch count
+def test_append_mode_equals_batch_once_later_data_closes_the_days(spark, scratch):
     from pyspark.sql import functions as F
+    landed = Shop.from_testdata(spark, SF).land(os.path.join(scratch, "stream_closing"))
+    src = os.path.join(scratch, "stream_closing", "sessions")
+    out, ck = os.path.join(scratch, "views_out"), os.path.join(scratch, "views_ck")
+
+    def run():
+        stream = daily.read_stream(spark, src, landed.sessions.schema)
+        daily.start(daily.daily_product_views_stream(stream), out, ck, available_now=True).awaitTermination(120)
+        return spark.read.schema("product_id bigint, date date, view_count bigint").parquet(out)
+
     batch = (landed.sessions.select(F.inline("page_views")).filter(F.col("product_id").isNotNull())
              .groupBy("product_id", F.to_date("timestamp").alias("date"))
              .agg(F.count(F.lit(1)).alias("view_count")))
-    assert got.count() > 0
-    assert got.exceptAll(batch).count() == 0
+    want = sorted(map(tuple, batch.collect()))
+    # every emitted (product, day) is final
+    assert set(map(tuple, run().collect())) <= set(want)
+    # a later session moves the watermark on: all earlier days come out; a row behind it is dropped
+    first = landed.sessions.filter("size(viewed_products) > 0").limit(1)
+    for days in (400, 800, -400):
+        later = first.withColumn("page_views", F.transform("page_views", lambda v: v.withField(
+            "timestamp", v["timestamp"] + F.make_dt_interval(F.lit(days)))))
+        later.write.mode("append").parquet(src)
+        got = run()
+    assert sorted(t for t in map(tuple, got.collect()) if t[1].year == 2024) == want
 
 
 def test_daily_product_sales_stream_matches_batch(spark, scratch):
