@@ -38,6 +38,18 @@ def _keys() -> dict[str, Column]:
     return {"k": F.coalesce("doc_id", F.lit(0)), "h": F.xxhash64("doc_id", "text")}
 
 
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with (k, no_id) in place of doc_id: pandas holds whole numbers
+    exactly only where none is null."""
+    return rows.withColumns({"k": F.coalesce("doc_id", F.lit(0)), "no_id": F.col("doc_id").isNull()}).drop("doc_id")
+
+
+def renumbered(rows: DataFrame) -> DataFrame:
+    """The reverse of ``numbered``."""
+    own = F.when(~F.col("no_id"), F.col("k")).alias("doc_id")
+    return rows.select(own, *[c for c in rows.columns if c not in ("k", "no_id")])
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """(doc_id, text, k, h): rows equal in doc_id and text share the key (k, h), which is
     never null, and are one document; rows that only share a doc_id, or have none, stay apart."""

@@ -23,10 +23,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import by_position, table, take
 
@@ -92,25 +93,24 @@ def classify(text: str | None, compressors: dict[str, zstandard.ZstdCompressor])
     return lang, 1.0 / total, (sizes[1][0] - best) / sizes[1][0]
 
 
-def _classified(rows: DataFrame, text: str, contents: dict[str, bytes], schema: str) -> DataFrame:
-    """``rows`` with lang_pred, score and margin in place of column ``text``, or beside it."""
-    keep = [c for c in rows.columns if f"`{c}` " in f"{schema} "]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _classified(rows: DataFrame, text: str, contents: dict[str, bytes]) -> DataFrame:
+    """``rows`` with lang_pred, score and margin of column ``text``; the others pass untouched."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compressors = {lang: _compressor(c) for lang, c in contents.items()}
         for b in batches:
-            found = [classify(t, compressors) for t in b[text]]
-            yield b[keep].assign(**{
-                name: [f[k] for f in found] for k, name in enumerate(("lang_pred", "score", "margin"))})
+            found = [classify(t, compressors) for t in b.column(text).to_pylist()]
+            lang, score, margin = (pa.array([f[k] for f in found], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.float64())))
+            yield pa.RecordBatch.from_arrays([*b.columns, lang, score, margin], [*b.schema.names, "lang_pred", "score", "margin"])
 
-    return rows.mapInPandas(run, schema)
+    schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType())])
+    return rows.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score, margin, rejected."""
     contents = dictionaries(sample(docs))
-    rows = take(docs, doc_id="bigint", text="string")
-    done = _classified(rows, "text", contents, "`doc_id` bigint, lang_pred string, score double, margin double")
+    done = _classified(take(docs, doc_id="bigint", text="string"), "text", contents)
     return done.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "margin",
         ((F.col("lang_pred") == UNKNOWN) | (F.col("margin") < margin)).alias("rejected"))
@@ -120,8 +120,7 @@ def identified(docs: DataFrame, margin: float = MARGIN) -> DataFrame:
     """``docs`` without the documents that the operator rejects, all columns carried."""
     contents = dictionaries(sample(docs))
     plain, where = by_position(docs)
-    ours = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
-    done = _classified(plain, where["text"], contents, f"{ours}, lang_pred string, score double, margin double")
+    done = _classified(plain, where["text"], contents)
     return done.filter((F.col("lang_pred") != UNKNOWN) & (F.col("margin") >= margin)).select(*plain.columns).toDF(*docs.columns)
 
 

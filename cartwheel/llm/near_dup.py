@@ -43,7 +43,7 @@ MISS = 1e-6
 #: centres a bucket may have, by its band's number: so many comparisons a member makes at most before the exact step
 CENTRES = 3
 #: classes whose texts are fetched by a broadcast list at most (16 bytes each)
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 1_000_000
 #: shingles whose minima are taken at a time
 BLOCK = 2048
 #: edges that a task of a round of components takes
@@ -103,9 +103,11 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 c.append(digest(s) if len(s) else None)
                 bands.append(band_keys(signature(s, length)) if len(s) else None)
             yield pd.DataFrame({
-                "doc_id": b["doc_id"], "k": b["k"], "h": b["h"], "n": n, "c": pd.array(c, dtype="Int64"), "bands": bands})
+                "k": b["k"], "no_id": b["no_id"], "h": b["h"], "n": n, "c": pd.array(c, dtype="Int64"), "bands": bands})
 
-    return docs.select("doc_id", "k", "h", "text").mapInPandas(run, "doc_id bigint, k bigint, h bigint, n bigint, c bigint, bands array<bigint>")
+    out = docs.select("k", F.col("doc_id").isNull().alias("no_id"), "h", "text").mapInPandas(
+        run, "k bigint, no_id boolean, h bigint, n bigint, c bigint, bands array<bigint>")
+    return out.select(F.when(~F.col("no_id"), F.col("k")).alias("doc_id"), "k", "h", "n", "c", "bands")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -154,11 +156,13 @@ def components(edges: DataFrame) -> DataFrame:
     def state(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "op5-edges")
+    # few edges need few tasks; one task's worth needs no shuffle in any round
+    tasks = max(1, -(-edges.count() // EDGES_IN_TASK))
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b")
+    edges = stored(down.repartition(tasks).distinct(), "op5-edges")
     before = state(edges)
     while True:
-        # few edges need few tasks; one task's worth needs no shuffle at all
-        both = directed(edges.coalesce(-(-before[0] // EDGES_IN_TASK) or 1))
+        both = directed(edges.coalesce(tasks))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
@@ -194,7 +198,7 @@ def classes_and_labels(docs: DataFrame, words: int, percent: int) -> tuple[DataF
     families = components(stars).withColumnRenamed("label", "family")
     placed = stored(families.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")), "op5-families")
     # links across components join whole components: their labels are the nodes now
-    across = components(_links_across(placed, sets, percent)).select(F.col("label").alias("joined"), F.col("c").alias("label"))
+    across = components(stored(_links_across(placed, sets, percent), "op5-links")).select(F.col("label").alias("joined"), F.col("c").alias("label"))
     labels = placed.select("c", "label").join(across, "label", "left").select("c", F.coalesce("joined", "label").alias("label"))
     return sigs, stored(labels, "op5-labels")
 
@@ -251,28 +255,29 @@ def _links_across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept, k, h. ``docs``: (doc_id, text, k, h)."""
+    """Per row: doc_id, n_shingles, component_id, kept, k, h, label (the component itself, null
+    for the empty set). ``docs``: (doc_id, text, k, h)."""
     sigs, labels = classes_and_labels(docs, words, percent)
     per_class = sigs.filter("c is not null").groupBy("c").agg(F.min("doc_id").alias("least")).join(labels, "c", "left")
     per_class = per_class.withColumn("label", F.coalesce("label", "c"))
     groups = per_class.groupBy("label").agg(F.min("least").alias("component_id"))
-    found = per_class.join(groups, "label").select("c", "component_id")
+    found = per_class.join(groups, "label").select("c", "label", "component_id")
     out = sigs.drop("bands").join(found, "c", "left").withColumn(
         "component_id", F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
     return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "k", "h")
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "k", "h", "label")
 
 
 def deduped(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group of ``docs``, that with the least id (of equal ids, the least row
     hash), all columns carried; documents without words stay."""
     found = near_duplicates(documents(docs), words, percent).filter("kept")
-    alone = F.when(F.col("n_shingles") == 0, F.struct("k", "h"))
-    chosen = found.groupBy("component_id", alone.alias("alone")).agg(F.min(F.struct("k", "h")).alias("r"))
+    alone = F.when(F.col("label").isNull(), F.struct("k", "h"))
+    chosen = found.groupBy("label", alone.alias("alone")).agg(F.min(F.struct("k", "h")).alias("r"))
     rows, _, columns = keyed_rows(docs)
     kept = rows.join(chosen.select("r.k", "r.h"), ["k", "h"], "left_semi")
     return kept.dropDuplicates(["k", "h"]).select(*columns).toDF(*docs.columns)
 
 
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(table(spark, sf_dir, "documents")), words=3, percent=85).drop("k", "h")
+    return near_duplicates(documents(table(spark, sf_dir, "documents")), words=3, percent=85).drop("k", "h", "label")

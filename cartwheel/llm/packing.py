@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, take
+from .common import numbered, renumbered, stored, table, take
 
 SEQUENCE_TOKENS = 2048
 OPEN_BINS = 512
@@ -39,7 +39,7 @@ OPEN_BINS = 512
 FAN_IN = 32
 END_ID = 0
 TOKENIZER = "byte_bpe_50k"
-PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECE = "k bigint, no_id boolean, piece int, start bigint, length bigint, ids_crc32 bigint"
 PLACED = f"{PIECE}, sequence_id bigint, offset bigint, open boolean"
 
 
@@ -107,14 +107,15 @@ def _rows(sequences: list[list], number: int, last: bool) -> Iterator[tuple]:
         at = 0
         for p in pieces:
             yield (*p, number + k, at, last)
-            at += p[3]
+            at += p[LENGTH]
 
 
-COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "open"]
+LENGTH = 4  # of the columns of a piece, its length
+COLUMNS = ["k", "no_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "open"]
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
+    return pd.DataFrame(rows, columns=COLUMNS)
 
 
 def _packer(pieces, level: int, bins: int, final: bool):
@@ -124,7 +125,7 @@ def _packer(pieces, level: int, bins: int, final: bool):
         number = (level << 56) | (TaskContext.get().partitionId() << 28)
         held, read = OpenBins(limit=bins), pieces()
         for b in batches:
-            closed = [c for p in read(b) for c in held.place(p, p[3])]
+            closed = [c for p in read(b) for c in held.place(p, p[LENGTH])]
             yield _frame(list(_rows(closed, number, False)))
             number += len(closed)
         yield _frame(list(_rows(held.rest(), number, not final)))
@@ -137,11 +138,10 @@ def _tokenised(name: str, size: int):
         encoder = _encoder(name)
 
         def read(batch: pd.DataFrame) -> Iterator[tuple]:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for k, no_id, text in zip(batch["k"], batch["no_id"], batch["text"], strict=True):
                 ids = np.array([*encoder.encode_ordinary(text or ""), END_ID], dtype="<u4")
-                own = None if pd.isna(doc_id) else int(doc_id)
-                for k, (start, length) in enumerate(pieces_of(len(ids), size)):
-                    yield own, k, start, length, zlib.crc32(ids[start:start + length].tobytes())
+                for piece, (start, length) in enumerate(pieces_of(len(ids), size)):
+                    yield k, no_id, piece, start, length, zlib.crc32(ids[start:start + length].tobytes())
 
         return read
 
@@ -150,8 +150,7 @@ def _tokenised(name: str, size: int):
 
 def _again():
     def read(batch: pd.DataFrame) -> Iterator[tuple]:
-        for p in batch[COLUMNS[:5]].itertuples(index=False, name=None):
-            yield (None if pd.isna(p[0]) else int(p[0]), *p[1:])
+        return batch[COLUMNS[:6]].itertuples(index=False, name=None)
 
     return read
 
@@ -159,17 +158,18 @@ def _again():
 def pack(docs: DataFrame, bins: int = OPEN_BINS, tokenizer: str = TOKENIZER) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. Eager: each
     round's placements are stored, so a document is tokenised once."""
-    docs = take(docs, doc_id="bigint", text="string")
-    tasks = docs.rdd.getNumPartitions()
+    docs = numbered(take(docs, doc_id="bigint", text="string"))
     done = stored(docs.mapInPandas(_packer(_tokenised(tokenizer, SEQUENCE_TOKENS), 1, bins, False), PLACED), "op6-round1")
     out, level = done.filter(~F.col("open")), 1
     while True:
-        level, tasks = level + 1, -(-tasks // FAN_IN)
-        rest = done.filter("open").select(*COLUMNS[:5]).repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32"))
+        # tasks of the last round that left a sequence open
+        left = done.filter("open").agg(F.count_distinct(F.shiftright("sequence_id", 28)).alias("n")).first()["n"]
+        level, tasks = level + 1, max(1, -(-left // FAN_IN))
+        rest = done.filter("open").select(*COLUMNS[:6]).repartition(tasks, F.xxhash64("k", "piece", "ids_crc32"))
         done = stored(rest.mapInPandas(_packer(_again, level, bins, tasks == 1), PLACED), f"op6-round{level}")
         out = out.unionByName(done.filter(~F.col("open")))
         if tasks == 1:
-            return out.drop("open")
+            return renumbered(out.drop("open"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

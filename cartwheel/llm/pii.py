@@ -20,7 +20,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import by_position, table, take
@@ -224,21 +224,20 @@ def redact(text: str | None) -> str | None:
 def find(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_spans."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for text in b["text"]:
+            for text in b.column("text").to_pylist():
                 base, every = spans_of(text)
                 kinds = [k for _, k, _ in base]
                 rows.append((*map(kinds.count, range(len(KINDS))), hashlib.sha256(as_text(base).encode()).hexdigest(),
                              as_text(every), len(every)))
-            cols = [*(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"]
-            out = pd.DataFrame(rows, columns=cols, index=b.index)
-            out.insert(0, "doc_id", b["doc_id"])
-            yield out
+            columns = [pa.array([r[j] for r in rows], t) for j, (_, t) in enumerate(found)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], ["doc_id", *(c for c, _ in found)])
 
+    found = [*((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string()), ("n_spans", pa.int64())]
     counts = ", ".join(f"n_{k} bigint" for k in KINDS)
-    return take(docs, doc_id="bigint", text="string").mapInPandas(
+    return take(docs, doc_id="bigint", text="string").mapInArrow(
         run, f"doc_id bigint, {counts}, base_sha256 string, spans string, n_spans bigint")
 
 
@@ -246,11 +245,14 @@ def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with personal data in the text replaced, all columns carried."""
     plain, where = by_position(docs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.assign(**{where["text"]: [redact(t) for t in b[where["text"]]]})
+            at = b.schema.get_field_index(text)
+            new = pa.array([redact(t) for t in b.column(at).to_pylist()], b.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays([new if j == at else c for j, c in enumerate(b.columns)], b.schema.names)
 
-    return plain.mapInPandas(run, plain.schema).toDF(*docs.columns)
+    text = where["text"]
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

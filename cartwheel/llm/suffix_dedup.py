@@ -43,16 +43,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from .common import documents, stored, table
+from .common import documents, numbered, renumbered, stored, table
 from .shingles import mix
 
 LENGTH = 50
 KMER = 24
 #: strings that can share an anchor
 REACH = LENGTH - KMER + 1
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: bytes hashed at a time
 SEGMENT_BYTES = 1 << 18
+#: contexts cut out at a time
+ROWS = 8192
 HASH_BITS = 48
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWER = [pow(_BASE, 1 << k, 1 << 64) for k in range(5)]
@@ -107,8 +109,7 @@ class Block:
         open_ = zstandard.ZstdDecompressor().decompress
         self.rows = rows.sort_values(["k", "h"], ignore_index=True)
         self.texts = [open_(z) for z in self.rows["z"]]
-        ids = self.rows["doc_id"]
-        self.ids = np.where(ids.isna(), NO_ID, ids.fillna(0)).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+        self.ids = np.where(self.rows["no_id"].to_numpy(bool), NO_ID, self.rows["k"].to_numpy(np.int64))
         self.data = np.frombuffer(b"".join(self.texts), np.uint8)
         self.ends = np.cumsum([len(t) for t in self.texts]).astype(np.int64)
         found = [anchors(self.data[a:b], ends - a) for a, b, ends in self._segments()]
@@ -145,11 +146,14 @@ class Block:
         n = len(p)
         m = np.zeros((n, LENGTH + REACH + 1), np.uint8)
         right, left = hi + LENGTH - p, p - lo
-        reach = np.minimum(p[:, None] + np.arange(LENGTH), len(self.data) - 1)
-        m[:, :LENGTH] = np.where(np.arange(LENGTH) < right[:, None], self.data[reach], 0)
+        padded = np.concatenate([np.zeros(REACH - 1, np.uint8), self.data, np.zeros(LENGTH, np.uint8)])
+        after = np.lib.stride_tricks.sliding_window_view(padded, LENGTH)
+        before = np.lib.stride_tricks.sliding_window_view(padded, REACH - 1)
+        for k in range(0, n, ROWS):
+            part = slice(k, k + ROWS)
+            m[part, :LENGTH] = after[p[part] + REACH - 1] * (np.arange(LENGTH) < right[part, None])
+            m[part, LENGTH + 1:LENGTH + REACH] = before[p[part]][:, ::-1] * (np.arange(REACH - 1) < left[part, None])
         m[:, LENGTH] = right
-        back = np.maximum(p[:, None] - 1 - np.arange(REACH - 1), 0)
-        m[:, LENGTH + 1:LENGTH + REACH] = np.where(np.arange(REACH - 1) < left[:, None], self.data[back], 0)
         m[:, LENGTH + REACH] = left
         as_one = np.ascontiguousarray(m).view(f"V{m.shape[1]}").ravel()
         order = np.argsort(as_one, kind="stable") if n else np.zeros(0, np.int64)
@@ -406,15 +410,14 @@ def _apply(parts: int, with_text: bool):
             np.add.at(change, starts + LENGTH, -1)
         gone = np.cumsum(change)[:-1] > 0
         out, start = [], 0
-        for row, end in zip(block.rows[["doc_id"]].itertuples(index=False), block.ends, strict=True):
+        for k, no_id, end in zip(block.rows["k"], block.rows["no_id"], block.ends, strict=True):
             g = gone[start:end]
             n = int(g.sum())
             kept = block.data[start:end][~g].tobytes() if n else block.data[start:end].tobytes()
             spans = int((g[1:] & ~g[:-1]).sum() + g[0]) if n else 0
-            out.append((row.doc_id, int(end - start), n, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
+            out.append((k, no_id, int(end - start), n, spans, hashlib.sha256(kept).hexdigest(), kept if with_text else None))
             start = int(end)
-        done = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-        return done.astype({"doc_id": "Int64"})
+        return pd.DataFrame(out, columns=["k", "no_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
@@ -434,20 +437,20 @@ def dedup_substrings(docs: DataFrame, with_text: bool = False) -> DataFrame:
             yield b.assign(z=[pack((t or "").encode("utf-8", "replace")) for t in b["text"]]).drop(columns="text")
 
     blocked = (
-        docs.mapInPandas(shrink, "doc_id bigint, k bigint, h bigint, z binary")
+        numbered(docs).select("k", "no_id", "h", "text").mapInPandas(shrink, "k bigint, no_id boolean, h bigint, z binary")
         .withColumn("block", F.pmod(F.xxhash64("k", "h"), F.lit(blocks)).cast("int"))
         .repartition(blocks, "block").persist(StorageLevel.DISK_ONLY))
     try:
         message = "block int, part int, data binary"
         hashes = blocked.groupBy("block").applyInPandas(_send_hashes(parts), message)
-        replies = stored(hashes.groupBy("part").applyInPandas(_find_repeated, message), "op2-replies")
+        replies = stored(hashes.repartition(parts, "part").groupBy("part").applyInPandas(_find_repeated, message), "op2-replies")
         by_block = blocked.groupBy("block")
         runs = by_block.cogroup(replies.groupBy("block")).applyInPandas(_send_runs(parts), message)
-        answers = stored(runs.groupBy("part").applyInPandas(_merge, message), "op2-answers")
+        answers = stored(runs.repartition(parts, "part").groupBy("part").applyInPandas(_merge, message), "op2-answers")
         both = replies.withColumn("kind", F.lit(0)).unionByName(answers.withColumn("kind", F.lit(1)))
-        return stored(by_block.cogroup(both.groupBy("block")).applyInPandas(
+        return stored(renumbered(by_block.cogroup(both.groupBy("block")).applyInPandas(
             _apply(parts, with_text),
-            "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"), "op2-result")
+            "k bigint, no_id boolean, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")), "op2-result")
     finally:
         blocked.unpersist()
 

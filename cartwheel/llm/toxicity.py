@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table, take
+from .common import numbered, renumbered, table, take
 from .shingles import WordHasher
 
 CATEGORIES = ("low_quality", "toxic", "severe")
@@ -51,7 +51,7 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> pd.Da
     """The bounded training sample on the driver: doc_id, toxic, low_quality, weight, f (feature ids as bytes)."""
     marks = take(labels, doc_id="bigint", quality="int", toxic="int").filter("doc_id is not null and toxic is not null")
     marks = marks.groupBy("doc_id").agg(
-        F.max("toxic").alias("toxic"), (1 - F.min(F.coalesce("quality", F.lit(1)))).alias("low_quality"))
+        F.max((F.col("toxic") != 0).cast("int")).alias("toxic"), (1 - F.min((F.coalesce("quality", F.lit(1)) != 0).cast("int"))).alias("low_quality"))
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     kept = marks.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows).drop("nth")
     totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -62,7 +62,8 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> pd.Da
             yield b.assign(f=[features(hasher, t).tobytes() for t in b["text"]]).drop(columns="text")
 
     texts = take(docs, doc_id="bigint", text="string").filter("text is not null")
-    out = texts.join(F.broadcast(kept), "doc_id").dropDuplicates(["doc_id"]).mapInPandas(
+    out = texts.join(F.broadcast(kept), "doc_id").groupBy("doc_id", "toxic", "low_quality").agg(
+        F.min("text").alias("text")).mapInPandas(
         run, "doc_id bigint, toxic int, low_quality int, f binary",
     ).toPandas().sort_values("doc_id", ignore_index=True)
     counts = out["toxic"].value_counts()
@@ -178,12 +179,11 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> D
         for b in batches:
             p = chain_probabilities(chain, [features(hasher, t) for t in b["text"]])
             out = pd.DataFrame(p, columns=[f"p_{c}" for c in CATEGORIES], index=b.index)
-            out.insert(0, "doc_id", b["doc_id"])
-            yield out
+            yield out.assign(k=b["k"], no_id=b["no_id"])
 
     ours = ", ".join(f"p_{c} double" for c in CATEGORIES)
-    done = take(docs, doc_id="bigint", text="string").mapInPandas(run, f"doc_id bigint, {ours}")
-    return done.withColumn("toxic", F.col("p_toxic") >= threshold)
+    done = numbered(take(docs, doc_id="bigint", text="string")).mapInPandas(run, f"{ours}, k bigint, no_id boolean")
+    return renumbered(done).withColumn("toxic", F.col("p_toxic") >= threshold)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
