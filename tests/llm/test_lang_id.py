@@ -44,7 +44,9 @@ def test_edge_cases(spark, edge, rows, documents):
 def test_no_labels_and_empty_table(spark, empty, edge):
     assert lang_id.identify(empty).count() == 0 and lang_id.identified(empty).count() == 0
     from pyspark.sql import functions as F
-    docs = edge.select("doc_id", "text").withColumn("lang", F.lit(None).cast("string"))
+
+    from cartwheel.llm.common import take
+    docs = take(edge, doc_id="bigint", text="string").withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in lang_id.identify(docs).collect()} == {"und"}
 
 
