@@ -160,11 +160,11 @@ def pack(docs: DataFrame, bins: int = OPEN_BINS, tokenizer: str = TOKENIZER) ->
     round's placements are stored, so a document is tokenised once."""
     docs = numbered(take(docs, doc_id="bigint", text="string"))
     done = stored(docs.mapInPandas(_packer(_tokenised(tokenizer, SEQUENCE_TOKENS), 1, bins, False), PLACED), "op6-round1")
+    # tasks that left a sequence open; every round has at most a FAN_IN-th as many
+    tasks = done.filter("open").agg(F.count_distinct(F.shiftright("sequence_id", 28)).alias("n")).first()["n"]
     out, level = done.filter(~F.col("open")), 1
     while True:
-        # tasks of the last round that left a sequence open
-        left = done.filter("open").agg(F.count_distinct(F.shiftright("sequence_id", 28)).alias("n")).first()["n"]
-        level, tasks = level + 1, max(1, -(-left // FAN_IN))
+        level, tasks = level + 1, max(1, -(-tasks // FAN_IN))
         rest = done.filter("open").select(*COLUMNS[:6]).repartition(tasks, F.xxhash64("k", "piece", "ids_crc32"))
         done = stored(rest.mapInPandas(_packer(_again, level, bins, tasks == 1), PLACED), f"op6-round{level}")
         out = out.unionByName(done.filter(~F.col("open")))
