@@ -117,7 +117,8 @@ class Block:
         parts = [np.concatenate([f[j] + (b if j < 3 else np.uint64(0)) for f, b in zip(found, bases, strict=True)])
                  if found else np.zeros(0, np.int64 if j < 3 else np.uint64) for j in range(4)]
         self.p, self.lo, self.hi, hashes = parts
-        self.hash = hashes.astype(np.uint64) >> np.uint64(64 - HASH_BITS)
+        # anchors have the least hashes: mixed again, they spread evenly over the parts
+        self.hash = mix(hashes.astype(np.uint64)) >> np.uint64(64 - HASH_BITS)
         self.doc = np.searchsorted(self.ends, self.p, side="right")
 
     def _segments(self) -> Iterator[tuple[int, int, np.ndarray]]:
