@@ -179,7 +179,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -
     both = hits.join(listed, ["k", "h"], "left")
     return both.select(
         "doc_id", F.col("n_words").cast("bigint"), n_hit.cast("bigint").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.size(F.coalesce("items", F.array().cast("array<string>"))).cast("bigint").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"), "k", "h")
 
 
