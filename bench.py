@@ -4,7 +4,7 @@ Steps (all timed):
   land   - build the five shop datasets from the test tables and write them as
            Parquet under the session's checkpoint folder (a fresh scratch
            folder when none is configured);
-  land_derived - store the flat timeline by key and the daily metrics by date;
+  land_derived - store the flat timeline by key and the daily metrics by month;
   <name> - each registered query over the landed tables, fully executed
            through the ``noop`` sink (no collect to the driver), run
            $BENCH_REPEAT times (default 2); the faster run is reported (the

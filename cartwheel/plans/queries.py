@@ -67,11 +67,16 @@ def _puts(s: Shop) -> DataFrame:
 
 
 def _metrics(s: Shop, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Daily product metrics from the table stored by date, where there is one."""
+    """Daily product metrics from the table stored by month, where there is one: a range
+    reads its months' folders only, and of them the row groups of its dates."""
     if s.metrics is None:
         return metrics.product_daily_metrics(s.sessions, s.transactions, start, end)
-    return s.metrics if start is None else s.metrics.filter(F.col("date").between(
-        F.lit(start).cast("date"), F.lit(end).cast("date")))
+    if start is None:
+        return s.metrics
+    month = lambda day: int(day[:4]) * 100 + int(day[5:7])
+    return s.metrics.filter(
+        F.col("month").between(month(start), month(end))
+        & F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
 METRICS_COLUMNS = ("row_key", "product_id", "date", *metrics.VIEWS, *metrics.SALES)

@@ -20,7 +20,7 @@ class Shop:
     prices: DataFrame | None = None
     #: session states in the order they were put: row_key, user_id, put_seq, ...
     puts: DataFrame | None = None
-    #: stored forms, written by land_derived: the flat timeline by key, daily metrics by date
+    #: stored forms, written by land_derived: the flat timeline by key, daily metrics by month
     timeline: DataFrame | None = None
     metrics: DataFrame | None = None
 
@@ -60,7 +60,7 @@ class Shop:
 
     def land_derived(self, path: str, mode: str = "overwrite") -> "Shop":
         """Store the flat timeline sorted by row key and the daily product metrics
-        partitioned by date beside the landed datasets, and read all back."""
+        partitioned by month beside the landed datasets, and read all back."""
         from cartwheel.sources import landing
         landing.write_derived(self, path, mode)
         return Shop.from_landed(self.users.sparkSession, path)

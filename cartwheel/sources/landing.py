@@ -25,6 +25,7 @@ import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 USER_KEYED = {"users": ["user_id"], "transactions": ["user_id", "timestamp"],
               "sessions": ["user_id", "start_time"]}
@@ -73,14 +74,16 @@ def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = False,
 
 
 def write_derived(shop, path: str, mode: str = "overwrite") -> None:
-    """The flat session timeline by key, and the daily product metrics by date."""
+    """The flat session timeline by key, and the daily product metrics by month (a folder
+    for each day would be thousands of small files), sorted by date inside."""
     from cartwheel.operators import metrics, timeline
     base = path.rstrip("/")
     timeline.write_timeline(timeline.user_sessions_flat(shop.sessions), f"{base}/timeline", mode)
     daily = metrics.product_daily_metrics(shop.sessions, shop.transactions)
-    # a date's rows together (split if one date is huge), so a date is few files
-    daily.hint("rebalance", "date").sortWithinPartitions("date", "product_id").write.mode(mode).partitionBy(
-        "date").parquet(f"{base}/metrics")
+    month = F.year("date") * 100 + F.month("date")
+    # a month's rows together (split if one is huge), so a month is few files
+    daily.withColumn("month", month).hint("rebalance", "month").sortWithinPartitions("month", "date", "product_id").write.mode(
+        mode).partitionBy("month").parquet(f"{base}/metrics")
 
 
 def read_if_there(spark: SparkSession, path: str, name: str) -> DataFrame | None:

@@ -99,7 +99,7 @@ NOTES = """
   key). The two distinct counts of the daily views expand rows only after they
   are reduced to (product, day, session, user).
 * **Lookups and ranges** read the stored timeline (predicates on user_id and
-  row_key) and the metrics partitioned by date (partition filters).
+  row_key) and the metrics partitioned by month (partition filters).
 * **Windows** run only on bounded inputs: per-user newest-n (with a partial
   WindowGroupLimit before the shuffle), per-product daily rows (one per sales
   day), page-type transitions (at most 49 rows).
