@@ -8,6 +8,12 @@ like become ``@`` and ``.``. Every character of the copy knows the source charac
 it stands for, so spans found there are mapped back; those that lie within no base span of their
 kind are added.
 
+Number words may be part of a number or prose beside it ("6467 one of them"), so the copy
+has several readings: none spelled, and all runs of at least 1, 2, 3 or 4 words spelled out.
+The detectors decide in each of them (length, Luhn sum), and what any finds counts. Two limits:
+a span of one digit value over and over without a digit in its source is prose; shorter
+runs than four words join numbers, not e-mail addresses.
+
 All scans are linear in the text's length. Defined cases: a null text is empty and has
 no span; rows come back one for one (repeated rows too); offsets are code points;
 extra columns are ignored (``redacted`` carries them through).
@@ -48,12 +54,13 @@ SPELLED = (
     "cero uno dos tres cuatro cinco seis siete ocho nueve",
 )
 DIGIT_OF = {w: str(d) for ws in SPELLED for d, w in enumerate(ws.split())} | {"oh": "0"}
-LEAST_SPELLED = 4
+#: readings of the copy: the least words of a run that is spelled out
+LEAST_SPELLED = (1, 2, 3, 4)
 
 ODD = re.compile(f"[{''.join(LOOK_ALIKES)}{INVISIBLE}！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff]")
 _WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 SPELLED_RUN = re.compile(
-    rf"(?<!\w)(?:plus[\s,-]+|\+[ ]?)?(?:(?:{_WORD}|[0-9])(?:[\s,.-]+(?:(?:dot|point)[\s,.-]+)?))+(?:{_WORD}|[0-9])(?!\w)", re.I)
+    rf"(?<!\w)(?:plus[\s,-]+|\+[ ]?)?(?:(?:{_WORD}|[0-9])(?:[\s,.-]+(?:(?:dot|point)[\s,.-]+)?))*(?:{_WORD}|[0-9])(?!\w)", re.I)
 TOKEN = re.compile(r"\w+|\+")
 BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*", re.I)
 BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*", re.I)
@@ -105,9 +112,9 @@ def detect(text: str) -> list[tuple[int, int, int]]:
 class Normalised:
     """A text under rewriting, with the source span of each of its characters."""
 
-    def __init__(self, text: str):
+    def __init__(self, text: str, spans: list[tuple[int, int]] | None = None):
         self.text = text
-        self.spans: list[tuple[int, int]] | None = None  # none: each character is its own source
+        self.spans = spans  # none: each character is its own source
 
     def _span(self, a: int, b: int) -> tuple[int, int]:
         return (a, b) if self.spans is None else (self.spans[a][0], self.spans[b - 1][1])
@@ -143,8 +150,9 @@ def _plain(c: str) -> str:
     return str(digit) if digit is not None else unicodedata.normalize("NFKC", c)
 
 
-def _spelled(m: re.Match) -> tuple[int, int, str] | None:
-    new, words, values = "", 0, set()
+def _spelled(m: re.Match) -> tuple[int, tuple[int, int, str]]:
+    """The run's number of words, and what it is rewritten to."""
+    new, words = "", 0
     for t in TOKEN.findall(m[0]):
         low = t.lower()
         if low in ("plus", "+"):
@@ -154,19 +162,18 @@ def _spelled(m: re.Match) -> tuple[int, int, str] | None:
         else:
             words += low in DIGIT_OF
             new += DIGIT_OF.get(low, t)
-            values.add(new[-1])
-    # runs of one word over and over are prose, not numbers
-    return (m.start(), m.end(), new) if words >= LEAST_SPELLED and len(values) >= 3 else None
+    return words, (m.start(), m.end(), new)
 
 
-def normalise(text: str) -> Normalised | None:
-    """The normalised copy, or None where no transducer changes anything."""
+def normalise(text: str) -> list[tuple[int, Normalised]]:
+    """The readings of the normalised copy that differ from the text and from each other,
+    with the least words of the runs spelled out there (0: none is)."""
     low = text.lower()
     odd = not text.isascii() and ODD.search(text)
     dots = "dot" in low or "[" in text or "(" in text or "{" in text or "<" in text
-    spelled = sum(w in low for w in DIGIT_OF) >= 3
+    spelled = any(w in low for w in DIGIT_OF)
     if not (odd or dots or spelled):
-        return None
+        return []
     out = Normalised(text)
     if odd:
         out.rewrite([(m.start(), m.end(), _plain(m[0])) for m in ODD.finditer(text)])
@@ -182,9 +189,20 @@ def normalise(text: str) -> Normalised | None:
             out.rewrite([(d.start(), d.end(), ".") for m in HALF_BARE.finditer(out.text)
                          for d in BARE_DOT.finditer(out.text, m.start(), m.end())])
             out.rewrite([(m.start(), m.end(), ".") for m in DIGIT_DOT.finditer(out.text)])
-    if spelled:
-        out.rewrite([p for m in SPELLED_RUN.finditer(out.text) if (p := _spelled(m))])
-    return None if out.spans is None else out
+    readings = [] if out.spans is None else [(0, out)]
+    runs = [_spelled(m) for m in SPELLED_RUN.finditer(out.text)] if spelled else []
+    for least in LEAST_SPELLED:
+        if any(words == least or words > least == LEAST_SPELLED[-1] for words, _ in runs):
+            copy = Normalised(out.text, out.spans)
+            copy.rewrite([p for words, p in runs if words >= least])
+            copy.rewrite([(d.start(), d.end(), ".") for d in DIGIT_DOT.finditer(copy.text)])
+            readings.append((least, copy))
+    return readings
+
+
+def _prose(new: str, source: str) -> bool:
+    """One number word over and over."""
+    return len(set(DIGIT.findall(new))) == 1 and not any(map(str.isdecimal, source))
 
 
 def spans_of(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -192,19 +210,19 @@ def spans_of(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[i
     if not text:
         return [], []
     base = detect(text)
-    copy = normalise(text)
-    if copy is None:
-        return base, base
-    out = list(base)
+    out = set()
     own = [[(a, b) for a, k, b in base if k == kind] for kind in range(len(KINDS))]
-    nth = [0] * len(KINDS)
-    for a, k, b in detect(copy.text):
-        start, end = copy.source(a, b)
-        while nth[k] < len(own[k]) and own[k][nth[k]][1] < end:
-            nth[k] += 1
-        if nth[k] == len(own[k]) or own[k][nth[k]][0] > start:
-            out.append((start, k, end))
-    return base, sorted(out)
+    for least, copy in normalise(text):
+        nth = [0] * len(KINDS)
+        for a, k, b in detect(copy.text):
+            start, end = copy.source(a, b)
+            if least and (k == 0 and least < LEAST_SPELLED[-1] or _prose(copy.text[a:b], text[start:end])):
+                continue
+            while nth[k] < len(own[k]) and own[k][nth[k]][1] < end:
+                nth[k] += 1
+            if nth[k] == len(own[k]) or own[k][nth[k]][0] > start:
+                out.add((start, k, end))
+    return base, sorted([*base, *out])
 
 
 def as_text(spans: list[tuple[int, int, int]]) -> str:

@@ -56,6 +56,28 @@ def test_disguises(t, kinds):
     assert base == brute(t) and set(base) <= set(every)
 
 
+@pytest.mark.parametrize("before,number,after,kind", [
+    ("pay ", "four" + " one" * 15, " now", "card"),
+    ("pay ", "five " * 12 + "four four four four", " now", "card"),
+    ("call ", "+1 269 555 three two nine 6", " now", "phone"),
+    ("pay ", "4539 1488 0343 six four 67", " now", "card"),
+    ("pay ", "4539 1488 0343 646 seven", " now", "card"),
+    ("pay ", "4111 one one one one 1111 1111", " now", "card"),
+    ("no one ", "4539 1488 0343 six four 67", " now", "card"),
+    ("pay ", "four five three nine 1488 0343 6467", " one of them", "card"),
+    ("at ", "192 dot 168 dot one dot 7", "!", "ip"),
+    ("at ", "192 dot 168 dot 1 dot 7", " one day", "ip"),
+])
+def test_short_and_partly_spelled_runs(before, number, after, kind):
+    base, every = pii.spans_of(before + number + after)
+    assert not base and (len(before), pii.KINDS.index(kind), len(before + number)) in every
+
+
+@pytest.mark.parametrize("t", ["zero " * 16, "un un un six", "five one at the door", "plus" + " un" * 10, "one, two, three and four"])
+def test_number_words_in_prose(t):
+    assert pii.spans_of(t) == ([], [])
+
+
 def test_edge_cases(spark, edge, rows):
     got = pii.find(edge).collect()
     assert len(got) == len(rows)
