@@ -57,7 +57,7 @@ DIGIT_OF = {w: str(d) for ws in SPELLED for d, w in enumerate(ws.split())} | {"o
 #: readings of the copy: the least words of a run that is spelled out
 LEAST_SPELLED = (1, 2, 3, 4)
 
-ODD = re.compile(f"[{''.join(LOOK_ALIKES)}{INVISIBLE}！-～٠-٩۰-۹०-९\U0001d400-\U0001d7ff]")
+ODD = re.compile(f"[{''.join(LOOK_ALIKES)}{INVISIBLE}！-～\U0001d400-\U0001d7ff]|(?![0-9])\\d")
 _WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 SPELLED_RUN = re.compile(
     rf"(?<!\w)(?:plus[\s,-]+|\+[ ]?)?(?:(?:{_WORD}|[0-9])(?:[\s,.-]+(?:(?:dot|point)[\s,.-]+)?))*(?:{_WORD}|[0-9])(?!\w)", re.I)
@@ -168,15 +168,13 @@ def _spelled(m: re.Match) -> tuple[int, tuple[int, int, str]]:
 def normalise(text: str) -> list[tuple[int, Normalised]]:
     """The readings of the normalised copy that differ from the text and from each other,
     with the least words of the runs spelled out there (0: none is)."""
-    low = text.lower()
-    odd = not text.isascii() and ODD.search(text)
-    dots = "dot" in low or "[" in text or "(" in text or "{" in text or "<" in text
-    spelled = any(w in low for w in DIGIT_OF)
-    if not (odd or dots or spelled):
-        return []
     out = Normalised(text)
-    if odd:
+    if not text.isascii():
         out.rewrite([(m.start(), m.end(), _plain(m[0])) for m in ODD.finditer(text)])
+    # the others' triggers may have been disguised themselves
+    low = out.text.lower()
+    dots = "dot" in low or any(c in low for c in "[({<")
+    spelled = any(w in low for w in DIGIT_OF)
     if dots:
         out.rewrite([(m.start(), m.end(), "@") for m in BRACKET_AT.finditer(out.text)])
         out.rewrite([(m.start(), m.end(), ".") for m in BRACKET_DOT.finditer(out.text)])

@@ -56,6 +56,19 @@ def test_disguises(t, kinds):
     assert base == brute(t) and set(base) <= set(every)
 
 
+@pytest.mark.parametrize("t,kind", [
+    ("user［at］example.com", "email"),
+    ("joe at example dоt com", "email"),
+    ("joe at example d\u200bot com", "email"),
+    ("ｆｏｕｒ ｆｉｖｅ ｔｈｒｅｅ ｎｉｎｅ ｏｎｅ ｆｏｕｒ ｅｉｇｈｔ ｅｉｇｈｔ ｚｅｒｏ ｔｈｒｅｅ ｆｏｕｒ ｔｈｒｅｅ ｓｉｘ ｆｏｕｒ ｓｉｘ ｓｅｖｅｎ", "card"),
+    *[("".join(chr(zero + int(d)) for d in "4539148803436467"), "card") for zero in (0x9E6, 0xE50, 0xBE6, 0x17E0, 0x104A0)],
+])
+def test_disguised_triggers_and_all_digits(t, kind):
+    base, every = pii.spans_of(t)
+    assert (0, pii.KINDS.index(kind), len(t)) in every
+    assert base == brute(t)
+
+
 @pytest.mark.parametrize("before,number,after,kind", [
     ("pay ", "four" + " one" * 15, " now", "card"),
     ("pay ", "five " * 12 + "four four four four", " now", "card"),
