@@ -7,7 +7,10 @@ term, the postings (document, position) of the training tokens that searches
 start from: the rarest terms of each window, by their counts over the whole
 corpus. A window's occurrences are the intersection of its rare terms' lists,
 each adjusted by the term's offset, confirmed word by word on the full text.
-Proximity matches let the adjusted positions differ by up to ``slop`` words.
+Proximity matches let the adjusted positions differ by up to ``slop`` words from the
+rarest term's: all words of the window must stand there, each at a place of its own.
+op8_decontaminate reports the exact occurrences, op8_proximity the proximity matches
+(exact ones among them).
 
 The test side is broadcast only if its counted size is under a bound; beyond it
 the same joins run as shuffled joins, where hot terms are split by Spark's skew
@@ -32,6 +35,8 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW_WORDS = 10
 #: lists intersected before the full text is looked at
 RARE_TERMS = 3
+#: words by which a proximity match's positions may differ
+NEAR_SLOP = 2
 #: bytes of the test side up to which it is broadcast
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -47,12 +52,14 @@ def _sized(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 @dataclass
 class Index:
     """``windows``: (wid, w, rare: array of (n, off, term)); ``items``: (wid, item_id);
-    ``postings``: (term, k, h, pos), stored by term; ``n_windows``: row count of windows."""
+    ``postings``: (term, k, h, pos), stored by term; ``n_windows``: row count of windows;
+    ``docs``: the indexed (doc_id, text, k, h)."""
 
     windows: DataFrame
     items: DataFrame
     postings: DataFrame
     n_windows: int
+    docs: DataFrame
 
 
 def item_windows(items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
@@ -86,7 +93,7 @@ def build_index(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS, rar
         .join(_sized(starts, n_terms, 100), "term")
         .select("term", "k", "h", "pos")
         .hint("rebalance", "term").sortWithinPartitions("term", "k", "pos"))
-    return Index(windows, found.select("wid", "item_id"), stored(postings, "op8-postings"), n_windows)
+    return Index(windows, found.select("wid", "item_id"), stored(postings, "op8-postings"), n_windows, docs)
 
 
 def _list(index: Index, k: int) -> DataFrame:
@@ -96,11 +103,12 @@ def _list(index: Index, k: int) -> DataFrame:
     return _sized(rows, index.n_windows, 120)
 
 
-def candidates(index: Index, rare: int = RARE_TERMS) -> DataFrame:
-    """(wid, k, h, start): where all rare terms of a window stand at its offsets."""
+def candidates(index: Index, rare: int = RARE_TERMS, slop: int = 0) -> DataFrame:
+    """(wid, k, h, start): where all rare terms of a window stand at its offsets, the
+    others than the rarest up to ``slop`` words off."""
     out = (
         index.postings.join(_list(index, 0), "term")
-        .select("wid", "k", "h", (F.col("pos") - F.col("off")).alias("start")).filter("start >= 0"))
+        .select("wid", "k", "h", (F.col("pos") - F.col("off")).alias("start")).filter(F.col("start") >= -slop))
     for k in range(1, rare):
         term, off = f"term{k}", f"off{k}"
         next_term = _list(index, k).select("wid", F.col("term").alias(term), F.col("off").alias(off))
@@ -109,9 +117,11 @@ def candidates(index: Index, rare: int = RARE_TERMS) -> DataFrame:
             F.col("term").alias("p_term"), F.col("k").alias("p_k"), F.col("h").alias("p_h"), "pos").distinct()
         # windows of fewer words than lists have no k-th term and pass
         short, full = out.filter(F.col(term).isNull()), out.filter(F.col(term).isNotNull())
+        at = F.col("start") + F.col(off)
+        full = full.withColumn("at", F.explode(F.sequence(at - slop, at + slop)) if slop else at)
         full = full.join(
             held, (F.col(term) == F.col("p_term")) & (F.col("h") == F.col("p_h"))
-            & (F.col("k") == F.col("p_k")) & (F.col("start") + F.col(off) == F.col("pos")), "left_semi")
+            & (F.col("k") == F.col("p_k")) & (F.col("at") == F.col("pos")), "left_semi")
         cols = ["wid", "k", "h", "start"]
         out = full.select(*cols).unionByName(short.select(*cols))
     return out.distinct()
@@ -133,27 +143,39 @@ def phrase_matches(docs: DataFrame, index: Index) -> DataFrame:
             F.when(F.col("found").isNotNull(), F.sort_array(hits)).alias("hits")), "op8-hits")
 
 
+def near_hits(index: Index, slop: int) -> DataFrame:
+    """Per row of the index's documents: doc_id, k, h, n_words and ``hits``, the (start, wid, at) of
+    every proximity match; ``at`` are the positions of the window's words. Stored."""
+    found = candidates(index, slop=slop).join(_sized(index.windows.select("wid", "w"), index.n_windows, 400), "wid")
+    per_doc = found.groupBy("k", "h").agg(F.collect_list(F.struct("start", "wid", "w")).alias("found"))
+
+    def places(c: Column) -> Column:
+        # the first free place for each word in turn: repeats of a word have equally long
+        # ranges in order, so this finds places for all where there are any
+        def place(used: Column, j: Column) -> Column:
+            free = F.filter(
+                F.sequence(c["start"] + j - slop, c["start"] + j + slop),
+                lambda p: (F.get("ws", p) == F.get(c["w"], j)) & ~F.array_contains(used, p))
+            return F.concat(used, F.slice(free, 1, 1))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(c["w"]) - 1), F.array().cast("array<int>"), place)
+
+    placed = F.transform("found", lambda c: F.struct(
+        c["start"].alias("start"), c["wid"].alias("wid"), places(c).alias("at"), F.size(c["w"]).alias("n")))
+    hits = F.transform(F.filter("placed", lambda c: F.size(c["at"]) == c["n"]), lambda c: F.struct(
+        c["start"].alias("start"), c["wid"].alias("wid"), c["at"].alias("at")))
+    ws = F.coalesce(words(F.col("text")), F.array().cast("array<string>"))
+    return stored(
+        index.docs.join(per_doc, ["k", "h"], "left").select("doc_id", "k", "h", ws.alias("ws"), "found")
+        .select("doc_id", "k", "h", F.size("ws").alias("n_words"), F.when(F.col("found").isNotNull(), placed).alias("placed"))
+        .select("doc_id", "k", "h", "n_words", F.when(F.col("placed").isNotNull(), hits).alias("hits")), "op8-near")
+
+
 def proximity_matches(index: Index, slop: int) -> DataFrame:
-    """(wid, k, h, start): a window's rare terms stand in the document with their
+    """(wid, k, h, start): all words of a window stand in the document with their
     offset-adjusted positions within ``slop`` of that of the rarest one."""
-    at = F.col("pos") - F.col("off")
-    first = (
-        index.postings.join(_list(index, 0), "term")
-        .select("wid", "k", "h", at.alias("start")))
-    out = first
-    for k in range(1, RARE_TERMS):
-        other = (
-            index.postings.join(_list(index, k), "term")
-            .select(F.col("wid").alias("o_wid"), F.col("k").alias("o_k"), F.col("h").alias("o_h"), at.alias("o_at"))
-            .withColumn("block", F.explode(F.array(*[F.floor(F.col("o_at") / (slop + 1)) + d for d in (-1, 0, 1)]))))
-        need = index.windows.filter(F.size("rare") > k).select(F.col("wid").alias("n_wid"))
-        close = (
-            (F.col("wid") == F.col("o_wid")) & (F.col("h") == F.col("o_h"))
-            & (F.col("k") == F.col("o_k")) & (F.floor(F.col("start") / (slop + 1)) == F.col("block"))
-            & (F.abs(F.col("start") - F.col("o_at")) <= slop))
-        long = out.join(need, F.col("wid") == F.col("n_wid"), "left_semi").join(other, close, "left_semi")
-        out = long.unionByName(out.join(need, F.col("wid") == F.col("n_wid"), "left_anti"))
-    return out.distinct()
+    hit = F.explode("hits").alias("c")
+    return near_hits(index, slop).select("k", "h", hit).select("c.wid", "k", "h", "c.start").distinct()
 
 
 def _covered(hits: Column) -> Column:
@@ -165,24 +187,39 @@ def _covered(hits: Column) -> Column:
         (a["n"] + F.greatest(end(c) - F.greatest(c["start"], a["reach"]), F.lit(0))).alias("n")))["n"]
 
 
+def _listed(hits: DataFrame, index: Index) -> DataFrame:
+    """(k, h, items): the sorted ids, as text, of the items that a document's hits belong to."""
+    return (
+        hits.filter(F.size("hits") > 0)
+        .select("k", "h", F.explode(F.array_distinct(F.col("hits.wid"))).alias("wid")).distinct()
+        .join(_sized(index.items.filter("item_id is not null"), index.n_windows, 60), "wid")
+        .groupBy("k", "h").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
+
+
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """Per row: doc_id, n_words, n_hit, n_items, items (sorted ids as text), contaminated."""
     docs = documents(docs)
     index = build_index(docs, items, size)
     hits = phrase_matches(docs, index)
-    listed = (
-        hits.filter(F.size("hits") > 0)
-        .select("k", "h", F.explode(F.array_distinct(F.col("hits.wid"))).alias("wid")).distinct()
-        .join(_sized(index.items.filter("item_id is not null"), index.n_windows, 60), "wid")
-        .groupBy("k", "h").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
     n_hit = F.when(F.col("hits").isNull(), 0).otherwise(_covered(F.col("hits")))
-    both = hits.join(listed, ["k", "h"], "left")
+    both = hits.join(_listed(hits, index), ["k", "h"], "left")
     return both.select(
         "doc_id", F.col("n_words").cast("bigint"), n_hit.cast("bigint").alias("n_hit"),
         F.size(F.coalesce("items", F.array().cast("array<string>"))).cast("bigint").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), (n_hit > 0).alias("contaminated"), "k", "h")
 
 
+def proximity(docs: DataFrame, items: DataFrame, slop: int = NEAR_SLOP, size: int = WINDOW_WORDS) -> DataFrame:
+    """Per row: doc_id, n_words, n_near (words in proximity matches), n_near_items, near_items (sorted ids as text), near."""
+    index = build_index(documents(docs), items, size)
+    hits = near_hits(index, slop)
+    n_near = F.when(F.col("hits").isNull(), 0).otherwise(F.size(F.array_distinct(F.flatten(F.col("hits.at")))))
+    near_items = F.coalesce("items", F.array().cast("array<string>"))
+    return hits.join(_listed(hits, index), ["k", "h"], "left").select(
+        "doc_id", F.col("n_words").cast("bigint"), n_near.cast("bigint").alias("n_near"),
+        F.size(near_items).cast("bigint").alias("n_near_items"), near_items.alias("near_items"), (n_near > 0).alias("near"))
+
+
 def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """``docs`` without the contaminated documents, all columns carried."""
     rows, _, columns = keyed_rows(docs)
@@ -197,6 +234,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = proximity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_near", "n_near_items",
+        F.sha2(F.array_join("near_items", ","), 256).alias("near_items_sha256"), "near")
+
+
 OP8_SQL = r"""
 WITH d AS (
   SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''),

@@ -11,6 +11,7 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op7_toxicity": toxicity.op7_toxicity,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op8_proximity": decontaminate.op8_proximity,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_pii": pii.op10_pii,
 }
