@@ -6,9 +6,10 @@ of labelled lines. A text, reduced to its lower-cased words and cut into blocks
 fewest bytes in all is chosen. When the second best needs hardly more bytes, the
 margin is narrow and the operator rejects the document.
 
-The fit takes, per language, SAMPLE_LINES lines, one at most from a document, none
-that several documents share, each up to LINE_CHARS characters; of all lines, those
-with the smallest hashes. The sample is all that reaches the driver; it does not grow
+The fit takes, per language, SAMPLE_LINES lines, one at most from a document, each
+distinct one once and up to LINE_CHARS characters; of all lines, those with the smallest
+hashes. A document without a line of LEAST_LINE_CHARS characters gives its text, lines
+joined, from its first letter on, so every language with letters is learned. The sample is all that reaches the driver; it does not grow
 with the input. Every document is classified over its whole text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0 and
@@ -56,10 +57,13 @@ def sample(docs: DataFrame, lines: int = SAMPLE_LINES) -> dict[str, list[str]]:
     """The bounded training sample: language -> lines, on the driver."""
     rows = take(docs, doc_id="bigint", text="string", lang="string")
     rows = rows.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    long = F.filter(F.split("text", "\n", -1), lambda x: F.length(x) >= LEAST_LINE_CHARS)
-    picked = rows.select("lang", "doc_id", long.alias("ls")).filter(F.size("ls") > 0).select(
-        "lang", F.left(F.get("ls", F.pmod(F.xxhash64("doc_id"), F.size("ls")).cast("int")), F.lit(LINE_CHARS)).alias("line"))
-    once = picked.groupBy("lang", "line").agg(F.count("*").alias("n")).filter("n = 1")
+    long = F.filter(F.split("text", "\n", -1), lambda x: (F.length(x) >= LEAST_LINE_CHARS) & x.rlike(r"\p{L}"))
+    picked = F.get("ls", F.pmod(F.xxhash64("doc_id"), F.size("ls")).cast("int"))
+    whole = F.regexp_extract("text", r"(?s)\p{L}.*", 0)
+    once = (
+        rows.select("lang", "doc_id", "text", long.alias("ls"))
+        .select("lang", F.left(F.when(F.size("ls") > 0, picked).otherwise(whole), F.lit(LINE_CHARS)).alias("line"))
+        .filter("line <> ''").distinct())
     order = Window.partitionBy("lang").orderBy(F.xxhash64("line"), "line")
     kept = once.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= lines)
     out: dict[str, list[str]] = {}
@@ -69,7 +73,9 @@ def sample(docs: DataFrame, lines: int = SAMPLE_LINES) -> dict[str, list[str]]:
 
 
 def dictionaries(lines: dict[str, list[str]]) -> dict[str, bytes]:
-    return {lang: reduced("\n".join(ls)) for lang, ls in sorted(lines.items()) if len(reduced("\n".join(ls))) >= 8}
+    contents = {lang: reduced("\n".join(ls)) for lang, ls in sorted(lines.items())}
+    # zstandard takes no fewer than 8 bytes: what is shorter is repeated
+    return {lang: c if len(c) >= 8 else b" ".join([c] * 8) for lang, c in contents.items() if c}
 
 
 def _compressor(content: bytes) -> zstandard.ZstdCompressor:

@@ -41,6 +41,22 @@ def test_edge_cases(spark, edge, rows, documents):
     assert out.columns == edge.columns and not {5, 6, 8} & {tuple(r)[0] for r in out.collect()}
 
 
+def test_short_lines_and_shared_lines_are_learned(spark):
+    learned = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5]
+    short = "kuu loistaa\nyö on pitkä\nlumi sataa hiljaa"
+    shared = "bu satır her belgede aynı şekilde başlıyor ve uzun sürüyor"
+    odd = "-" * 50 + "\n" + "12 " * 200 + "\nmae'r haul yn gwenu"
+    rows = [(learned[0], short, "fi"), (learned[1], short + "\nvielä", "fi"), (learned[2], shared, "tr"), (learned[3], shared, "tr"),
+            (learned[4], odd, "cy"), (learned[5], "ja", "xx"), (learned[6], "123 ...", "yy"), (learned[7], "月は\n明るい", "ja")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    lines = lang_id.sample(docs)
+    assert lines["tr"] == [shared]
+    assert set(lang_id.dictionaries(lines)) == {"fi", "tr", "cy", "xx", "ja"}
+    assert all(len(ls[0]) <= lang_id.LINE_CHARS for ls in lines.values())
+    got = {r.doc_id: r.lang_pred for r in lang_id.identify(docs).collect()}
+    assert got[learned[0]] == "fi" and got[learned[2]] == "tr" and got[learned[7]] == "ja"
+
+
 def test_no_labels_and_empty_table(spark, empty, edge):
     assert lang_id.identify(empty).count() == 0 and lang_id.identified(empty).count() == 0
     from pyspark.sql import functions as F
