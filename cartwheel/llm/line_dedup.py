@@ -5,8 +5,8 @@ spaces, tabs and carriage returns take no part in windows. Every three
 consecutive remaining lines (trimmed) form a window, hashed to 128 bits. Over
 all documents, the first occurrence of a window, by (doc_id, position), stays;
 each later one, in another document or further down in the same one, covers its
-lines and the blank ones between. Covered positions are merged into spans and
-removed. Occurrences are judged on the input, so they may overlap.
+lines and the blank ones between. Covered positions are merged into spans, also
+where they only touch, and removed. Occurrences are judged on the input, so they may overlap.
 
 Defined cases: null and empty texts, and texts of fewer than three such lines,
 have no window and stay as they are; a null doc_id comes after all others; rows
@@ -55,7 +55,7 @@ def repeated_spans(docs: DataFrame, size: int = LINES_IN_WINDOW) -> DataFrame:
         .select("k", "h", "first", "last").distinct())
     order = Window.partitionBy("k", "h").orderBy("first")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    opened = F.coalesce(F.col("first") > reach, F.lit(True)).cast("int")
+    opened = F.coalesce(F.col("first") > reach + 1, F.lit(True)).cast("int")
     merged = (
         later.withColumn("new", opened)
         .withColumn("span", F.sum("new").over(order))

@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+import duckdb
+from compare import compare
 from llm_helpers import SF, check_oracle
 
 from cartwheel.llm import line_dedup
@@ -59,6 +61,18 @@ def test_emptied_document_goes(spark):
     assert sorted(r.doc_id for r in line_dedup.deduped(docs).collect()) == [1, 3]
 
 
+def test_touching_windows_are_one_span(spark, scratch):
+    rows = [(1, "a\nb\nc"), (2, "d\ne\nf"), (3, "a\nb\nc\nd\ne\nf"), (4, "a\nb\nc\nx\nd\ne\nf")]
+    path = f"{scratch}/touching"
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(f"{path}/documents.parquet")
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/documents.parquet/*.parquet')")
+    got = line_dedup.dedup_lines(docs)
+    assert compare(got, con, line_dedup.OP1_SQL) == []
+    assert {r.doc_id: r.n_spans for r in got.collect()} == {1: 0, 2: 0, 3: 1, 4: 2}
+
+
 def test_empty_table(empty):
     assert line_dedup.dedup_lines(empty).count() == 0
     assert line_dedup.deduped(empty).columns == empty.columns
