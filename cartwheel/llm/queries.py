@@ -1,6 +1,20 @@
 """The registered queries of this folder and their DuckDB SQL, where SQL can express them."""
 
-from . import decontaminate, fingerprint, lang_id, line_dedup, near_dup, packing, pii, suffix_dedup, toxicity, url_filter
+from . import (
+    collocations,
+    decontaminate,
+    fingerprint,
+    lang_id,
+    line_dedup,
+    near_dup,
+    packing,
+    pii,
+    simhash_dedup,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    va_cluster,
+)
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -14,10 +28,15 @@ QUERIES = {
     "op8_proximity": decontaminate.op8_proximity,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_pii": pii.op10_pii,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_clusters": va_cluster.op12_clusters,
+    "op13_simhash_dedup": simhash_dedup.op13_simhash_dedup,
 }
 
 ORACLE = {
     "op1_line_dedup": line_dedup.OP1_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op9_url_filter": url_filter.OP9_SQL,
+    "op11_collocations": collocations.OP11_SQL,
+    "op12_clusters": va_cluster.OP12_SQL,
 }

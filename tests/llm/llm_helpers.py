@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def check_oracle(spark, name, sf_dir):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     df = QUERIES[name](spark, sf_dir)
     assert compare(df, con, ORACLE[name]) == []
