@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +48,14 @@ LEAST = 100
 #: phrases returned of each language
 TOP = 2000
 #: bytes of text whose suffixes a part holds on the average
-PART_BYTES = 6 << 20
+PART_BYTES = 12 << 20
 #: suffixes of a part that are sorted without routing them again
-PART_ROWS = 3_000_000
-#: positions that are routed at a time in a task
-FLUSH = 3_000_000
+PART_ROWS = 4_000_000
+#: positions that are routed at a time in a task (some 30 bytes each), and distinct words held until then
+FLUSH = 6_000_000
+FLUSH_WORDS = 1_000_000
+#: positions whose part is computed at a time
+STEP = 1 << 19
 #: bytes of a text that are read at a time
 PIECE_BYTES = 4 << 20
 #: groups that a language's phrases are ranked in before the last ranking
@@ -98,32 +101,41 @@ class _Stream:
         self.parts.append(np.fromiter(map(self.numbers.__getitem__, words), np.int32, len(words)))
         self.size += len(words)
 
-    def suffixes(self, last: bool) -> tuple[list[bytes], list[np.ndarray]]:
-        """The words, and for each position its word numbers, one array for each place: 0 beyond the
-        piece. Positions whose suffix is not known yet stay, unless it is the ``last`` time."""
+    def take(self, last: bool) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The words; the word numbers; and for each position how many words its suffix has (0 where
+        a piece ends). Positions whose suffix is not known yet stay, unless it is the ``last`` time."""
         c = np.concatenate([*self.parts, np.zeros(LONGEST - 1 if last else 0, np.int32)])
         n = max(0, len(c) - (LONGEST - 1))
-        columns = [c[:n]]
+        live = c[:n] != 0
+        length = live.astype(np.uint8)
         for k in range(1, LONGEST):
-            columns.append(np.where(columns[-1] != 0, c[k:k + n], np.int32(0)))
+            live &= c[k:k + n] != 0
+            length += live
         words = list(self.numbers)
         rest = [words[x] for x in c[n:]]
         self.numbers = _Numbers()
         self.parts = [np.fromiter(map(self.numbers.__getitem__, rest), np.int32, len(rest))]
         self.size = len(rest)
-        return words, columns
+        return words, c, length
 
 
 def _blob(values: list[np.ndarray], packer) -> bytes:
-    """Arrays of one length in the narrowest common width."""
+    """Arrays of one length in the narrowest common width, byte by byte (low bytes first)."""
     top = max((int(v.max()) for v in values if len(v)), default=0)
     kind = np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64
-    return packer.compress(np.concatenate([v.astype(kind) for v in values]).tobytes())
+    flat = np.concatenate([v.astype(kind) for v in values])
+    return packer.compress(flat.view(np.uint8).reshape(-1, flat.itemsize).T.tobytes())
 
 
 def _unblob(blob: bytes, n: int, arrays: int) -> np.ndarray:
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    return np.frombuffer(raw, f"<u{len(raw) // (n * arrays)}").reshape(arrays, n)
+    width = len(raw) // (n * arrays)
+    flat = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T)
+    return flat.view(f"<u{width}").reshape(arrays, n)
+
+
+def _packer():
+    return zstandard.ZstdCompressor(level=3)
 
 
 def _words_blob(words: list[bytes], packer) -> bytes:
@@ -135,40 +147,43 @@ def _words_of_blob(blob: bytes) -> list[bytes]:
     return zstandard.ZstdDecompressor().decompress(blob).split(b"\n")
 
 
-def _route(words: list[bytes], columns: list[np.ndarray], depth: int, parts: int, lang: str) -> np.ndarray:
-    """The part of each suffix, by its first ``depth`` words."""
-    of_word = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-    of_word[0] = 0
+def _word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
+
+
+def _route(of_word: np.ndarray, columns: list[np.ndarray], parts: int, lang: str) -> np.ndarray:
+    """The part of each suffix, by the hashes of the words in ``columns``."""
     h = np.full(len(columns[0]), xxhash.xxh64_intdigest(lang.encode()), np.uint64)
-    for k in range(depth):
-        h = mix(h * np.uint64(0x9FB21C651E98DF25) + of_word[columns[k]])
-    return (h % np.uint64(parts)).astype(np.int64)
+    for c in columns:
+        h = mix(h * np.uint64(0x9FB21C651E98DF25) + of_word[c])
+    return (h % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
 
 
-def _blocks(words: list[bytes], columns: list[np.ndarray], weights: np.ndarray, part: np.ndarray, depth: int,
+def _blocks(words: list[bytes], columns_of: Callable, weights: np.ndarray | None, part: np.ndarray, depth: int,
             lang: str) -> Iterator[tuple]:
-    """One row of ``BLOCKS`` for each part."""
+    """One row of ``BLOCKS`` for each part. ``columns_of(rows)``: the word numbers of some rows, an array for
+    each place."""
     if not len(part):
         return
-    packer = zstandard.ZstdCompressor(level=1)
-    # rows of a part by their leading words: they compress better
-    if (int(part.max()) + 1) * len(words) ** 2 < 1 << 63:
-        order = np.argsort((part * len(words) + columns[0]) * len(words) + columns[1])
-    else:
-        order = np.lexsort([columns[1], columns[0], part])
-    part = part[order]
-    starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    packer = _packer()
+    order = np.argsort(part, kind="stable")
+    sizes = np.bincount(part)
+    ends = np.cumsum(sizes)
     seen, to = np.zeros(len(words), bool), np.zeros(len(words), np.int32)
-    for a, b in zip(starts, np.r_[starts[1:], len(part)], strict=True):
-        mine = [c[order[a:b]] for c in columns]
+    for p in np.flatnonzero(sizes).tolist():
+        rows = order[ends[p] - sizes[p]:ends[p]]
+        mine = columns_of(rows)
         for c in mine:
             seen[c] = True
         seen[0] = True
         local = np.flatnonzero(seen)
         seen[local] = False
         to[local] = np.arange(len(local))  # 0 stays 0
-        yield (int(part[a]), depth, lang, int(b - a), _words_blob([words[x] for x in local], packer),
-               _blob([*(to[c] for c in mine), weights[order[a:b]]], packer))
+        mine = [to[c] for c in mine]
+        # by leading words: rows compress better
+        by_words = np.argsort(mine[0].astype(np.int64) * len(local) + mine[1], kind="stable")
+        data = [c[by_words] for c in mine] + ([] if weights is None else [weights[rows[by_words]]])
+        yield p, depth, lang, len(rows), _words_blob([words[x] for x in local], packer), _blob(data, packer)
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
@@ -188,20 +203,25 @@ def _count_batch(rows: list[tuple]) -> pa.RecordBatch:
 def routed(docs: DataFrame, parts: int) -> DataFrame:
     """``BLOCKS`` of the suffixes of two words or more, and the word counts as blocks of part ``WORDS``."""
     def blocks(stream: _Stream, lang: str, last: bool) -> Iterator[pa.RecordBatch]:
-        words, columns = stream.suffixes(last)
-        if not len(columns[0]):
-            return
-        counts = np.bincount(columns[0], minlength=len(words))
+        words, c, length = stream.take(last)
+        counts = np.bincount(c[:len(length)], minlength=1)
         counts[0] = 0
         there = np.flatnonzero(counts)
         if len(there):
-            packer = zstandard.ZstdCompressor(level=1)
+            packer = _packer()
             yield _block_batch([(WORDS, 1, lang, len(there), _words_blob([words[x] for x in there], packer),
                                  _blob([counts[there]], packer))])
-        two = np.flatnonzero(columns[1])
-        columns = [c[two] for c in columns]
-        part = _route(words, columns, 2, parts, lang)
-        for row in _blocks(words, columns, np.ones(len(two), np.int64), part, 2, lang):
+        at = np.flatnonzero(length > 1).astype(np.int32)
+        if not len(at):
+            return
+        of_word = _word_hashes(words)
+        part = np.concatenate([_route(of_word, [c[x], c[x + 1]], parts, lang) for x in np.split(at, range(STEP, len(at), STEP))])
+
+        def columns_of(rows: np.ndarray) -> list[np.ndarray]:
+            mine = at[rows]
+            return [np.where(length[mine] > k, c[mine + k], 0) for k in range(LONGEST)]
+
+        for row in _blocks(words, columns_of, None, part, 2, lang):
             yield _block_batch([row])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +233,7 @@ def routed(docs: DataFrame, parts: int) -> DataFrame:
                 for words in words_of(data.as_py()):
                     stream.add(words)
                     held += len(words)
-                    if held >= FLUSH:
+                    if held >= FLUSH or len(stream.numbers) >= FLUSH_WORDS:
                         for name, s in streams.items():
                             yield from blocks(s, name, False)
                         held = 0
@@ -224,15 +244,13 @@ def routed(docs: DataFrame, parts: int) -> DataFrame:
     return docs.mapInArrow(run, BLOCKS)
 
 
-def sorted_counts(columns: np.ndarray, weights: np.ndarray, depth: int, least: int) -> Iterator[tuple[int, int, int]]:
+def sorted_counts(columns: np.ndarray, weights: np.ndarray | None, depth: int, least: int) -> Iterator[tuple[int, int, int]]:
     """(a row that starts with the phrase, its length, its count) of each phrase of ``depth`` words or more
-    and weight ``least`` or more: three-way multikey quicksort of pointers to rows."""
-    alike = (weights == 1).all()
-
+    and weight ``least`` or more (no weights: one each): three-way multikey quicksort of pointers to rows."""
     def weight(rows: np.ndarray) -> int:
-        return len(rows) if alike else int(weights[rows].sum())
+        return len(rows) if weights is None else int(weights[rows].sum())
 
-    stack = [(np.arange(columns.shape[1]), 0)]
+    stack = [(np.arange(columns.shape[1], dtype=np.int32), 0)]
     while stack:
         rows, place = stack.pop()
         v = columns[place][rows]
@@ -254,15 +272,18 @@ def sorted_counts(columns: np.ndarray, weights: np.ndarray, depth: int, least: i
                 stack.append((equal, place + 1))
 
 
-def _gathered(blocks: list[dict]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Words, and the word numbers (a row for each place) and the weights of all rows of the blocks."""
+def _gathered(blocks: list[dict]) -> tuple[list[bytes], np.ndarray, np.ndarray | None]:
+    """Words, and the word numbers (a row for each place) and the weights of all rows of the blocks. Blocks
+    that were routed once have none."""
     numbers, columns, weights = _Numbers(), [], []
+    weighted = blocks[0]["depth"] > 2
     for b in blocks:
         to = np.fromiter(map(numbers.__getitem__, _words_of_blob(b["words"])), np.int32)
-        arrays = _unblob(b["data"], b["n"], LONGEST + 1)
-        columns.append(to[arrays[:-1]])
-        weights.append(arrays[-1].astype(np.int64))
-    return list(numbers), np.concatenate(columns, axis=1), np.concatenate(weights)
+        arrays = _unblob(b["data"], b["n"], LONGEST + weighted)
+        columns.append(to[arrays[:LONGEST]])
+        if weighted:
+            weights.append(arrays[-1].astype(np.int64))
+    return list(numbers), np.concatenate(columns, axis=1), np.concatenate(weights) if weighted else None
 
 
 def _by_lang(rows: list[dict]) -> dict[tuple, list[dict]]:
@@ -289,10 +310,12 @@ def routed_again(blocks: DataFrame, depth: int) -> DataFrame:
     """``BLOCKS`` (with a column ``split``: into how many parts) by ``depth`` words, equal suffixes as one row, and
     the counts of the phrases of ``depth - 1`` words as blocks of part ``WORDS``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = _packer()
         for b in batches:
             for block in b.to_pylist():
                 words, columns, weights = _gathered([block])
+                if weights is None:
+                    weights = np.ones(columns.shape[1], np.int64)
                 order = np.lexsort(columns[::-1])
                 columns, weights = columns[:, order], weights[order]
                 starts = np.flatnonzero(np.r_[True, (columns[:, 1:] != columns[:, :-1]).any(axis=0)])
@@ -303,9 +326,9 @@ def routed_again(blocks: DataFrame, depth: int) -> DataFrame:
                 yield _block_batch([(WORDS, depth - 1, block["lang"], len(at), _words_blob(phrases, packer),
                                      _blob([np.add.reduceat(weights, at)], packer))])
                 long = np.flatnonzero(columns[depth - 1])
-                columns, weights = list(columns[:, long]), weights[long]
-                part = _route(words, columns, depth, block["split"], block["lang"])
-                for new, *rest in _blocks(words, columns, weights, part, depth, block["lang"]):
+                columns, weights = columns[:, long], weights[long]
+                part = _route(_word_hashes(words), list(columns[:depth]), block["split"], block["lang"])
+                for new, *rest in _blocks(words, lambda rows, c=columns: list(c[:, rows]), weights, part, depth, block["lang"]):
                     yield _block_batch([(xxhash.xxh64_intdigest(f"{block['part']} {new}".encode()) >> 1, *rest)])
 
     return blocks.mapInArrow(run, BLOCKS)
