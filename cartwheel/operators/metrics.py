@@ -5,6 +5,9 @@ transaction lines (the transaction's date). Each side is aggregated per
 (product, day) with partial aggregation and the two sides are joined full
 outer on the key; the per-product windows of Q41 then run over at most one
 row per product and day, whatever the number of underlying sales.
+
+Three column families: views, sales, and inventory (the stock at the start and end of
+every stored day, also of days with views only).
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from cartwheel.operators.products import sale_lines
 VIEWS = ["view_count", "unique_users", "avg_view_duration", "sessions_with_view"]
 SALES = ["units_sold", "revenue", "num_transactions", "avg_order_value", "conversion_rate"]
 INVENTORY = ["stock_start", "stock_end"]
+FAMILIES = {"views": VIEWS, "sales": SALES, "inventory": INVENTORY}
 
 
 def _ts_range(df: DataFrame, ts_col: str, start: str, end: str):
@@ -85,15 +89,32 @@ def product_daily_metrics(sessions: DataFrame, transactions: DataFrame,
          .alias("conversion_rate"))
 
 
+def with_inventory(daily: DataFrame, products: DataFrame) -> DataFrame:
+    """``daily`` (all days of each product) with the inventory family: the stock that the product's
+    present one and the units sold on later days give. A day without sales carries the stock of
+    the days around it. Null where the product is unknown. The window runs over one row for each
+    day of a product."""
+    later = Window.partitionBy("product_id").orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
+    stock = products.select("product_id", "current_stock")
+    end = F.col("current_stock") + F.coalesce(F.sum("units_sold").over(later), F.lit(0))
+    return daily.join(stock, "product_id", "left").withColumn("stock_end", end).withColumn(
+        "stock_start", F.col("stock_end") + F.col("units_sold")).drop("current_stock")
+
+
 def product_metrics_range(metrics: DataFrame, start: str, end: str, product_id=None,
                           families=("views", "sales")) -> DataFrame:
-    """Rows with start <= date <= end (one product or all), chosen families."""
-    cols = {"views": VIEWS, "sales": SALES, "inventory": INVENTORY}
+    """Rows with start <= date <= end (one product or all), chosen families. A family that
+    does not exist, or that ``metrics`` does not hold, is an error."""
+    for f in families:
+        if f not in FAMILIES:
+            raise ValueError(f"no column family {f!r}: there are {', '.join(FAMILIES)}")
+        if missing := [c for c in FAMILIES[f] if c not in metrics.columns]:
+            raise ValueError(f"the metrics hold no {', '.join(missing)} (family {f!r}); see with_inventory")
     df = metrics.filter((F.col("date") >= F.lit(start).cast("date"))
                         & (F.col("date") <= F.lit(end).cast("date")))
     if product_id is not None:
         df = df.filter(F.col("product_id") == F.lit(product_id).cast(df.schema["product_id"].dataType))
-    picked = [c for f in families for c in cols[f] if c in metrics.columns]
+    picked = [c for f in families for c in FAMILIES[f]]
     return df.select("row_key", "product_id", "date", *picked)
 
 

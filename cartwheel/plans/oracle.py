@@ -168,6 +168,10 @@ _PVI = """SELECT session_id, ts, event_type, pid, event_id,
           FROM pv"""
 
 
+_STOCK_END = """CAST(p_size + COALESCE(sum(m.units_sold) OVER (PARTITION BY m.product_id ORDER BY m.date DESC
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)"""
+
+
 ORACLE: dict[str, str] = {
     "clean_transactions": with_ctes(
         """SELECT transaction_id, user_id, ts AS "timestamp", CAST(ts AS DATE) AS transaction_date,
@@ -383,6 +387,21 @@ ORACLE: dict[str, str] = {
         "pv", "ti", extra=_METRICS_CTES),
     "product_metrics_one_day": with_ctes(
         f"SELECT * FROM m WHERE date = DATE '{METRICS_DAY}'", "pv", "ti", extra=_METRICS_CTES),
+    "product_metrics_all_families": with_ctes(
+        f"""SELECT m.*, {_STOCK_END} AS stock_end, stock_end + m.units_sold AS stock_start
+            FROM m LEFT JOIN part ON p_partkey = m.product_id""", "pv", "ti", extra=_METRICS_CTES),
+    "product_inventory_one_day": with_ctes(
+        f"""SELECT row_key, product_id, date, stock_end, stock_start FROM (
+              SELECT m.row_key, m.product_id, m.date, {_STOCK_END} AS stock_end, stock_end + m.units_sold AS stock_start
+              FROM m LEFT JOIN part ON p_partkey = m.product_id)
+            WHERE date = DATE '{METRICS_DAY}'""", "pv", "ti", extra=_METRICS_CTES),
+    "product_unique_users_in_range": with_ctes(
+        f"""SELECT pid AS product_id, count(DISTINCT user_id) AS unique_users, count(DISTINCT CAST(ts AS DATE)) AS days
+            FROM pv WHERE pid IS NOT NULL AND CAST(ts AS DATE) BETWEEN DATE '{SESSION_RANGE[0]}' AND DATE '{SESSION_RANGE[1]}'
+            GROUP BY pid""", "pv"),
+    "unique_users_by_day": with_ctes(
+        """SELECT CAST(ts AS DATE) AS date, count(DISTINCT user_id) AS unique_users FROM pv
+           WHERE pid IS NOT NULL GROUP BY 1""", "pv"),
     "product_current_price": with_ctes(
         """SELECT p.product_id, m.current_price, m.first_price_date, COALESCE(m.n, -0)::INTEGER AS price_points
            FROM p LEFT JOIN (SELECT product_id, arg_max(price, mth) AS current_price,
@@ -438,3 +457,10 @@ ORACLE: dict[str, str] = {
                   CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY event_type) AS share
            FROM pvi WHERE next_type IS NOT NULL GROUP BY event_type, next_type""", "pv", extra={"pvi": _PVI}),
 }
+
+# the same rows by another way
+ORACLE["user_sessions_by_batches"] = ORACLE["user_sessions_upsert"]
+ORACLE["clean_sessions_from_json"] = ORACLE["clean_sessions"]
+ORACLE["sessions_by_keys"] = with_ctes(
+    "SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY row_key) = 1",
+    "s", "u", "sv", "pv", "cart", "p", extra=_FLAT_CTES)

@@ -7,20 +7,25 @@ columns named exactly like the oracle's (plans/oracle.py).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators import baskets, clean, clv, customers, metrics, products, sales
+from cartwheel.operators import baskets, clean, clv, customers, distinct_users, metrics, products, sales
 from cartwheel.operators import sessions as sess
 from cartwheel.operators import timeline
+from cartwheel.operators.timeline_store import TimelineStore
+from cartwheel.session import checkpoint_dir
+from cartwheel.sources import json_arrays
 from cartwheel.sources.catalog import Shop
 
 # Parameters of the registered range queries (a range filter is the feature).
 SESSION_RANGE = ("2024-01-08", "2024-01-15")
 METRICS_RANGE = ("1996-01-01", "1996-12-31")
 METRICS_DAY = "1996-07-15"
+ALL_DAYS = ("1995-01-01", "2024-12-31")
 # Parameters of the registered lookups; the key is one of the user's in the sf0.01 tables.
 LOOKUP_USER = 7
 LOOKUP_KEY = "7_8293423422179"
@@ -79,6 +84,45 @@ def _metrics(s: Shop, start: str | None = None, end: str | None = None) -> DataF
         & F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def _all_metrics(s: Shop) -> DataFrame:
+    """All days with all three families: the stock of a day depends on the days after it."""
+    if s.metrics is not None:
+        return s.metrics
+    return metrics.with_inventory(metrics.product_daily_metrics(s.sessions, s.transactions), s.products)
+
+
+def _bitmaps(s: Shop) -> DataFrame:
+    return distinct_users.daily_user_bitmaps(s.sessions) if s.user_bitmaps is None else s.user_bitmaps
+
+
+def _folder(s: Shop, name: str) -> str:
+    return f"{checkpoint_dir(s.sessions.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _sessions_from_json(s: Shop) -> DataFrame:
+    """The sessions exported as files of one JSON array each and read back by many tasks."""
+    docs = s.sessions.withColumn("cart_contents", F.transform_keys("cart_contents", lambda k, v: k.cast("string")))
+    paths = json_arrays.write_arrays(docs, _folder(s, "sessions-json"), "sessions")
+    return json_arrays.read_arrays(docs.sparkSession, paths, docs.schema)
+
+
+def _upserted(s: Shop) -> DataFrame:
+    """All puts, in three batches that overlap in keys and come in no order of time."""
+    puts = _puts(s)
+    batches = [puts.filter(F.pmod(F.xxhash64("put_seq"), F.lit(3)) == k) for k in range(3)]
+    store = TimelineStore.create(batches[0], _folder(s, "timeline"))
+    for b in batches[1:]:
+        store.upsert(b)
+    return store.read()
+
+
+def _newest_by_key(s: Shop) -> DataFrame:
+    """A batch of gets, one key for each user, from the stored timeline."""
+    flat = _flat(s)
+    store = TimelineStore.create(flat, _folder(s, "timeline"), seq="session_info_end_time")
+    return store.get(timeline.last_sessions(flat, 1).select("row_key"))
+
+
 METRICS_COLUMNS = ("row_key", "product_id", "date", *metrics.VIEWS, *metrics.SALES)
 
 
@@ -138,6 +182,10 @@ QUERIES: dict[str, Query] = {
     "all_sessions_one_user": lambda s: timeline.all_sessions_for_user(_flat(s), LOOKUP_USER).select(
         "user_id", "row_key", "session_info_session_id", "session_info_start_time"),
     "session_by_key": lambda s: timeline.session_by_key(_flat(s), LOOKUP_KEY),
+    "user_sessions_by_batches": _upserted,
+    "sessions_by_keys": _newest_by_key,
+    "clean_sessions_from_json": lambda s: QUERIES["clean_sessions"](Shop(
+        users=s.users, products=s.products, categories=s.categories, transactions=s.transactions, sessions=_sessions_from_json(s))),
     "user_session_behavior": lambda s: timeline.user_session_behavior(_flat(s), 10),
     "converted_sessions_for_user": lambda s: timeline.converted_sessions_for_user(_flat(s)),
     "converted_sessions_one_user": lambda s: timeline.converted_sessions_for_user(_flat(s), LOOKUP_USER),
@@ -151,6 +199,12 @@ QUERIES: dict[str, Query] = {
         _metrics(s, METRICS_DAY, METRICS_DAY), METRICS_DAY, METRICS_DAY),
     "product_revenue_in_range": lambda s: metrics.product_revenue_in_range(
         _metrics(s, *METRICS_RANGE), *METRICS_RANGE),
+    "product_metrics_all_families": lambda s: metrics.product_metrics_range(
+        _all_metrics(s), *ALL_DAYS, families=("views", "sales", "inventory")),
+    "product_inventory_one_day": lambda s: metrics.product_metrics_range(
+        _all_metrics(s), METRICS_DAY, METRICS_DAY, families=("inventory",)),
+    "product_unique_users_in_range": lambda s: distinct_users.unique_users_in_range(_bitmaps(s), *SESSION_RANGE),
+    "unique_users_by_day": lambda s: distinct_users.unique_users(_bitmaps(s), "date"),
     "product_current_price": lambda s: products.product_current_price(
         s.products if s.prices is None else s.prices),
     "product_daily_stock": lambda s: metrics.product_daily_stock(s.products, s.transactions),

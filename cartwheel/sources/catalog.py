@@ -20,9 +20,12 @@ class Shop:
     prices: DataFrame | None = None
     #: session states in the order they were put: row_key, user_id, put_seq, ...
     puts: DataFrame | None = None
-    #: stored forms, written by land_derived: the flat timeline by key, daily metrics by month
+    #: stored forms, written by land_derived: the flat timeline by key, daily metrics by month,
+    #: users' numbers and the bitmaps of each product and day by month
     timeline: DataFrame | None = None
     metrics: DataFrame | None = None
+    user_numbers: DataFrame | None = None
+    user_bitmaps: DataFrame | None = None
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str) -> "Shop":

@@ -31,7 +31,7 @@ USER_KEYED = {"users": ["user_id"], "transactions": ["user_id", "timestamp"],
               "sessions": ["user_id", "start_time"]}
 # cap file size on large landings (rows); small datasets are unaffected
 MAX_RECORDS_PER_FILE = 5_000_000
-DERIVED = ("prices", "puts", "timeline", "metrics")
+DERIVED = ("prices", "puts", "timeline", "metrics", "user_numbers", "user_bitmaps")
 
 
 def _buckets(spark: SparkSession) -> int:
@@ -74,16 +74,24 @@ def write_all(shop, path: str, mode: str = "overwrite", bucketed: bool = False,
 
 
 def write_derived(shop, path: str, mode: str = "overwrite") -> None:
-    """The flat session timeline by key, and the daily product metrics by month (a folder
-    for each day would be thousands of small files), sorted by date inside."""
-    from cartwheel.operators import metrics, timeline
+    """The flat session timeline by key, and the daily product metrics with the bitmaps of their
+    users by month (a folder for each day would be thousands of small files), sorted by date inside."""
+    from cartwheel.operators import distinct_users, metrics, timeline
     base = path.rstrip("/")
     timeline.write_timeline(timeline.user_sessions_flat(shop.sessions), f"{base}/timeline", mode)
     daily = metrics.product_daily_metrics(shop.sessions, shop.transactions)
+    _by_month(metrics.with_inventory(daily, shop.products), f"{base}/metrics", mode)
+    # the numbers are fixed once they are written
+    distinct_users.user_numbers(shop.sessions).write.mode(mode).parquet(f"{base}/user_numbers")
+    numbers = shop.sessions.sparkSession.read.parquet(f"{base}/user_numbers")
+    _by_month(distinct_users.daily_user_bitmaps(shop.sessions, numbers), f"{base}/user_bitmaps", mode)
+
+
+def _by_month(daily: DataFrame, path: str, mode: str) -> None:
     month = F.year("date") * 100 + F.month("date")
     # a month's rows together (split if one is huge), so a month is few files
     daily.withColumn("month", month).hint("rebalance", "month").sortWithinPartitions("month", "date", "product_id").write.mode(
-        mode).partitionBy("month").parquet(f"{base}/metrics")
+        mode).partitionBy("month").parquet(path)
 
 
 def read_if_there(spark: SparkSession, path: str, name: str) -> DataFrame | None:
