@@ -10,18 +10,21 @@ to be packed again, by tasks that each take the rest of many: so what stays part
 filled does not grow with the number of tasks. Memory is bounded by the open
 sequences and one batch.
 
-The fast byte-pair encoder that tokenises takes its ranks from the file that holds
-the same vocabulary as the tokenizer file named in the query's contract; the ids are
-the same (tests compare them).
-
-Defined cases: a null or empty text is one piece, id 0 alone; strings that look like
-special tokens are ordinary text; repeated rows and rows without a doc_id are packed
-like any other; an empty table gives no row; extra columns are ignored.
+Ids are those of the tokenizer file named in the query's contract with its default
+settings. A faster byte-pair encoder with the same vocabulary tokenises what lies between
+the tokens that the file adds; texts with a very long run of white space, which it
+cannot take, go to the tokenizer itself (tests compare both).
+
+Defined cases: a null or empty text is one piece, id 0 alone; the strings of added tokens
+(such as the end-of-text mark) are their ids; repeated rows and rows without a doc_id are
+packed like any other; an empty table gives no row; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,6 +41,8 @@ OPEN_BINS = 512
 #: tasks of one round whose unfinished sequences one task of the next round takes
 FAN_IN = 32
 END_ID = 0
+#: characters of a run of white space that the fast encoder is still given
+LONG_BLANK = 10_000
 TOKENIZER = "byte_bpe_50k"
 PIECE = "k bigint, no_id boolean, piece int, start bigint, length bigint, ids_crc32 bigint"
 PLACED = f"{PIECE}, sequence_id bigint, offset bigint, open boolean"
@@ -86,13 +91,41 @@ class OpenBins:
         return [pieces for bins in self.by_free.values() for pieces in bins]
 
 
-def _encoder(name: str):
-    import public_tokenizers
-    import tiktoken
-
-    with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+class Encoder:
+    """The ids of a text, as the tokenizer file gives them."""
+
+    def __init__(self, name: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.fast = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.file = public_tokenizers.path(f"{name}.json")
+        with open(self.file, encoding="utf-8") as f:
+            self.added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})") if self.added else None
+        self.whole = None
+
+    def _plain(self, text: str) -> list[int]:
+        if len(text) > LONG_BLANK and any(m.end() - m.start() > LONG_BLANK for m in re.finditer(r"\s+", text)):
+            if self.whole is None:
+                from tokenizers import Tokenizer
+                self.whole = Tokenizer.from_file(self.file)
+            return self.whole.encode(text, add_special_tokens=False).ids
+        return self.fast.encode_ordinary(text)
+
+    def ids(self, text: str) -> list[int]:
+        if self.cut is None or not self.cut.search(text):
+            return self._plain(text)
+        out = []
+        for part in self.cut.split(text):
+            if part in self.added:
+                out.append(self.added[part])
+            elif part:
+                out += self._plain(part)
+        return out
 
 
 def pieces_of(n: int, size: int = SEQUENCE_TOKENS) -> list[tuple[int, int]]:
@@ -135,11 +168,11 @@ def _packer(pieces, level: int, bins: int, final: bool):
 
 def _tokenised(name: str, size: int):
     def pieces():
-        encoder = _encoder(name)
+        encoder = Encoder(name)
 
         def read(batch: pd.DataFrame) -> Iterator[tuple]:
             for k, no_id, text in zip(batch["k"], batch["no_id"], batch["text"], strict=True):
-                ids = np.array([*encoder.encode_ordinary(text or ""), END_ID], dtype="<u4")
+                ids = np.array([*encoder.ids(text or ""), END_ID], dtype="<u4")
                 for piece, (start, length) in enumerate(pieces_of(len(ids), size)):
                     yield k, no_id, piece, start, length, zlib.crc32(ids[start:start + length].tobytes())
 
@@ -165,7 +198,7 @@ def pack(docs: DataFrame, bins: int = OPEN_BINS, tokenizer: str = TOKENIZER) ->
     out, level = done.filter(~F.col("open")), 1
     while True:
         level, tasks = level + 1, max(1, -(-tasks // FAN_IN))
-        rest = done.filter("open").select(*COLUMNS[:6]).repartition(tasks, F.xxhash64("k", "piece", "ids_crc32"))
+        rest = done.filter("open").repartition(tasks, F.xxhash64("k", "piece", "ids_crc32", "sequence_id")).select(*COLUMNS[:6])
         done = stored(rest.mapInPandas(_packer(_again, level, bins, tasks == 1), PLACED), f"op6-round{level}")
         out = out.unionByName(done.filter(~F.col("open")))
         if tasks == 1:

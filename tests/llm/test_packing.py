@@ -14,7 +14,6 @@ from cartwheel.llm import packing
 def check(got, rows):
     """Every piece is its document's, pieces tile the documents, places tile the sequences."""
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     want = []
     for i, text in rows:
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
@@ -46,6 +45,20 @@ def test_query(spark, documents):
     assert len({r.sequence_id for r in packing.op6_packing(spark, SF).collect()}) <= 1.05 * tokens / 2048 + 1
 
 
+@pytest.mark.parametrize("text", [
+    "<|endoftext|> hi", "<|endoftext|>", "a<|endoftext|><|endoftext|>  b", "<|endoftext", "x <|ENDOFTEXT|> y", "",
+    " " * 2_000_000, "\n" * 2_000_000, "a" + " \t\n\u00a0" * 300_000 + "b<|endoftext|>" + " " * 20_000 + "c",
+    "ab " * 5000 + " " * 10_001 + "c", "a" * 300_000, "1" * 300_000, "é!" * 100_000])
+def test_ids_are_those_of_the_tokenizer_file(text):
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert packing.Encoder("byte_bpe_50k").ids(text) == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_long_blanks_and_marks_are_packed(spark):
+    rows = [(1, " " * 1_200_000), (2, "<|endoftext|> hi"), (3, "\n" * 1_200_000 + "x"), (None, "same"), (None, "same")]
+    check(packing.pack(spark.createDataFrame(rows, "doc_id bigint, text string")).collect(), rows)
+
+
 def test_empty_table(empty):
     assert packing.pack(empty).count() == 0
 
