@@ -10,9 +10,14 @@ kind are added.
 
 Number words may be part of a number or prose beside it ("6467 one of them"), so the copy
 has several readings: none spelled, and all runs of at least 1, 2, 3 or 4 words spelled out.
-The detectors decide in each of them (length, Luhn sum), and what any finds counts. Two limits:
-a span of one digit value over and over without a digit in its source is prose; shorter
-runs than four words join numbers, not e-mail addresses.
+The detectors decide in each of them (length, Luhn sum), and what any finds counts; of added
+e-mail addresses within each other the longest stays. A span of one digit value over and
+over without a digit in its source is prose.
+
+Bare words stand for ``@`` and ``.`` only in pairs of one language ("at ... dot", "arroba ...
+punto"), and only where the last label is a generic top-level domain of a fixed list or of two
+letters ("noon dot the end" is prose). "at" before a host name written out ("look at
+example.com") is taken as prose.
 
 All scans are linear in the text's length. Defined cases: a null text is empty and has
 no span; rows come back one for one (repeated rows too); offsets are code points;
@@ -45,6 +50,14 @@ NOT_DIGIT = re.compile(r"[^0-9]+")
 LOOK_ALIKES = dict(zip(
     "АВЕЅІЈКМНОРСТУХаеѕіјорсухԁԛԝΑΒΕΖΗΙΚΜΝΟΡΤΥΧονрӏ",
     "ABESIJKMHOPCTYXaesijopcyxdqwABEZHIKMNOPTYXovpl", strict=True))
+#: other signs for a dot and a hyphen (fixed values)
+SIGNS = dict(zip("。｡․‐‑‒–—−", "...------", strict=True))
+SPACES = "\u00a0\u2000-\u200a\u202f\u205f\u3000"
+#: bare words for @ and . by language (fixed values): English, Spanish and Portuguese, French, German
+SPOKEN = (("at", "dot"), ("arroba", "punto|ponto"), ("arobase|arrobase", "point"), ("ät|klammeraffe", "punkt"))
+#: generic top-level domains (fixed values); any two letters are a country's
+GENERIC = ("com org net edu gov mil int info biz name pro mobi aero coop museum jobs travel app dev xyz online site shop store "
+           "blog cloud tech email world live news media agency digital solutions").split()
 INVISIBLE = "­​‌‍⁠﻿"
 #: spelled digits (fixed values): English, German, French, Spanish
 SPELLED = (
@@ -57,17 +70,31 @@ DIGIT_OF = {w: str(d) for ws in SPELLED for d, w in enumerate(ws.split())} | {"o
 #: readings of the copy: the least words of a run that is spelled out
 LEAST_SPELLED = (1, 2, 3, 4)
 
-ODD = re.compile(f"[{''.join(LOOK_ALIKES)}{INVISIBLE}！-～\U0001d400-\U0001d7ff]|(?![0-9])\\d")
+ODD = re.compile(f"[{''.join(LOOK_ALIKES)}{''.join(SIGNS)}{SPACES}{INVISIBLE}！-～﹐-﹫\U0001d400-\U0001d7ff]|(?![0-9])\\d")
+#: words that repeat the digit after them (fixed values)
+TIMES = {"double": 2, "triple": 3, "doble": 2}
 _WORD = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
+_DIGIT = rf"(?:(?:{'|'.join(TIMES)})[\s-]+)?(?:{_WORD}|[0-9])"
 SPELLED_RUN = re.compile(
-    rf"(?<!\w)(?:plus[\s,-]+|\+[ ]?)?(?:(?:{_WORD}|[0-9])(?:[\s,.-]+(?:(?:dot|point)[\s,.-]+)?))*(?:{_WORD}|[0-9])(?!\w)", re.I)
+    rf"(?<!\w)(?:plus[\s,-]+|\+[ ]?)?(?:{_DIGIT}(?:[\s,.-]+(?:(?:dot|point)[\s,.-]+)?))*{_DIGIT}(?!\w)", re.I)
 TOKEN = re.compile(r"\w+|\+")
-BRACKET_AT = re.compile(r"\s*[\[({<]\s*(?:at|arroba|@)\s*[\])}>]\s*", re.I)
-BRACKET_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]\s*", re.I)
-BARE = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\s+at\s+)(?!(?:the|an?|this|that|my|our|your|its)\s)[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z]{2,}(?![A-Za-z0-9])", re.I)
-HALF_BARE = re.compile(r"@[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+)*\s+dot\s+[A-Za-z]{2,}(?![A-Za-z0-9])", re.I)
-BARE_DOT = re.compile(r"\s+dot\s+", re.I)
+# brackets are looked for first, the white space around them is taken in afterwards: a search that
+# began with white space would try every place of a long run
+BRACKET_AT = re.compile(r"[\[({<]\s*(?:at|arroba|@)\s*[\])}>]", re.I)
+BRACKET_DOT = re.compile(r"[\[({<]\s*(?:dot|punkt|point|punto|\.)\s*[\])}>]", re.I)
+_TOP = rf"(?:{'|'.join(GENERIC)}|[A-Za-z]{{2}})(?![A-Za-z0-9-])"
+_ARTICLE = r"(?!(?:the|an?|this|that|my|our|your|its)\s)"
+#: (all of it, the dots in it) for each language
+BARE = [(re.compile(
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(\s++(?:{at})\s++){_ARTICLE}[A-Za-z0-9-]++(?:(?:\s++(?:{dot})\s++|\.)[A-Za-z0-9-]+)*"
+    rf"\s++(?:{dot})\s++{_TOP}", re.I), re.compile(rf"(?<=\S)\s++(?:{dot})\s++", re.I)) for at, dot in SPOKEN]
+_ANY_DOT = "|".join(dot for _, dot in SPOKEN)
+HALF_BARE = re.compile(
+    rf"@[A-Za-z0-9-]++(?:(?:\s++(?:{_ANY_DOT})\s++|\.)[A-Za-z0-9-]+)*\s++(?:{_ANY_DOT})\s++{_TOP}", re.I)
+BARE_DOT = re.compile(rf"(?<=\S)\s++(?:{_ANY_DOT})\s++", re.I)
+#: signs with spaces around them
+SPACED = re.compile(rf"(?<=[A-Za-z0-9_%+-])( {{0,3}})@( {{0,3}})[A-Za-z0-9-]++(?:(?: {{1,3}}\. {{1,3}}|\.)[A-Za-z0-9-]+)*(?: {{1,3}}\. {{1,3}}|\.){_TOP}", re.I)
+SPACED_DOT = re.compile(r"(?<=\S) {1,3}\. {1,3}")
 DIGIT_DOT = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
 
 
@@ -146,22 +173,28 @@ def _plain(c: str) -> str:
         return ""
     if c in LOOK_ALIKES:
         return LOOK_ALIKES[c]
+    if c in SIGNS:
+        return SIGNS[c]
     digit = unicodedata.decimal(c, None)
     return str(digit) if digit is not None else unicodedata.normalize("NFKC", c)
 
 
 def _spelled(m: re.Match) -> tuple[int, tuple[int, int, str]]:
     """The run's number of words, and what it is rewritten to."""
-    new, words = "", 0
+    new, words, times = "", 0, 1
     for t in TOKEN.findall(m[0]):
         low = t.lower()
         if low in ("plus", "+"):
             new += "+"
         elif low in ("dot", "point"):
             new += "."
+        elif low in TIMES:
+            times = TIMES[low]
+            words += 1
         else:
             words += low in DIGIT_OF
-            new += DIGIT_OF.get(low, t)
+            new += DIGIT_OF.get(low, t) * times
+            times = 1
     return words, (m.start(), m.end(), new)
 
 
@@ -173,20 +206,29 @@ def normalise(text: str) -> list[tuple[int, Normalised]]:
         out.rewrite([(m.start(), m.end(), _plain(m[0])) for m in ODD.finditer(text)])
     # the others' triggers may have been disguised themselves
     low = out.text.lower()
-    dots = "dot" in low or any(c in low for c in "[({<")
     spelled = any(w in low for w in DIGIT_OF)
-    if dots:
-        out.rewrite([(m.start(), m.end(), "@") for m in BRACKET_AT.finditer(out.text)])
-        out.rewrite([(m.start(), m.end(), ".") for m in BRACKET_DOT.finditer(out.text)])
-        if "dot" in out.text.lower():
-            found = []
-            for m in BARE.finditer(out.text):
-                found.append((*m.span(1), "@"))
-                found += [(d.start(), d.end(), ".") for d in BARE_DOT.finditer(out.text, m.end(1), m.end())]
-            out.rewrite(found)
+    if any(c in low for c in "[({<"):
+        out.rewrite(_widened(out.text, BRACKET_AT, "@"))
+        out.rewrite(_widened(out.text, BRACKET_DOT, "."))
+    if any(dot in low for dot in _ANY_DOT.split("|")):
+        for (bare, dot), (_, words) in zip(BARE, SPOKEN, strict=True):
+            if any(w in low for w in words.split("|")):
+                found = []
+                for m in bare.finditer(out.text):
+                    found.append((*m.span(1), "@"))
+                    found += [(d.start(), d.end(), ".") for d in dot.finditer(out.text, m.end(1), m.end())]
+                out.rewrite(found)
+        if "@" in out.text:
             out.rewrite([(d.start(), d.end(), ".") for m in HALF_BARE.finditer(out.text)
                          for d in BARE_DOT.finditer(out.text, m.start(), m.end())])
-            out.rewrite([(m.start(), m.end(), ".") for m in DIGIT_DOT.finditer(out.text)])
+        out.rewrite([(m.start(), m.end(), ".") for m in DIGIT_DOT.finditer(out.text)])
+    if "@" in out.text:
+        found = []
+        for m in SPACED.finditer(out.text):
+            if m[1] or m[2]:
+                found.append((m.start(), m.end(2), "@"))
+            found += [(d.start(), d.end(), ".") for d in SPACED_DOT.finditer(out.text, m.end(2), m.end())]
+        out.rewrite(found)
     readings = [] if out.spans is None else [(0, out)]
     runs = [_spelled(m) for m in SPELLED_RUN.finditer(out.text)] if spelled else []
     for least in LEAST_SPELLED:
@@ -198,6 +240,32 @@ def normalise(text: str) -> list[tuple[int, Normalised]]:
     return readings
 
 
+def _widened(text: str, bracket: re.Pattern, new: str) -> list[tuple[int, int, str]]:
+    """The brackets, with the white space beside them, and what they stand for."""
+    out, last = [], 0
+    for m in bracket.finditer(text):
+        a, b = m.span()
+        while a > last and text[a - 1].isspace():
+            a -= 1
+        while b < len(text) and text[b].isspace():
+            b += 1
+        out.append((a, b, new))
+        last = b
+    return out
+
+
+def _longest(spans: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Without the e-mail addresses that lie within longer ones."""
+    out, end = [], -1
+    for a, k, b in sorted(spans, key=lambda s: (s[0], -s[2], s[1])):
+        if k == 0:
+            if b <= end:
+                continue
+            end = b
+        out.append((a, k, b))
+    return out
+
+
 def _prose(new: str, source: str) -> bool:
     """One number word over and over."""
     return len(set(DIGIT.findall(new))) == 1 and not any(map(str.isdecimal, source))
@@ -214,13 +282,13 @@ def spans_of(text: str | None) -> tuple[list[tuple[int, int, int]], list[tuple[i
         nth = [0] * len(KINDS)
         for a, k, b in detect(copy.text):
             start, end = copy.source(a, b)
-            if least and (k == 0 and least < LEAST_SPELLED[-1] or _prose(copy.text[a:b], text[start:end])):
+            if least and _prose(copy.text[a:b], text[start:end]):
                 continue
             while nth[k] < len(own[k]) and own[k][nth[k]][1] < end:
                 nth[k] += 1
             if nth[k] == len(own[k]) or own[k][nth[k]][0] > start:
                 out.add((start, k, end))
-    return base, sorted([*base, *out])
+    return base, sorted([*base, *_longest(out)])
 
 
 def as_text(spans: list[tuple[int, int, int]]) -> str:

@@ -86,6 +86,73 @@ def test_short_and_partly_spelled_runs(before, number, after, kind):
     assert not base and (len(before), pii.KINDS.index(kind), len(before + number)) in every
 
 
+@pytest.mark.parametrize("t,span,kind", [
+    ("agent seven one at example dot com", "seven one at example dot com", "email"),
+    ("juan arroba ejemplo punto com", "juan arroba ejemplo punto com", "email"),
+    ("écrire à jean arobase exemple point fr.", "jean arobase exemple point fr", "email"),
+    ("hans klammeraffe beispiel punkt de", "hans klammeraffe beispiel punkt de", "email"),
+    ("mail bob @ example . com now", "bob @ example . com", "email"),
+    ("mail bob @ example.com now", "bob @ example.com", "email"),
+    ("call +1 212 555 double zero one two", "+1 212 555 double zero one two", "phone"),
+    ("call plus one two one two triple five double zero one two", "plus one two one two triple five double zero one two", "phone"),
+    ("user﹫example．com", "user﹫example．com", "email"),
+    ("user@example。com", "user@example。com", "email"),
+    ("4539\u00a01488\u00a00343\u00a06467", "4539\u00a01488\u00a00343\u00a06467", "card"),
+    ("4539\u20111488\u20110343\u20116467", "4539\u20111488\u20110343\u20116467", "card"),
+    ("to joe (\u3000at ) site [ dot ] org", "joe (\u3000at ) site [ dot ] org", "email"),
+])
+def test_further_disguises(t, span, kind):
+    base, every = pii.spans_of(t)
+    assert [(pii.KINDS[k], t[a:b]) for a, k, b in every if (a, k, b) not in base] == [(kind, span)]
+    assert base == brute(t)
+
+
+@pytest.mark.parametrize("t", [
+    "see you at noon dot the end", "arrive at boiling point it is", "we met @ noon. It was late", "look at this point we know",
+    "meet at five dot tomorrow", "am Punkt", "el punto de vista", "look at example com", "un punto", "double trouble at one"])
+def test_prose_is_left_alone(t):
+    assert pii.spans_of(t) == ([], [])
+
+
+def naive_copy(t):
+    """The bracket and bare rewrites of an ASCII text, one character at a time, each with its source places."""
+    out, k = [], 0
+    marks = {"[at]": "@", "(at)": "@", "{at}": "@", "[dot]": ".", "(dot)": ".", "[.]": ".", "<@>": "@"}
+    while k < len(t):
+        j = k
+        while j < len(t) and t[j].isspace():
+            j += 1
+        mark = next((m for m in marks if t.startswith(m, j)), None)
+        if mark:
+            e = j + len(mark)
+            while e < len(t) and t[e].isspace():
+                e += 1
+            out.append((marks[mark], k, e))
+            k = e
+        else:
+            out += [(t[x], x, x + 1) for x in range(k, max(j, k + 1))]
+            k = max(j, k + 1)
+    return out
+
+
+def test_added_spans_of_bracketed_texts():
+    """Against a plain rewrite and the contract's own patterns."""
+    rng = random.Random(8)
+    pieces = ["a", "b.c", "x1", "[at]", "(at)", "{at}", "[dot]", "(dot)", "[.]", "<@>", " ", "  ", "\n", ".", "-", "com", "7", "1.2", "@"]
+    for _ in range(4000):
+        t = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 18)))
+        base = brute(t)
+        copy = naive_copy(t)
+        added = set()
+        for a, k, b in brute("".join(c for c, _, _ in copy)):
+            start, end = copy[a][1], copy[b - 1][2]
+            if not any(k == k2 and a2 <= start and end <= b2 for a2, k2, b2 in base):
+                added.add((start, k, end))
+        if any(" @" in x or "@ " in x or " . " in x for x in (t, "".join(c for c, _, _ in copy))):
+            continue  # signs with spaces around them are another transducer's
+        assert pii.spans_of(t) == (base, sorted([*base, *added])), t
+
+
 @pytest.mark.parametrize("t", ["zero " * 16, "un un un six", "five one at the door", "plus" + " un" * 10, "one, two, three and four"])
 def test_number_words_in_prose(t):
     assert pii.spans_of(t) == ([], [])
@@ -122,9 +189,18 @@ def test_redaction():
     assert pii.redact(None) is None and pii.redact("") == ""
 
 
-@pytest.mark.parametrize("piece", ["a", "1", "1.", "@a", "a.", "+1", "1 ", "one ", "[at]", " dot ", "(", "a@", "- ", "é"])
+@pytest.mark.parametrize("piece", ["a", "1", "1.", "@a", "a.", "+1", "1 ", "one ", "[at]", " dot ", "(", "a@", "- ", "é", " ", "\n", "\t", "( ", " at ", "@ ", " . ", "a at b ", "one  "])
 def test_long_texts_take_linear_time(piece):
     t = piece * (400_000 // len(piece))
     began = time.process_time()
     pii.spans_of(t)
     assert time.process_time() - began < 10
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u00a0"])
+@pytest.mark.parametrize("before", ["(", " dot ", "a at ", "a@", "joe at x", "one ", "[at] ", "arroba x punto", "1 ", "a @"])
+def test_a_megabyte_of_blanks(before, blank):
+    t = before + blank * 1_000_000 + " dot (x"
+    began = time.process_time()
+    pii.spans_of(t)
+    assert time.process_time() - began < 10
