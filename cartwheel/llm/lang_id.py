@@ -50,7 +50,9 @@ def held_out(doc_id: Column) -> Column:
 
 
 def reduced(text: str) -> bytes:
-    return " ".join(WORD.findall(text.lower())).encode("utf-8", "replace")
+    # number signs such as fractions and Roman numerals are word characters, but no letters
+    words = (w if w.isalpha() else "".join(filter(str.isalpha, w)) for w in WORD.findall(text.lower()))
+    return " ".join(filter(None, words)).encode("utf-8", "replace")
 
 
 def sample(docs: DataFrame, lines: int = SAMPLE_LINES) -> dict[str, list[str]]:

@@ -7,6 +7,12 @@ from cartwheel.llm import lang_id
 from cartwheel.llm.queries import QUERIES
 
 
+def test_number_signs_are_no_letters():
+    for text in ("½ ²", "Ⅷ ³", "① 12 ٣", "1 2 3", "_ -", "\u0301"):
+        assert lang_id.reduced(text) == b"" and lang_id.classify(text, {"en": None})[0] == "und", text
+    assert lang_id.reduced("x² ½a É") == "x a é".encode()
+
+
 def test_held_out_accuracy(spark):
     sf_dir = "/root/testdata/sf0.01"
     truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang").collect()}
