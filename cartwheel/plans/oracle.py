@@ -458,7 +458,18 @@ ORACLE: dict[str, str] = {
            FROM pvi WHERE next_type IS NOT NULL GROUP BY event_type, next_type""", "pv", extra={"pvi": _PVI}),
 }
 
+ORACLE["sessions_by_gap"] = with_ctes(
+    """SELECT user_id, min(ts) AS session_start, max(ts) AS session_end,
+              CAST(floor((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000) AS BIGINT) AS duration_seconds,
+              count(*) AS views, count(DISTINCT pid) AS products, CAST(min(ts) AS DATE) <> CAST(max(ts) AS DATE) AS crosses_midnight
+       FROM (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS nth
+             FROM (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))
+                                       <= 28800000000 THEN 0 ELSE 1 END AS opens FROM pv))
+       GROUP BY user_id, nth""", "pv")
 # the same rows by another way
+ORACLE["user_sessions_between_clustered"] = ORACLE["user_sessions_between"]
+ORACLE["sql_last_sessions"] = ORACLE["last_sessions_one_user"]
+ORACLE["sql_product_revenue"] = ORACLE["product_revenue_in_range"]
 ORACLE["user_sessions_by_batches"] = ORACLE["user_sessions_upsert"]
 ORACLE["clean_sessions_from_json"] = ORACLE["clean_sessions"]
 ORACLE["sessions_by_keys"] = with_ctes(

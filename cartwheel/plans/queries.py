@@ -13,18 +13,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators import baskets, clean, clv, customers, distinct_users, metrics, products, sales
+from cartwheel.operators import baskets, clean, clv, customers, distinct_users, gap_sessions, metrics, products, sales
 from cartwheel.operators import sessions as sess
 from cartwheel.operators import timeline
 from cartwheel.operators.timeline_store import TimelineStore
 from cartwheel.session import checkpoint_dir
-from cartwheel.sources import json_arrays
+from cartwheel.sources import clustered, json_arrays, sql_functions
 from cartwheel.sources.catalog import Shop
 
 # Parameters of the registered range queries (a range filter is the feature).
 SESSION_RANGE = ("2024-01-08", "2024-01-15")
 METRICS_RANGE = ("1996-01-01", "1996-12-31")
 METRICS_DAY = "1996-07-15"
+# The pause that ends a session of the registered query: the events of a day lie hours apart.
+GAP = "8 hours"
 ALL_DAYS = ("1995-01-01", "2024-12-31")
 # Parameters of the registered lookups; the key is one of the user's in the sf0.01 tables.
 LOOKUP_USER = 7
@@ -116,6 +118,24 @@ def _upserted(s: Shop) -> DataFrame:
     return store.read()
 
 
+def _sql_last_sessions(s: Shop) -> DataFrame:
+    """SQL text over the table functions: the newest sessions of one user."""
+    sql_functions.register(_flat(s), _metrics(s).select(*METRICS_COLUMNS))
+    return s.sessions.sparkSession.sql(f"SELECT * FROM last_sessions({LOOKUP_USER}, 5)")
+
+
+def _sql_revenue(s: Shop) -> DataFrame:
+    sql_functions.register(_flat(s), _metrics(s).select(*METRICS_COLUMNS))
+    return s.sessions.sparkSession.sql("SELECT * FROM product_revenue(DATE '{}', DATE '{}')".format(*METRICS_RANGE))
+
+
+def _between_clustered(s: Shop) -> DataFrame:
+    """A range of time over all users, from sessions stored in interleaved order of user and time."""
+    folder = _folder(s, "sessions-clustered")
+    clustered.write(s.sessions.select("user_id", "session_id", "start_time"), folder, "user_id", "start_time")
+    return timeline.user_sessions_between(s.sessions.sparkSession.read.parquet(folder), *SESSION_RANGE)
+
+
 def _newest_by_key(s: Shop) -> DataFrame:
     """A batch of gets, one key for each user, from the stored timeline."""
     flat = _flat(s)
@@ -183,6 +203,10 @@ QUERIES: dict[str, Query] = {
         "user_id", "row_key", "session_info_session_id", "session_info_start_time"),
     "session_by_key": lambda s: timeline.session_by_key(_flat(s), LOOKUP_KEY),
     "user_sessions_by_batches": _upserted,
+    "user_sessions_between_clustered": _between_clustered,
+    "sessions_by_gap": lambda s: gap_sessions.sessions_by_gap(gap_sessions.views(s.sessions), GAP),
+    "sql_last_sessions": _sql_last_sessions,
+    "sql_product_revenue": _sql_revenue,
     "sessions_by_keys": _newest_by_key,
     "clean_sessions_from_json": lambda s: QUERIES["clean_sessions"](Shop(
         users=s.users, products=s.products, categories=s.categories, transactions=s.transactions, sessions=_sessions_from_json(s))),
