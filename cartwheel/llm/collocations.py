@@ -48,16 +48,16 @@ LEAST = 100
 #: phrases returned of each language
 TOP = 2000
 #: bytes of text whose suffixes a part holds on the average
-PART_BYTES = 8 << 20
+PART_BYTES = 12 << 20
 #: suffixes of a part that are sorted without routing them again
 PART_ROWS = 4_000_000
 #: positions that are routed at a time in a task (some 30 bytes each), and distinct words held until then
-FLUSH = 4_000_000
+FLUSH = 6_000_000
 FLUSH_WORDS = 1_000_000
 #: positions whose part is computed at a time
 STEP = 1 << 19
 #: bytes of a text that are read at a time
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 4 << 20
 #: groups that a language's phrases are ranked in before the last ranking
 RANK_GROUPS = 64
 #: the part of word counts
