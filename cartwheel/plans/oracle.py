@@ -475,3 +475,17 @@ ORACLE["clean_sessions_from_json"] = ORACLE["clean_sessions"]
 ORACLE["sessions_by_keys"] = with_ctes(
     "SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY row_key) = 1",
     "s", "u", "sv", "pv", "cart", "p", extra=_FLAT_CTES)
+ORACLE["load_report"] = with_ctes(
+    """SELECT 'transactions' AS dataset, count(*) AS read, count(*) FILTER (WHERE transaction_id % 10 = 3) AS rejected,
+              count(*) FILTER (WHERE transaction_id % 10 <> 3 AND NOT (user_id IS NOT NULL AND n_items > 0)) AS removed,
+              count(*) FILTER (WHERE transaction_id % 10 <> 3 AND user_id IS NOT NULL AND n_items > 0) AS kept FROM t
+       UNION ALL
+       SELECT 'sessions', count(*), count(*) FILTER (WHERE user_id % 10 = 3),
+              count(*) FILTER (WHERE user_id % 10 <> 3 AND n_viewed = 0), count(*) FILTER (WHERE user_id % 10 <> 3 AND n_viewed > 0) FROM s
+       UNION ALL
+       SELECT 'products', count(*), count(*) FILTER (WHERE product_id % 10 = 3),
+              count(*) FILTER (WHERE product_id % 10 <> 3 AND NOT base_price > 0),
+              count(*) FILTER (WHERE product_id % 10 <> 3 AND base_price > 0) FROM p""", "t", "s", "p")
+ORACLE["last_sessions_streamed"] = (
+    "SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY row_key) AS INTEGER) AS recency_rank FROM ("
+    + ORACLE["user_sessions_upsert"] + ") QUALIFY recency_rank <= 5")

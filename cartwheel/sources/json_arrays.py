@@ -294,13 +294,22 @@ def holds_array(spark: SparkSession, path: str) -> bool:
 def write_arrays(df: DataFrame, folder: str, name: str, per_file: int = PER_FILE, layout: str = "arrays") -> list[str]:
     """Writes the rows of ``df`` as files ``<name>_<k>.json`` in ``folder``, each one JSON array (or, by
     ``layout``, ``lines``) of at most ``per_file`` documents; returns their paths. Files of an earlier
-    export of the name are replaced.
+    export of the name are replaced."""
+    return write_texts(json_texts(df), folder, name, per_file, layout)
+
+
+def json_texts(df: DataFrame) -> DataFrame:
+    """(value): each row as the text of a JSON object."""
+    options = {"ignoreNullFields": "false", "timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT}
+    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options).alias("value"))
+
+
+def write_texts(texts: DataFrame, folder: str, name: str, per_file: int = PER_FILE, layout: str = "arrays") -> list[str]:
+    """``write_arrays`` for documents that are JSON text already (one column, ``value``).
 
     Tasks write under a folder of their own; its files are then renamed one by one, so an
     export that fails in its tasks leaves the earlier one as it was."""
-    spark = df.sparkSession
-    options = {"ignoreNullFields": "false", "timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT}
-    texts = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options).alias("value"))
+    spark = texts.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Opens an array at each file's first row and closes it at its last."""
