@@ -1,13 +1,16 @@
 """Toxicity: a classifier chain of linear models.
 
-The categories are predicted one after the other: low quality, toxic, severe (both).
+The categories are predicted one after the other: low quality, toxic, severe (both). The
+labels hold one toxicity category, ``toxic``; low quality is a quality label that serves the
+chain as an earlier category, and severe stands for rows that carry both.
 Each category's model is a logistic regression on a text's distinct words and word
 beginnings (hashed) and on the probabilities of the categories before it. In training,
 those probabilities come out of fold: each document's from models that have not seen
 it. In prediction they come from the chain itself.
 
 The fit takes at most SAMPLE_ROWS labelled documents of each toxic label, those with
-the smallest id hashes, weighted back to the labels' shares; their hashed features
+the smallest id hashes, weighted back to the labels' shares; labels whose hash cannot be
+among those go before the ranking. The sample's hashed features
 reach the driver, nothing else does. Every document is scored over its whole text, on
 the executors.
 
@@ -26,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import numbered, renumbered, table, take
+from .common import may_be_first, numbered, renumbered, table, take
 from .shingles import WordHasher
 
 CATEGORIES = ("low_quality", "toxic", "severe")
@@ -52,9 +55,11 @@ def sample(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> pd.Da
     marks = take(labels, doc_id="bigint", quality="int", toxic="int").filter("doc_id is not null and toxic is not null")
     marks = marks.groupBy("doc_id").agg(
         F.max((F.col("toxic") != 0).cast("int")).alias("toxic"), (1 - F.min((F.coalesce("quality", F.lit(1)) != 0).cast("int"))).alias("low_quality"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    kept = marks.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows).drop("nth")
     totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    of = F.when(F.col("toxic") == 1, F.lit(totals.get(1, 1))).otherwise(F.lit(totals.get(0, 1)))
+    few = marks.filter(may_be_first(F.xxhash64("doc_id"), rows, of))
+    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+    kept = few.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= rows).drop("nth")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()

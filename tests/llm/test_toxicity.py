@@ -64,3 +64,12 @@ def test_labels_of_one_kind_none_or_null(spark, edge, empty, tables):
     nulls = tables[1].withColumn("toxic", F.lit(None).cast("int"))
     assert {r.p_toxic for r in toxicity.score(edge, nulls).collect()} == {0.0}
     assert toxicity.score(empty, tables[1]).count() == 0
+
+
+def test_sample_is_that_of_a_plain_ranking(spark):
+    labels = spark.range(30_000).selectExpr("id doc_id", "cast(id % 7 as int) quality", "cast(id % 10 = 0 as int) toxic")
+    docs = labels.selectExpr("doc_id", "concat('word', doc_id) text")
+    got = toxicity.sample(docs, labels, 500)
+    want = {i for t in (0, 1) for (i,) in labels.filter(f"toxic = {t}").select("doc_id").orderBy(F.xxhash64("doc_id")).limit(500).collect()}
+    assert set(got["doc_id"]) == want and len(got) == 1000
+    assert sorted(set(got["weight"])) == [6.0, 54.0]
