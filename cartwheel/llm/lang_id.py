@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_position, table, take
+from .common import by_position, may_be_first, stored, table, take
 
 SAMPLE_LINES = 1000
 LINE_CHARS = 300
@@ -66,8 +66,13 @@ def sample(docs: DataFrame, lines: int = SAMPLE_LINES) -> dict[str, list[str]]:
         rows.select("lang", "doc_id", "text", long.alias("ls"))
         .select("lang", F.left(F.when(F.size("ls") > 0, picked).otherwise(whole), F.lit(LINE_CHARS)).alias("line"))
         .filter("line <> ''").distinct())
+    # a line a document at most, stored: its counts give the cut, so few rows are ranked
+    once = stored(once, "op3-lines")
+    # one row a language, as the dictionaries that the driver holds
+    counts = F.broadcast(once.groupBy("lang").agg(F.count("*").alias("of")))
+    few = once.join(counts, "lang").filter(may_be_first(F.xxhash64("line"), lines, F.col("of")))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("line"), "line")
-    kept = once.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= lines)
+    kept = few.withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= lines)
     out: dict[str, list[str]] = {}
     for lang, line in kept.select("lang", "line").orderBy("lang", "nth").collect():
         out.setdefault(lang, []).append(line)

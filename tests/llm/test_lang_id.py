@@ -2,6 +2,7 @@ import zlib
 
 import pytest
 from llm_helpers import SF
+from pyspark.sql import functions as F
 
 from cartwheel.llm import lang_id
 from cartwheel.llm.queries import QUERIES
@@ -80,3 +81,13 @@ def test_smallest_encoding_wins(blocks):
     lang, score, margin = lang_id.classify(text, compressors)
     assert lang == "a" and score > 0.5 and margin > 0
     assert SF
+
+
+def test_sample_is_that_of_a_plain_ranking(spark):
+    docs = spark.range(20_000).selectExpr(
+        "id doc_id", "concat('line of words for the document with number ', id % 9000) text", "if(id % 3 = 0, 'aa', 'bb') lang")
+    got = lang_id.sample(docs, 100)
+    learned = docs.filter("crc32(cast(string(doc_id) as binary)) % 5 <> 0")
+    for lang in ("aa", "bb"):
+        want = learned.filter(f"lang = '{lang}'").selectExpr("text line").distinct().orderBy(F.xxhash64("line"), "line").limit(100)
+        assert got[lang] == [r.line for r in want.collect()]
