@@ -50,6 +50,9 @@ BLOCK = 2048
 EDGES_IN_TASK = 250_000
 #: bytes of sets in a tile of a family that its centres did not connect
 TILE_BYTES = 512 * 1024
+#: sets, and values that they share, in one matrix product
+PRODUCT_ROWS = 1024
+PRODUCT_VALUES = 4096
 
 
 def bands_for(percent: int) -> int:
@@ -207,6 +210,7 @@ def _incidence(sets: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
     """One row for each set: which of the ``shared`` values it holds."""
     out = np.zeros((len(sets), len(shared)), np.float32)
     for k, s in enumerate(sets):
+        s = s[np.searchsorted(s, shared[0]):np.searchsorted(s, shared[-1], "right")]
         at = np.searchsorted(shared, s)
         at[at == len(shared)] = 0
         out[k, at[shared[at] == s]] = 1
@@ -214,13 +218,23 @@ def _incidence(sets: list[np.ndarray], shared: np.ndarray) -> np.ndarray:
 
 
 def similar_pairs(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> np.ndarray:
-    """(row of x, row of y) of all similar pairs of sorted sets."""
+    """(row of x, row of y) of all similar pairs of sorted sets. The matrices have PRODUCT_ROWS rows and
+    PRODUCT_VALUES columns at most, however many sets there are and however much they share."""
+    found = [np.zeros((0, 2), np.int64)]
+    for i in range(0, len(x), PRODUCT_ROWS):
+        for j in range(0, len(y), PRODUCT_ROWS):
+            found.append(_similar_block(x[i:i + PRODUCT_ROWS], y[j:j + PRODUCT_ROWS], percent) + (i, j))
+    return np.concatenate(found)
+
+
+def _similar_block(x: list[np.ndarray], y: list[np.ndarray], percent: int) -> np.ndarray:
     shared = np.intersect1d(np.unique(np.concatenate(x)), np.unique(np.concatenate(y)), assume_unique=True)
-    if not len(shared):
-        return np.zeros((0, 2), np.int64)
-    common = np.rint(_incidence(x, shared) @ _incidence(y, shared).T).astype(np.int64)
+    common = np.zeros((len(x), len(y)), np.int64)
+    for k in range(0, len(shared), PRODUCT_VALUES):
+        part = shared[k:k + PRODUCT_VALUES]
+        common += np.rint(_incidence(x, part) @ _incidence(y, part).T).astype(np.int64)
     sizes = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])
-    return np.argwhere(100 * common >= percent * (sizes - common))
+    return np.argwhere((common > 0) & (100 * common >= percent * (sizes - common)))
 
 
 def _links_across(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

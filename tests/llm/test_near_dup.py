@@ -121,3 +121,26 @@ def test_word_hashes_are_those_of_the_words(monkeypatch):
     monkeypatch.setattr(s, "PIECE_BYTES", 16)
     assert WordHasher().words(text).tolist() == alone
     assert len(WordHasher().words("  ")) == len(WordHasher().words(None)) == 0
+
+
+@pytest.mark.parametrize("block, values", [(1024, 4096), (7, 5), (1, 1)])
+def test_similar_pairs_in_blocks(monkeypatch, block, values):
+    monkeypatch.setattr(nd, "PRODUCT_ROWS", block)
+    monkeypatch.setattr(nd, "PRODUCT_VALUES", values)
+    rng = np.random.default_rng(4)
+    x, y = ([np.unique(rng.integers(0, 30, rng.integers(1, 40))).astype(np.uint64) for _ in range(n)] for n in (20, 33))
+    want = {(i, j) for i, a in enumerate(x) for j, b in enumerate(y)
+            if 100 * len(np.intersect1d(a, b)) >= 70 * len(np.union1d(a, b))}
+    got = [tuple(p) for p in nd.similar_pairs(x, y, 70).tolist()]
+    assert want and len(got) == len(set(got)) and set(got) == want
+    assert not len(nd.similar_pairs(x, [a + np.uint64(100) for a in y], 70))
+
+
+def test_a_tile_of_templated_sets_takes_bounded_memory():
+    import tracemalloc
+
+    # five shingles that all share and three of their own: no link, much in common
+    sets = [np.sort(np.array([*range(5), *(10 + 3 * k + np.arange(3))], np.uint64)) for k in range(8000)]
+    tracemalloc.start()
+    assert len(nd.similar_pairs(sets, sets[:4000], 85)) == 4000
+    assert tracemalloc.get_traced_memory()[1] < 150e6
