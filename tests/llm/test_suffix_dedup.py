@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from llm_helpers import prose
 
@@ -50,6 +52,53 @@ def test_awkward_texts(spark, monkeypatch, block_bytes, segment):
     assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
 
 
+def surroundings(rng, n, anchor):
+    """Texts around one string: some bytes before and after it agree, in every length."""
+    short = lambda k: "".join(rng.choice("ab") if rng.random() < 0.3 else "x" for _ in range(k))
+    return [(i, short(rng.randrange(40)) + anchor + short(rng.randrange(40))) for i in rng.sample(range(10 * n), n)]
+
+
+@pytest.mark.parametrize("hot", [200_000, 20])
+@pytest.mark.parametrize("large", [256, 1])
+def test_one_string_in_many_surroundings(spark, monkeypatch, hot, large):
+    monkeypatch.setattr(sd, "BLOCK_BYTES", 1 << 12)
+    monkeypatch.setattr(sd, "HOT_CONTEXTS", hot)
+    monkeypatch.setattr(sd, "LARGE", large)
+    monkeypatch.setattr(sd, "ROWS", 64)
+    rows = surroundings(random.Random(hot + large), 600, "twenty-four bytes of text that many share")
+    rows += surroundings(random.Random(hot), 300, "0123456789abcdefghijklmn") + [(None, rows[0][1]), (10 ** 12, rows[1][1])]
+    assert run(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
+
+
+def test_hot_anchor_memory():
+    """A hundred thousand different contexts of one anchor in one part: some hundred bytes each."""
+    rng = np.random.default_rng(3)
+    m = rng.integers(97, 123, (100_000, sd.LENGTH + sd.REACH + 1)).astype(np.uint8)
+    m[:, :sd.KMER] = 97
+    m[:, sd.LENGTH], m[:, -1] = sd.LENGTH, sd.REACH - 1
+    m[1::2, sd.KMER:-1] = m[::2, sd.KMER:-1]
+    m[1::4, 40:sd.LENGTH] = 65  # half of the equal ones differ at the end
+    m = m[np.lexsort(m[:, :sd.LENGTH][:, ::-1].T)]
+    cut = [sd.front_coded(m[k::4], np.arange(len(m))[k::4]) for k in range(4)]
+    frame = pd.DataFrame({"block": range(4), "part": 0, "data": cut})
+    tracemalloc.start()
+    out = sd._merge(frame)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+    assert all(len(sd._unpack(d)[0]) == 25_000 for d in out["data"])
+
+
+def test_a_document_longer_than_a_block(spark):
+    rng = random.Random(8)
+    long = prose(rng, 1_600_000)
+    docs = spark.createDataFrame([(1, long), (2, "start " + long[5_000_000:5_000_400] + " end"), (3, None)], "doc_id bigint, text string")
+    assert len(long) > 2 * sd.BLOCK_BYTES
+    got = {r.doc_id: r for r in sd.dedup_substrings(docs, with_text=True).collect()}
+    assert got[1].kept.decode()[:1000] == long[:1000] and got[2].n_removed >= 400 and got[2].n_spans == 1
+    assert got[2].n_bytes == 410 and got[3].n_bytes == 0
+
+
 def test_text_that_stays(spark):
     docs = spark.createDataFrame([(1, "x" * 10 + "the same sixty characters stand in both of these two documents."),
                                   (2, "the same sixty characters stand in both of these two documents." + "y")], "doc_id bigint, text string")
