@@ -93,9 +93,20 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The application's own folder of stored tables under the shared folder."""
+    return f"{shared_folder(spark)}/cartwheel-llm-{spark.sparkContext.applicationId}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Removes the application's stored tables. Results of operators are read from them: write those first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet under the shared folder and read back: cuts the
-    lineage, survives lost executors. Eager."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    """``df`` written as Parquet in the run's folder and read back: cuts the
+    lineage, survives lost executors. Eager. It stays until ``drop_stored``."""
+    path = f"{run_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
