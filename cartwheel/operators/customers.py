@@ -74,43 +74,37 @@ def customer_spending(transactions: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("total").cast(MONEY)).cast("double").alias("total_spent")))
 
 
-DIGIT_BITS = 16
-#: levels of DIGIT_BITS that cover a 64-bit number
-LEVELS = 4
-
-
 def exact_median(df: DataFrame, col: str, places: int = 2) -> DataFrame:
     """One row (median double): the mean of the two middle values, NULL without any.
 
     Values are whole multiples of 10^-places (money: cents), read as 64-bit
-    integers and shifted to be non-negative. Level by level, from the highest
-    digit of 16 bits down, the values that share the digits found so far are
-    counted by their next one (map-side, at most 65,536 rows), and a running sum
-    over those rows picks the digit that holds the wanted rank. Lazy: one plan, no
-    value leaves the executors, and the same four levels at every size."""
-    low = F.lit(-(2 ** 62)).cast("bigint")
+    integers. The bits of the range they really span are halved: values are counted
+    by the upper half (map-side; at most 65,536 rows for a range below 2^32 units, the
+    root of the range beyond), a running sum picks the rows that hold the middle ranks,
+    and the values in these are counted by the lower half. Lazy: one plan, no value
+    leaves the executors, two rounds at every size."""
     units = F.col(col).cast(f"decimal(38,{places})") * 10 ** places
-    values = df.filter(F.col(col).isNotNull()).select((units.cast("bigint") - low).alias("v"))
-    n = values.agg(F.count(F.lit(1)).alias("n"))
-    ranks = n.select(F.explode(F.array(
-        F.struct(F.lit(0).alias("which"), F.floor((F.col("n") - 1) / 2).alias("rank")),
-        F.struct(F.lit(1).alias("which"), F.floor(F.col("n") / 2).alias("rank")))).alias("r")).filter(
-        F.col("r.rank") >= 0).select("r.which", "r.rank", F.lit(0).cast("bigint").alias("found"))
-    running = Window.partitionBy("which").orderBy("digit")
-    for level in range(LEVELS):
-        shift = DIGIT_BITS * (LEVELS - 1 - level)
-        above = F.lit(0).cast("bigint") if level == 0 else F.shiftright("v", shift + DIGIT_BITS)
-        digit = F.shiftright("v", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
-        counted = values.select(above.alias("found"), digit.alias("digit"))
-        # the wanted prefixes are at most two rows
-        counts = (counted.join(F.broadcast(ranks), "found").groupBy("which", "rank", "found", "digit")
-                  .agg(F.count(F.lit(1)).alias("n")))
-        placed = counts.withColumn("upto", F.sum("n").over(running))
-        ranks = (placed.filter((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-                 .select("which", (F.col("rank") - F.col("upto") + F.col("n")).alias("rank"),
-                         (F.col("found") * (1 << DIGIT_BITS) + F.col("digit")).alias("found")))
-    value = (F.col("found") + low).cast("decimal(38,0)")
-    return ranks.agg((F.sum(value).cast("double") / (2 * 10 ** places)).alias("median"))
+    values = df.filter(F.col(col).isNotNull()).select(units.cast("bigint").alias("v"))
+    span = values.agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).select(
+        F.struct("n", "low", F.expr("cast((length(bin(high - low)) + 1) div 2 as int)").alias("half")).alias("s")).scalar()
+    split = values.withColumn("s", span).select(
+        F.expr("shiftright(v - s.low, s.half)").alias("upper"),
+        F.expr("(v - s.low) & (shiftleft(1L, s.half) - 1)").alias("lower"))
+
+    def holding(counts: DataFrame, digit: str) -> DataFrame:
+        """The rows whose run of ranks holds ``rank``, and the rank inside the run."""
+        before = F.sum("n").over(Window.partitionBy("which").orderBy(digit)) - F.col("n")
+        inside = counts.withColumn("rank", F.col("rank") - before)
+        return inside.filter((F.col("rank") >= 0) & (F.col("rank") < F.col("n"))).drop("n")
+
+    middle = F.expr("explode(array(struct(0 as which, (s.n - 1) div 2 as rank), struct(1 as which, s.n div 2 as rank)))")
+    uppers = split.groupBy("upper").agg(F.count(F.lit(1)).alias("n")).withColumn("s", span)
+    uppers = holding(uppers.select("upper", "n", middle.alias("r")).select("upper", "n", "r.which", "r.rank"), "upper")
+    # the middle ranks lie in two rows at most
+    lowers = split.join(F.broadcast(uppers), "upper").groupBy("which", "rank", "upper", "lower").agg(F.count(F.lit(1)).alias("n"))
+    value = F.expr("cast(s.low + shiftleft(upper, s.half) + lower as decimal(38,0))")
+    return holding(lowers, "lower").withColumn("s", span).agg(
+        (F.sum(value).cast("double") / (2 * 10 ** places)).alias("median"))
 
 
 def spending_summary(customer_spending_df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.llm import decontaminate, lang_id, line_dedup, near_dup, packing
-from cartwheel.llm.common import shared_folder, table
+from cartwheel.llm.common import run_folder, table
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result but the last is stored in the shared folder."""
+    """All stages over ``documents``; each result but the last is stored in the run's folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        path = f"{shared_folder(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
+        path = f"{run_folder(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
