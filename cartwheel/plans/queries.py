@@ -133,8 +133,9 @@ def _with_broken_records(s: Shop) -> dict[str, checked.Load]:
 def _last_sessions_streamed(s: Shop) -> DataFrame:
     """The newest session states of each user, from the puts as a stream of files."""
     puts, folder = _puts(s), _folder(s, "puts-stream")
-    puts.repartition(4).write.parquet(f"{folder}/in")
-    stream = daily.read_stream(puts.sparkSession, f"{folder}/in", puts.schema, max_files_per_trigger=2)
+    half = max(2, puts.sparkSession.sparkContext.defaultParallelism)  # two micro-batches, each the work of all cores
+    puts.repartition(2 * half).write.parquet(f"{folder}/in")
+    stream = daily.read_stream(puts.sparkSession, f"{folder}/in", puts.schema, max_files_per_trigger=half)
     newest.start(newest.newest_stream(stream, 5), f"{folder}/out", f"{folder}/checkpoint", available_now=True).awaitTermination()
     return newest.newest(puts.sparkSession, f"{folder}/out", puts.schema, 5)
 

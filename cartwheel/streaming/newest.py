@@ -6,9 +6,11 @@ of the ``n`` smallest row keys (newest first) with their last puts. Keys are nev
 taken away, so a key that has left the list does not come back and the list is all the state
 that is needed. Any split of the input into files and micro-batches gives the batch answer.
 
-A user's keys are dealt to ``parts`` lists by a hash of the key, so that a user with a third of
-all puts is the work of several tasks; a list holds ``n`` rows at most, and a micro-batch is
-folded into it one Arrow batch at a time.
+Each task first reduces every Arrow batch of puts to the ``n`` newest keys of each user in it, with
+their last puts: a user with a third of all puts sends ``n`` rows a batch, and is one short
+list's work. ``parts`` lists a user, by a hash of the key, are for users whose rows are too many
+even so; every list is a call of Python, so one is the rule. A list holds ``n`` rows at most, and
+a micro-batch is folded into it one Arrow batch at a time.
 
 Each micro-batch emits only rows that are new in a list or changed. They go to a folder of
 their own (``batch=<id>``), written over when the micro-batch is run again after a failure;
@@ -20,10 +22,14 @@ oldest; of puts equal in key and number the one whose JSON text is largest stays
 
 from __future__ import annotations
 
+import heapq
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,32 +44,53 @@ from cartwheel.sources.json_arrays import TS_FORMAT
 # functions that run in tasks are shipped by value: executors need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-PARTS = 8
+PARTS = 1
 OLDEST = -(1 << 63)
+COLUMNS = ["row_key", "seq", "cells"]
 ZONED = f"{TS_FORMAT}XXX"
 LISTS = "owner string, row_key string, seq bigint, cells string"
 STATE = "keys array<string>, seqs array<bigint>, cells array<string>"
 
 
-def fold(held: pd.DataFrame, puts: pd.DataFrame, n: int) -> pd.DataFrame:
-    """The ``n`` smallest keys of both, each with its last put."""
-    both = pd.concat([held, puts], ignore_index=True).sort_values(["row_key", "seq", "cells"])
-    return both.drop_duplicates("row_key", keep="last").head(n)
+def condensed(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` (owner, row_key, seq, cells ...) without those that cannot stay in a list, as far as one
+    Arrow batch tells: of each owner the ``n`` smallest keys, each with its last put."""
+    order = [(c, "ascending") for c in ("owner", "row_key", "seq", "cells")]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            at = pc.sort_indices(b, sort_keys=order).to_numpy()
+            owner, key = (b[c].dictionary_encode().indices.to_numpy()[at] for c in ("owner", "row_key"))
+            ends = np.r_[(owner[1:] != owner[:-1]) | (key[1:] != key[:-1]), True]
+            at, owner = at[ends], owner[ends]
+            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            rank = np.arange(len(at)) - np.repeat(first, np.diff(np.r_[first, len(at)]))
+            yield b.take(pa.array(at[rank < n]))
+
+    return rows.mapInArrow(run, rows.schema)
 
-def _update(n: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
-    columns = ["row_key", "seq", "cells"]
 
+def fold(held: dict[str, tuple[int, str]], puts: pd.DataFrame, n: int) -> dict[str, tuple[int, str]]:
+    """The ``n`` smallest keys of both in order, each with its last put (seq, cells)."""
+    both = dict(held)
+    for key, *put in zip(*(puts[c].tolist() for c in COLUMNS), strict=True):
+        put = tuple(put)
+        if key not in both or both[key] < put:
+            both[key] = put
+    return {key: both[key] for key in heapq.nsmallest(n, both)}
+
+
+def _update(n: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = pd.DataFrame(dict(zip(columns, state.get, strict=True)) if state.exists else {c: [] for c in columns}, columns=columns)
-        before = before.astype({"row_key": object, "seq": "int64", "cells": object})
+        before = {k: (seq, cells) for k, seq, cells in zip(*state.get, strict=True)} if state.exists else {}
         held = before
         for b in batches:
-            held = fold(held, b[columns], n)
-        state.update(tuple(held[c].tolist() for c in columns))
-        known = set(before.itertuples(index=False, name=None))
-        new = held[[r not in known for r in held.itertuples(index=False, name=None)]]
-        yield new.assign(owner=key[0])[["owner", *columns]]
+            held = fold(held, b, n)
+        state.update((list(held), [put[0] for put in held.values()], [put[1] for put in held.values()]))
+        new = [(key[0], k, *put) for k, put in held.items() if before.get(k) != put]
+        yield pd.DataFrame(new, columns=["owner", *COLUMNS])
 
     return run
 
@@ -77,7 +104,7 @@ def newest_stream(puts: DataFrame, n: int, seq: str = "put_seq", parts: int = PA
         F.col("user_id").cast("string").alias("owner"), "row_key", F.coalesce(F.col(seq), F.lit(OLDEST)).cast("bigint").alias("seq"),
         F.to_json(F.struct(*puts.columns), {"ignoreNullFields": "false", **formats}).alias("cells"),
         F.pmod(F.xxhash64("row_key"), F.lit(parts)).alias("part"))
-    lists = rows.groupBy("owner", "part").applyInPandasWithState(
+    lists = condensed(rows, n).groupBy("owner", "part").applyInPandasWithState(
         _update(n), LISTS, STATE, "update", GroupStateTimeout.NoTimeout)
     return lists.select(F.from_json("cells", cells, {"mode": "FAILFAST", **formats}).alias("r")).select("r.*")
 

@@ -65,3 +65,13 @@ def test_a_list_holds_n_rows_and_only_changes_are_emitted():
 def test_before_the_first_micro_batch(spark):
     schema = spark.createDataFrame([], SCHEMA).schema
     assert newest.newest(spark, tempfile.mkdtemp() + "/none", schema, 3).count() == 0
+
+
+def test_a_batch_is_reduced_to_lists_before_the_shuffle(spark):
+    """A user with most puts sends n rows a batch, whatever the number of keys, and is one list."""
+    assert newest.PARTS == 1
+    rows = [("hot", f"hot_{k % 900:04d}", k, f"x{k}") for k in range(5000)]
+    rows += [("hot", "hot_0003", 4503, "x9"), ("b", "b_1", 1, "x"), ("b", "b_1", -5, "z")]
+    df = spark.createDataFrame(rows, "owner string, row_key string, seq bigint, cells string").coalesce(1)
+    got = sorted(tuple(r) for r in newest.condensed(df, 4).collect())
+    assert got == [("b", "b_1", 1, "x"), *(("hot", f"hot_{k:04d}", 4500 + k, f"x{9 if k == 3 else 4500 + k}") for k in range(4))]
