@@ -25,11 +25,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Fixed values of the adapter: device type by user_id % 3.
 DEVICE_BY_MOD3 = ("mobile", "desktop", "tablet")
 
+#: Parquet bytes of lines whose orders are put together in one task (half a million lines, or some 250 MB there)
+TASK_BYTES = 8 << 20
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def by_key(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """The table dealt to tasks by ``key``, as many as its files' size asks for: a task's memory does not
+    grow with the input, whatever number of shuffle partitions the session has."""
+    table = read_table(spark, sf_dir, name)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    size = path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    if size <= TASK_BYTES:
+        return table.repartition(key)  # few rows: Spark chooses
+    return table.repartition(max(-(-size // TASK_BYTES), spark.sparkContext.defaultParallelism), key)
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     # nation (25 rows) and region (5 rows) have a fixed size: safe to broadcast
@@ -83,12 +97,11 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    li = read_table(spark, sf_dir, "lineitem")
     # one row per order: its lines in line-number order (an order has a handful
     # of lines, so the collected array is small by construction)
     # hash-partition the lines by order first: the collect then runs in every
     # shuffle partition (a collect_list has nothing to pre-aggregate map-side)
-    lines = (li.repartition("l_orderkey").groupBy("l_orderkey")
+    lines = (by_key(spark, sf_dir, "lineitem", "l_orderkey").groupBy("l_orderkey")
              .agg(F.array_sort(F.collect_list(F.struct(
                       F.col("l_linenumber").alias("ln"),
                       F.col("l_partkey").alias("product_id"),
