@@ -112,7 +112,7 @@ def _sessions_from_json(s: Shop) -> DataFrame:
 def _with_broken_records(s: Shop) -> dict[str, checked.Load]:
     """The datasets exported as JSON, some records broken on the way (ids that leave 3 divided by 10), and
     loaded again: transactions with a field of another kind, sessions that are no objects, products cut off."""
-    is_broken = lambda c: F.pmod(c, F.lit(10)) == 3
+    is_broken = lambda c: F.pmod(c.try_cast("bigint"), F.lit(10)) == 3  # ids that are no numbers are not broken
     docs = {"transactions": s.transactions, "products": s.products,
             "sessions": s.sessions.withColumn("cart_contents", F.transform_keys("cart_contents", lambda k, v: k.cast("string")))}
     value = F.col("value")
@@ -122,8 +122,9 @@ def _with_broken_records(s: Shop) -> dict[str, checked.Load]:
     out = {}
     for name, df in docs.items():
         key, bad, layout = broken[name]
-        texts = json_arrays.json_texts(df.select("*", is_broken(key).alias("_broken")))
-        texts = texts.select(F.when(F.get_json_object("value", "$._broken") == "true", bad).otherwise(value).alias("value"))
+        texts = df.select("*", is_broken(key).alias("_broken"))
+        texts = texts.select("_broken", json_arrays.json_text(texts.columns).alias("value"))
+        texts = texts.select(F.when(F.col("_broken"), bad).otherwise(value).alias("value"))
         folder = _folder(s, f"{name}-checked")
         paths = json_arrays.write_texts(texts, folder, name, layout=layout)
         out[name] = checked.load(checked.records(df.sparkSession, paths), df.schema, f"{folder}/loaded", checked.VALID[name]())

@@ -69,10 +69,8 @@ def records(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def _misfits(schema: T.StructType) -> Column:
     """The names of the fields that the record gives a value, but the parser gave none."""
-    given = F.try_parse_json("text")
-
     def lost(name: str) -> Column:
-        value = F.try_variant_get(given, "$['" + name.replace("'", "\\'") + "']", "variant")
+        value = F.try_variant_get("given", "$['" + name.replace("'", "\\'") + "']", "variant")
         return F.col("doc").getField(name).isNull() & value.isNotNull() & ~F.is_variant_null(value)
 
     names = [F.when(lost(f.name), F.lit(f.name)) for f in schema.fields]
@@ -83,10 +81,13 @@ def checked(recs: DataFrame, schema: T.StructType) -> DataFrame:
     """``recs`` (file, element, text) with ``doc`` (the parsed record) and ``reason`` (null where it fits)."""
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = recs.withColumn("doc", F.from_json("text", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    # a broken record is parsed once more, as a column of its own that all its fields are looked up in
+    broken = F.startswith("text", F.lit("{")) & F.col(f"doc.{CORRUPT}").isNotNull()
+    parsed = parsed.withColumn("given", F.when(broken, F.try_parse_json("text")))
     return parsed.withColumn("reason", F.when(~F.startswith("text", F.lit("{")), F.lit("no object"))
                              .when(F.col(f"doc.{CORRUPT}").isNull(), F.lit(None).cast("string"))
-                             .when(F.try_parse_json("text").isNull(), F.lit("not JSON"))
-                             .otherwise(F.concat(F.lit("does not fit: "), _misfits(schema))))
+                             .when(F.col("given").isNull(), F.lit("not JSON"))
+                             .otherwise(F.concat(F.lit("does not fit: "), _misfits(schema)))).drop("given")
 
 
 def load(recs: DataFrame, schema: T.StructType, path: str, valid: Column | None = None) -> Load:

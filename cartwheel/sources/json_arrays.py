@@ -33,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,9 +61,10 @@ BLANK = " \t\r\n"
 
 
 def _scan(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(data, file, start, file_size): the pieces between closing braces, in file order within a split."""
+    """(data, file, start, file_size): the pieces up to each closing brace, in file order within a split. A
+    brace is put behind the last piece of a file, too."""
     return spark.read.option("lineSep", CUT.decode()).text(paths).select(
-        F.col("value").cast("binary").alias("data"), F.col("_metadata.file_path").alias("file"),
+        F.concat(F.col("value").cast("binary"), F.lit(CUT)).alias("data"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"), F.col("_metadata.file_size").alias("file_size"))
 
 
@@ -82,16 +83,20 @@ def structure(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _buffers(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
-    """((file, start, ...), bytes) of each run of rows of one split, the cut characters put back."""
+    """((file, start, ...), bytes) of each run of rows of one split: the rows of an Arrow batch lie behind
+    one another in one buffer, no row is taken out on its own."""
     for b in batches:
         if not b.num_rows:
             continue
-        data = b["data"].to_pylist()
+        data = b["data"]
+        kind = np.int64 if pa.types.is_large_binary(data.type) else np.int32
+        offsets = np.frombuffer(data.buffers()[1], kind)[data.offset:data.offset + len(data) + 1]
+        text = memoryview(data.buffers()[2])
         others = [b[c] for c in b.schema.names if c != "data"]
         start, file = b["start"].to_numpy(), b["file"].dictionary_encode().indices.to_numpy()
         edges = np.flatnonzero((start[1:] != start[:-1]) | (file[1:] != file[:-1])) + 1
         for x, y in zip([0, *edges], [*edges, b.num_rows], strict=True):
-            yield tuple(c[int(x)].as_py() for c in others), CUT.join(data[x:y]) + CUT
+            yield tuple(c[int(x)].as_py() for c in others), bytes(text[offsets[x]:offsets[y]])
 
 
 class Summary:
@@ -230,7 +235,8 @@ def array_elements(spark: SparkSession, paths: list[str]) -> DataFrame:
     def pieces(whole_wanted: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             def rows(found: list[tuple[int, bool, bool, bytes]], file: str, start: int) -> pa.RecordBatch:
-                found = [x for x in found if x[1] == whole_wanted]
+                # whole elements are stripped here, pieces when they are joined
+                found = [(*x[:3], x[3].strip(BLANK.encode()) if whole_wanted else x[3]) for x in found if x[1] == whole_wanted]
                 return pa.RecordBatch.from_arrays([
                     pa.array([file] * len(found), pa.string()), pa.array([x[0] for x in found], pa.int64()),
                     pa.array([start] * len(found), pa.int64()), pa.array([x[1] for x in found], pa.bool_()),
@@ -259,9 +265,8 @@ def array_elements(spark: SparkSession, paths: list[str]) -> DataFrame:
     # an element in two splits or more has a piece from each; the pieces are bytes of one text
     joined = pieces(False).groupBy("file", "element").agg(
         F.array_sort(F.collect_list(F.struct("start", "text"))).alias("parts"), F.bool_or("last").alias("last"))
-    joined = joined.select("file", "element", "last", F.array_join("parts.text", "").alias("text"))
+    joined = joined.select("file", "element", "last", F.btrim(F.array_join("parts.text", ""), F.lit(BLANK)).alias("text"))
     every = pieces(True).select("file", "element", "last", "text").unionByName(joined)
-    every = every.withColumn("text", F.btrim("text", F.lit(BLANK)))
     # nothing between the brackets: an empty array
     return every.filter(~((F.col("text") == "") & (F.col("element") == 0) & F.col("last"))).drop("last")
 
@@ -300,8 +305,13 @@ def write_arrays(df: DataFrame, folder: str, name: str, per_file: int = PER_FILE
 
 def json_texts(df: DataFrame) -> DataFrame:
     """(value): each row as the text of a JSON object."""
+    return df.select(json_text(df.columns).alias("value"))
+
+
+def json_text(columns: list[str]) -> Column:
+    """A row's columns as the text of a JSON object."""
     options = {"ignoreNullFields": "false", "timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT}
-    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options).alias("value"))
+    return F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns]), options)
 
 
 def write_texts(texts: DataFrame, folder: str, name: str, per_file: int = PER_FILE, layout: str = "arrays") -> list[str]:
